@@ -27,4 +27,5 @@ from terrasift.llm import (  # noqa: E402, F401  each registers its query
     license_scan,
     quality_rules,
     token_counts,
+    warc_revisits,
 )
