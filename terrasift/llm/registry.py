@@ -25,6 +25,7 @@ def query(name: str, sql: str | None = None):
 from terrasift.llm import (  # noqa: E402, F401  each registers its query
     chat_format,
     license_scan,
+    mixing,
     near_dedup,
     quality_rules,
     token_counts,
