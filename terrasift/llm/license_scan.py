@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from terrasift.llm.common import table
-from terrasift.llm.registry import query
+from terrasift.llm.decl import query
 
 #: Phrases whose places count, with their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}

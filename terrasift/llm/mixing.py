@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from terrasift.llm.common import cut, table, words
-from terrasift.llm.registry import query
+from terrasift.llm.decl import query
 
 WEIGHTS, SHARE, CAP, BLOCK = (5, 2, 1), 1.5, 2.0, 2048
 EPS = 1e-9

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrasift.llm.common import cut, table
-from terrasift.llm.registry import query
+from terrasift.llm.decl import query
 from terrasift.llm.token_counts import slices
 
 CHUNKS, WIDTH, SYMBOL = 10, 4, 16

@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from terrasift.llm.common import cut, table, words
-from terrasift.llm.registry import query
+from terrasift.llm.decl import query
 
 WINDOW = 8
 FLOORS = (0.08, 0.08, 0.08, 0.12, 0.12)

@@ -1,33 +1,13 @@
-"""Queries of the ten operators and the SQL that DuckDB can check them with."""
+"""All queries of this package: importing an operator's module registers its query."""
 
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    """Register a (spark, sf_dir) -> DataFrame callable, with its SQL where SQL can express it."""
-
-    def put(f):
-        QUERIES[name] = f
-        if sql is not None:
-            ORACLE[name] = sql
-        return f
-
-    return put
-
-
-from terrasift.llm import (  # noqa: E402, F401  each registers its query
+from terrasift.llm import (  # noqa: F401
     chat_format,
     license_scan,
     mixing,
     near_dedup,
+    quality_classifier,
     quality_rules,
     token_counts,
     warc_revisits,
 )
+from terrasift.llm.decl import ORACLE, QUERIES  # noqa: F401

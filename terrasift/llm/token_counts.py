@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrasift.llm.common import table
-from terrasift.llm.registry import query
+from terrasift.llm.decl import query
 
 #: Bytes of text that are in Python's hands at once, entries of a worker's table of units, longest unit kept there.
 BATCH_BYTES, MEMO, MEMO_BYTES = 4 << 20, 400_000, 48

@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from terrasift.llm.common import table
-from terrasift.llm.registry import query
+from terrasift.llm.decl import query
 
 #: Header fields that a 304 response carries and that replace the stored ones.
 UPDATES = ("cache-control", "content-location", "date", "etag", "expires", "vary", "last-modified", "age")
