@@ -5,6 +5,7 @@ from terrasift.llm import (  # noqa: F401
     license_scan,
     mixing,
     near_dedup,
+    piece_codec,
     quality_classifier,
     quality_rules,
     token_counts,
