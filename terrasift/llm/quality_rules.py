@@ -70,10 +70,10 @@ def repeated_words(w: Column, window: int = WINDOW) -> Column:
     return F.when(F.size(w) <= window, F.lit(0)).otherwise(_let(hashes, count)).cast("long")
 
 
-def base_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """Counts and the base verdict: id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, and x, the statistics."""
+def base_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Counts and the base verdict: id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, and x, the statistics; kept columns as k0, k1, ..."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), text.alias("text"), words(text).alias("w"), F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")).alias("lines"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), *(F.col(c).alias(f"k{i}") for i, c in enumerate(keep)), text.alias("text"), words(text).alias("w"), F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")).alias("lines"))
     counted = rows.select(
         "id", "lang", "source",
         F.size("w").cast("long").alias("n_words"),
@@ -83,11 +83,14 @@ def base_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         repeated_words(F.col("w")).alias("n_repeat_words"),
         _only(F.col("text"), "A-Z").alias("capitals"),
         F.size("lines").alias("n_lines"),
+        # A column that is not deterministic keeps filters above: pushed below, they would work the counts out again inside lambdas.
+        F.monotonically_increasing_id().alias("barrier"),
+        *(f"k{i}" for i in range(len(keep))),
     )
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     share = lambda a, b: F.sqrt(F.col(a) / F.greatest(F.col(b), F.lit(1)))
     x = [F.log(F.greatest(F.col("word_chars"), F.lit(1)) / F.greatest(F.col("n_words"), F.lit(1))), share("n_symbols", "word_chars"), share("capitals", "word_chars"), share("n_dup_lines", "n_lines"), share("n_repeat_words", "n_words")]
-    return counted.select("id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), *(v.alias(f"x{i}") for i, v in enumerate(x)))
+    return counted.select("id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), *(v.alias(f"x{i}") for i, v in enumerate(x)), *(f"k{i}" for i in range(len(keep))))
 
 
 X = [f"x{i}" for i in range(D)]
@@ -102,49 +105,54 @@ def _same_group(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
     return a.join(b, on, how).drop(*(f"b_{c}" for c in GROUP))
 
 
-def _grouped(base: DataFrame, min_rows: int) -> DataFrame:
-    """Rows with the group that estimates them: language and source (2), the language's small sources (1), all that is still small (0)."""
+def _levels(base: DataFrame, min_rows: int) -> DataFrame:
+    """Which group estimates a language and source: they themselves (level 2), the language's small sources (1), all that is still small (0)."""
     counts = base.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("n"))
     small = counts.where(F.col("n") < min_rows).groupBy("lang").agg(F.sum("n").alias("n_lang"))
     counts, small = counts.withColumnsRenamed({"lang": "c_lang", "source": "c_source"}), small.withColumnRenamed("lang", "s_lang")
     levels = counts.join(small, F.col("c_lang").eqNullSafe(F.col("s_lang")), "left")
     level = F.when(F.col("n") >= min_rows, 2).when(F.col("n_lang") >= min_rows, 1).otherwise(0)
-    levels = levels.select("c_lang", "c_source", level.alias("g_level"))
+    return cut(levels.select("c_lang", "c_source", level.alias("g_level")), "levels")
+
+
+def _grouped(base: DataFrame, levels: DataFrame) -> DataFrame:
+    """Rows with the group that estimates them."""
     out = base.join(levels, F.col("lang").eqNullSafe(F.col("c_lang")) & F.col("source").eqNullSafe(F.col("c_source")), "left").drop("c_lang", "c_source")
     return out.withColumn("g_lang", F.when(F.col("g_level") >= 1, F.col("lang"))).withColumn("g_source", F.when(F.col("g_level") == 2, F.col("source")))
 
 
-def _whitened() -> list[Column]:
-    """y with l y = x - m, l the covariance's Cholesky factor, by forward substitution."""
-    y: list[Column] = []
-    for i in range(D):
-        v = F.col(f"x{i}") - F.col(f"m{i}")
-        for j in range(i):
-            v = v - F.col(f"l{i}{j}") * F.col(f"y{j}")
-        y.append((v / F.col(f"l{i}{i}")).alias(f"y{i}"))
-    return y
+def distances(rows: DataFrame) -> DataFrame:
+    """d2, the squared Mahalanobis distance of x from m by the inverse covariance a; one flat sum, as nested steps would multiply in the plan."""
+    v = [F.col(f"x{i}") - F.col(f"m{i}") for i in range(D)]
+    return rows.withColumn("d2", sum(((1 if i == j else 2) * F.col(f"a{i}{j}") * v[i] * v[j] for i, j in PAIRS), F.lit(0.0)))
+
 
+def _inverse(cells: Callable[[int, int], Column]) -> Column:
+    """Inverse of a symmetric positive definite matrix by the sweep operator, an array of rows."""
+    start = F.array(*(F.array(*(cells(max(i, j), min(i, j)) for j in range(D))) for i in range(D)))
 
-def distances(rows: DataFrame) -> DataFrame:
-    for i, y in enumerate(_whitened()):
-        rows = rows.withColumn(f"y{i}", y)
-    return rows.withColumn("d2", sum((F.col(f"y{i}") * F.col(f"y{i}") for i in range(1, D)), F.col("y0") * F.col("y0"))).drop(*(f"y{i}" for i in range(D)))
+    def sweep(m: Column, k: Column) -> Column:
+        at = lambda i, j: F.get(F.get(m, i), j)
+
+        def cell(x: Column, i: Column, j: Column) -> Column:
+            on = F.when((i == k) & (j == k), -1 / at(k, k)).when((i == k) | (j == k), x / at(k, k))
+            return on.otherwise(x - at(i, k) * at(k, j) / at(k, k))
+
+        return F.transform(m, lambda row, i: F.transform(row, lambda x, j: cell(x, i, j)))
+
+    return F.aggregate(F.array(*map(F.lit, range(D))), start, sweep)
 
 
 def _estimate(sums: DataFrame, factor: float) -> DataFrame:
-    """Mean m and Cholesky factor l of each group's covariance, times factor, plus the floors."""
-    out = sums
-    for i in range(D):
-        out = out.withColumn(f"m{i}", F.col(f"s{i}") / F.col("n"))
-    for i, j in PAIRS:
+    """Mean m and inverse a of each group's covariance, times factor, plus the floors."""
+    means = sums.select("*", *((F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(D)))
+
+    def cell(i: int, j: int) -> Column:
         c = F.lit(factor) * (F.col(f"q{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"))
-        out = out.withColumn(f"c{i}{j}", F.greatest(c, F.lit(0.0)) + FLOORS[i] ** 2 if i == j else c)
-    for i, j in PAIRS:  # row by row
-        v = F.col(f"c{i}{j}")
-        for k in range(j):
-            v = v - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-        out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(v, F.lit(1e-8))) if i == j else v / F.col(f"l{j}{j}"))
-    return out.select(*GROUP, "n_all", *(f"m{i}" for i in range(D)), *(f"l{i}{j}" for i, j in PAIRS))
+        return F.greatest(c, F.lit(0.0)) + FLOORS[i] ** 2 if i == j else c
+
+    out = means.withColumn("inverse", _inverse(cell))
+    return out.select(*GROUP, "n_all", *(f"m{i}" for i in range(D)), *((-F.get(F.get("inverse", F.lit(i)), F.lit(j))).alias(f"a{i}{j}") for i, j in PAIRS))
 
 
 def _sums() -> list[Column]:
@@ -162,24 +170,30 @@ def _nearest(rows: DataFrame, est: DataFrame, share: float) -> DataFrame:
 
 
 def fit_mcd(rows: DataFrame, steps: int = 4, share: float = 0.75) -> DataFrame:
-    """One row a group: n_all, mean and Cholesky factor. rows: GROUP and X."""
+    """One row a group: n_all, mean and inverse covariance. rows: GROUP and X."""
     mid = rows.groupBy(*GROUP).agg(F.count("*").alias("n_all"), *(F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(1000)).alias(f"p{i}") for i, x in enumerate(X)))
-    spread = lambda i: F.sqrt(F.pow((F.get(f"p{i}", F.lit(2)) - F.get(f"p{i}", F.lit(0))) / 1.349, 2) + FLOORS[i] ** 2)
-    est = cut(mid.select(*GROUP, "n_all", *(F.get(f"p{i}", F.lit(1)).alias(f"m{i}") for i in range(D)), *((spread(i) if i == j else F.lit(0.0)).alias(f"l{i}{j}") for i, j in PAIRS)), "mcd")
+    spread = lambda i: F.pow((F.get(f"p{i}", F.lit(2)) - F.get(f"p{i}", F.lit(0))) / 1.349, 2) + FLOORS[i] ** 2
+    est = cut(mid.select(*GROUP, "n_all", *(F.get(f"p{i}", F.lit(1)).alias(f"m{i}") for i in range(D)), *((1 / spread(i) if i == j else F.lit(0.0)).alias(f"a{i}{j}") for i, j in PAIRS)), "mcd")
     for _ in range(steps):
         est = cut(_estimate(_nearest(rows, est, share), C_75), "mcd")
     inner = distances(_same_group(rows, est)).where(F.col("d2") <= CHI_975)
     return cut(_estimate(inner.groupBy(*GROUP).agg(F.max("n_all").alias("n_all"), *_sums()), C_975), "mcd")
 
 
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", cutoff: float = CHI_FAR, min_rows: int = 50, steps: int = 4) -> DataFrame:
-    """Each row's base counts, base_failed, distance (null where nothing is estimated) and kept."""
-    rows = cut(_grouped(base_rules(docs, id_col, text_col, lang_col, source_col), min_rows), "quality")
+def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", cutoff: float = CHI_FAR, min_rows: int = 50, steps: int = 4, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Each row's base counts, base_failed, distance (null where nothing is estimated) and kept; with the columns ``keep`` of docs.
+
+    With ``keep`` the counts are made again over the texts, as joining verdicts to texts would shuffle all of them.
+    """
+    names = (id_col, text_col, lang_col, source_col)
+    base = cut(base_rules(docs, *names), "quality")
+    levels = _levels(base, min_rows)
+    rows = cut(_grouped(base, levels), "quality")
     est = fit_mcd(rows.where(~F.col("base_failed")).select(*GROUP, *X), steps)
-    judged = distances(_same_group(rows, est, "left"))
+    judged = distances(_same_group(_grouped(base_rules(docs, *names, keep), levels) if keep else rows, est, "left"))
     distance = F.when(~F.col("base_failed") & (F.col("n_all") >= min_rows), F.col("d2"))
     kept = ~F.col("base_failed") & (F.coalesce(distance, F.lit(0.0)) <= cutoff)
-    return judged.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), distance.alias("distance"))
+    return judged.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), distance.alias("distance"), *(F.col(f"k{i}").alias(c) for i, c in enumerate(keep)))
 
 
 @query("op2_quality_rules")
