@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("flagship",)
+MODULES = ("flagship", "attributes", "geo", "tables")
 
 
 def load() -> None:
