@@ -16,12 +16,14 @@ the leaf's id. A null tree is a tree. Other columns are not read; an empty table
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from terrasift.llm.common import cut, table
-from terrasift.llm.registry import query
+from terrasift.llm.decl import query
 
 START, END = "<|im_start|>", "<|im_end|>"
 
@@ -45,20 +47,27 @@ def branches(messages: DataFrame, tree: str = "tree_id", node: str = "node_id",
     parents = F.col("tree").eqNullSafe(F.col("u_tree")) & (F.col("parent") == F.col("u_node"))
     inner = nodes.where("parent IS NOT NULL").select(F.col("tree").alias("l_tree"), F.col("parent").alias("l_parent")).distinct()
     is_leaf = F.col("tree").eqNullSafe(F.col("l_tree")) & (F.col("node") == F.col("l_parent"))
-    state = cut(
-        nodes.join(up, parents, "left").join(inner, is_leaf, "left").select("tree", "node", F.col("u_node").alias("anc"), F.col("score").alias("total"), F.lit(1).cast("long").alias("depth"), F.col("l_parent").isNull().alias("leaf")),
-        "reply-0",
-    )
+    tables = [
+        cut(
+            nodes.join(up, parents, "left").join(inner, is_leaf, "left").select("tree", "node", F.col("u_node").alias("anc"), F.col("score").alias("total"), F.lit(1).cast("long").alias("depth"), F.col("l_parent").isNull().alias("leaf")),
+            "reply-0",
+        )
+    ]
     pointers = []
     while True:
-        left = state.agg(F.count("*"), F.max(F.when(F.col("anc").isNotNull(), F.col("depth")))).first()
-        if left[1] is None or left[1] > left[0]:  # all have reached a root, or what is left goes round
+        # Each table holds what the one before left open; what has reached its root is not joined again.
+        open_ = tables[-1].where("anc IS NOT NULL")
+        left = tables[-1].agg(F.count("*"), F.max(F.when(F.col("anc").isNotNull(), F.col("depth")))).first()
+        total = left[0] if not pointers else total
+        if left[1] is None or left[1] > total:  # all have reached a root, or what is left goes round
             break
-        pointers.append(state.select(F.col("tree").alias("p_tree"), F.col("node").alias("p_node"), F.col("anc").alias("p_anc")).where("p_anc IS NOT NULL"))
+        pointers.append(open_.select(F.col("tree").alias("p_tree"), F.col("node").alias("p_node"), F.col("anc").alias("p_anc")))
+        state = reduce(DataFrame.unionByName, [t.where("anc IS NULL") for t in tables], open_)
         far = state.select(F.col("tree").alias("f_tree"), F.col("node").alias("f_node"), F.col("anc").alias("f_anc"), F.col("total").alias("f_total"), F.col("depth").alias("f_depth"))
         on = F.col("tree").eqNullSafe(F.col("f_tree")) & (F.col("anc") == F.col("f_node"))
-        state = cut(state.join(far, on, "left").select("tree", "node", F.col("f_anc").alias("anc"), (F.col("total") + F.coalesce("f_total", F.lit(0.0))).alias("total"), (F.col("depth") + F.coalesce("f_depth", F.lit(0))).alias("depth"), "leaf"), f"reply-{len(pointers)}")
-    rooted = state.where("leaf AND anc IS NULL")
+        tables.append(cut(open_.join(far, on).select("tree", "node", F.col("f_anc").alias("anc"), (F.col("total") + F.col("f_total")).alias("total"), (F.col("depth") + F.col("f_depth")).alias("depth"), "leaf"), f"reply-{len(pointers)}"))
+    state = reduce(DataFrame.unionByName, [t.where("anc IS NULL") for t in tables])
+    rooted = state.where("leaf")
     if top is None:
         chosen = rooted.withColumn("branch_rank", F.lit(None).cast("int"))
     elif top == 1:
