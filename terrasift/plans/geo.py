@@ -133,3 +133,20 @@ def compare_delta(spark, sf_dir):
     j = c.join(s, c["c_custkey"] == s["s_suppkey"])
     pct = S.compare_numbers(F.col("c_acctbal"), F.col("s_acctbal"))
     return j.select(F.col("c_custkey").alias("id"), ((F.col("c_acctbal") != 0) & (F.col("s_acctbal") != 0)).alias("compared"), pct.isNotNull().alias("differs"), F.round(pct).cast("long").alias("pct"))
+
+
+def ring_edges(spark: SparkSession, vertices: int) -> DataFrame:
+    """A wavy ring of many vertices around the area's middle."""
+    i = spark.range(vertices).select("id", (F.col("id") * (2 * 3.141592653589793 / vertices)).alias("t"), ((F.col("id") + 1) % vertices * (2 * 3.141592653589793 / vertices)).alias("u"))
+    at = lambda t: (F.lit(-93.0) + (2.5 + 0.5 * F.sin(F.col(t) * 40)) * F.cos(t), F.lit(46.0) + (2.0 + 0.4 * F.sin(F.col(t) * 40)) * F.sin(t))
+    (xi, yi), (xj, yj) = at("t"), at("u")
+    return i.select(F.lit(0).alias("poly_id"), F.lit(0).alias("poly_ord"), F.lit(0).alias("ring_id"), F.lit(False).alias("hole"), xi.alias("xi"), yi.alias("yi"), xj.alias("xj"), yj.alias("yj"))
+
+
+@query("clip_ring_10k")
+def clip_ring_10k(spark, sf_dir):
+    """F10 on 100,000 points and a ring of 10,000 vertices, the case whose cost is published."""
+    p = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 7 + F.col("l_linenumber")).alias("k")).distinct().orderBy("k").limit(100_000)
+    p = p.select(F.col("k").alias("id"), F.expr(LON.format(k="k")).alias("lon"), F.expr(LAT.format(k="k")).alias("lat"))
+    box = G.in_box(F.col("lon"), F.col("lat"), (-96.0, 43.6, -90.0, 48.4))
+    return S.points_in_polygons(p.where(box), ring_edges(spark, 10_000), band=0.01)
