@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("flagship", "attributes", "geo", "tables")
+MODULES = ("flagship", "attributes", "geo", "packs", "tables")
 
 
 def load() -> None:
