@@ -1,19 +1,21 @@
 """Operator 3, MinHash near-dedup by a multi-index Hamming join.
 
 A text's set is that of its distinct word shingles (64-bit hashes of their words' hashes). Its signature is CHUNKS x WIDTH
-minhashes cut to 16 bits. Two signatures within CHUNKS * 2 - 1 differing places have, by the
-pigeonhole principle, a chunk with one error at most, so each signature is indexed once for each chunk and each
-place left out of it: all pairs under that distance share a key. At similarity 0.85 (0.8) a pair is
-beyond the distance with probability 1e-8 (2e-5).
+minhashes cut to SYMBOL bits. Two signatures within MOST differing places have, by the pigeonhole principle, a chunk with one
+error at most, so each signature is indexed once for each chunk and each place left out of it: all pairs under that
+distance share a key. At similarity 0.85 (0.8) a pair is beyond the distance with probability 2e-5 (1e-3).
 
 No group is expanded into its pairs:
 
-1. texts with equal sets are one class (found by a 128-bit hash of the set); classes are the nodes from here on;
-2. each key links its members to its smallest one only, and those links are confirmed on the full sets;
-3. where a key still holds several components, its members of different components are compared too, so that
-   no link between different texts is lost; members of one component are not, as they could add nothing;
+1. texts with equal sets are one class, named by a 64-bit hash of the set; classes are the nodes from here on;
+2. each key links its members to its smallest one only; those within the distance are confirmed on the full sets;
+3. where a key still holds several components, members of different components are compared as well, so that no link between
+   different texts is lost: an exact prefix filter on their sets (prefix_pairs) names the pairs to confirm;
 4. components are found by label propagation with pointer jumping, on tables that are cut each round.
 
+Full sets are made a second time, from the texts of nodes that have a pair to confirm. Those texts are found by a join; before
+it a bitmap of BITS words, a fixed size, drops most others, so that few texts are shuffled.
+
 Words: A-Z lower-cased, ``[^\\x20\\x09-\\x0D]+``. Fewer words than a shingle: the sequence is the one shingle. Texts
 without words, and null, have the empty set, are linked with nothing and are their own component. component_id is
 the smallest id reached; null ids are never the smallest unless alone, and a row is kept if its id is its
@@ -24,19 +26,22 @@ text are not read; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from terrasift.llm.common import cut, table
 from terrasift.llm.decl import query
 from terrasift.llm.token_counts import slices
 
-CHUNKS, WIDTH, SYMBOL = 10, 4, 16
-PLACES = CHUNKS * WIDTH
+CHUNKS, WIDTH, SYMBOL = 10, 5, 14
+PLACES, MOST, BITS = CHUNKS * WIDTH, 2 * CHUNKS - 1, 1 << 16
 #: Words that a worker keeps the hashes of.
 MEMO = 400_000
 
@@ -50,7 +55,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-_SEEDS = _mix(np.arange(1, PLACES + 3, dtype=np.uint64)) | np.uint64(1)
+_SEEDS = _mix(np.arange(1, PLACES + 2, dtype=np.uint64)) | np.uint64(1)
 
 
 class _Words(dict):
@@ -79,28 +84,43 @@ def shingle_set(text: bytes | None, size: int, words: dict) -> np.ndarray:
     return np.unique(_mix(h + np.uint64(span)))
 
 
-def set_hash(s: np.ndarray) -> bytes:
-    """128 bits that tell a set from all others."""
-    return b"".join(int(np.add.reduce(_mix(s * seed))).to_bytes(8, "big") for seed in _SEEDS[PLACES:])
+def set_hash(s: np.ndarray) -> int:
+    """64 bits that tell a set from all others: a sum, so that order does not matter."""
+    return int(np.add.reduce(_mix(s * _SEEDS[PLACES])).view(np.int64))
 
 
-def signature(s: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """The set's 128-bit hash and its minhash symbols."""
+def signature(s: np.ndarray) -> np.ndarray:
+    """The set's minhash symbols."""
     low = np.array([np.min(s * seed) for seed in _SEEDS[:PLACES]], np.uint64)
-    return set_hash(s), _mix(low) >> np.uint64(64 - SYMBOL)
+    return _mix(low) >> np.uint64(64 - SYMBOL)
+
+
+def packed(symbols: np.ndarray) -> np.ndarray:
+    """Symbols in lanes of 16 bits, four to an integer."""
+    lanes = np.zeros(-(-PLACES // 4) * 4, np.uint16)
+    lanes[:PLACES] = symbols
+    return lanes.view(np.int64)
+
+
+def distance(a: Column, b: Column) -> Column:
+    """Differing lanes of two packed signatures."""
+    def lanes(i: int) -> Column:
+        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
+        # A lane has 14 bits: adding 2^14 - 1 sets its bit 14 if it has any.
+        return F.bit_count((x + F.lit(0x3FFF3FFF3FFF3FFF)).bitwiseAND(F.lit(0x4000400040004000)))
+
+    return reduce(add, (lanes(i) for i in range(-(-PLACES // 4))))
+
+
+def index_keys(sig: Column) -> Column:
+    """Keys of a packed signature: chunk and place left out, then the other symbols as they are, in one integer."""
+    symbol = [F.shiftrightunsigned(F.get(sig, F.lit(p // 4)), 16 * (p % 4)).bitwiseAND(F.lit((1 << SYMBOL) - 1)) for p in range(PLACES)]
 
+    def key(chunk: int, out: int) -> Column:
+        others = [symbol[chunk * WIDTH + j] for j in range(WIDTH) if j != out]
+        return reduce(Column.bitwiseOR, (F.shiftleft(x, SYMBOL * k) for k, x in enumerate(others)), F.lit((chunk * WIDTH + out) << SYMBOL * (WIDTH - 1)))
 
-def index_keys(symbols: np.ndarray) -> np.ndarray:
-    """Keys of a signature: chunk and place left out, then the other symbols as they are, in one integer."""
-    c = symbols.reshape(CHUNKS, WIDTH)
-    keys = []
-    for out in range(WIDTH):
-        k = np.arange(CHUNKS, dtype=np.uint64) * np.uint64(WIDTH) + np.uint64(out)
-        for j in range(WIDTH):
-            if j != out:
-                k = (k << np.uint64(SYMBOL)) | c[:, j]
-        keys.append(k)
-    return np.concatenate(keys).astype(np.int64)
+    return F.array(*(key(c, out) for c in range(CHUNKS) for out in range(WIDTH)))
 
 
 def _texts(batches: Iterator[pa.RecordBatch], column: int, size: int):
@@ -112,20 +132,21 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int, size: int):
 
 
 def sketch(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """id, text_hash, n_shingles, node (the set's hash; null for the empty set), keys."""
+    """id, text_hash, n_shingles, node (the set's hash; null for the empty set), sig."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _texts(batches, 2, size):
             with np.errstate(over="ignore"):
-                found = [signature(s) if len(s) else (None, None) for s in sets]
-                keys = [None if k is None else index_keys(k) for _, k in found]
+                found = [signature(s) if len(s) else None for s in sets]
+                nodes = [set_hash(s) if len(s) else None for s in sets]
+                sigs = [None if x is None else packed(x) for x in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([o for o, _ in found], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["id", "text_hash", "n_shingles", "node", "keys"],
+                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.array(sigs, pa.list_(pa.int64()))],
+                ["id", "text_hash", "n_shingles", "node", "sig"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, text_hash long, n_shingles long, node binary, keys array<long>")
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, text_hash long, n_shingles long, node long, sig array<long>")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
@@ -136,12 +157,16 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, tex
             sets = [s for s in sets if len(s)]
             with np.errstate(over="ignore"):
                 own = [set_hash(s) for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "s"])
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "s"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     wanted = wanted.select(F.col("id").alias("w_id"), F.col("text_hash").alias("w_hash"))
+    word = lambda h: F.pmod(h, F.lit(BITS))
+    bit = lambda h: F.shiftrightunsigned(h, 58)
+    bitmap = wanted.groupBy(word(F.col("w_hash")).alias("word")).agg(F.collect_set(bit(F.col("w_hash"))).alias("bits"))  # 64 bits a word at most
+    rows = rows.join(F.broadcast(bitmap), (word(F.col("text_hash")) == F.col("word")) & F.array_contains("bits", bit(F.col("text_hash"))), "left_semi")
     rows = rows.join(wanted, F.col("id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")), "left_semi")
-    return rows.select("text").mapInArrow(run, "node binary, s array<long>").dropDuplicates(["node"])
+    return rows.select("text").mapInArrow(run, "node long, s array<long>").dropDuplicates(["node"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -153,6 +178,26 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(F.when(fits, 100 * common.cast("long") >= percent * (na + nb - common).cast("long")).otherwise(False)).select("a", "b")
 
 
+def prefix_pairs(known: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes of different components (node, comp) that may be linked; none that is linked is left out.
+
+    Each set is put in one order, rare shingles first. What two linked sets have in common is so much that the first common shingle
+    stands early in both: the rest of each from there on must hold the whole intersection. Shingles that only one set has take
+    places, but can't be common, so they are counted and not joined.
+    """
+    each = sets.select("node", F.size("s").cast("long").alias("n"), F.explode("s").alias("t"))
+    often = each.groupBy("t").agg(F.count("*").alias("df")).where("df > 1")
+    shared = each.join(often, "t").withColumn("of", F.count("*").over(W.partitionBy("node")))
+    place = F.col("n") - F.col("of") + F.row_number().over(W.partitionBy("node").orderBy("df", "t")) - 1
+    early = shared.withColumn("rest", F.col("n") - place).where(100 * F.col("rest") >= percent * F.col("n"))
+    early = early.join(known, "node").select("t", "node", "comp", "n", "rest")
+    x, y = (early.select("t", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "comp", "n", "rest"))) for k in "ab")
+    fits = (100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))
+    room = (100 + percent) * F.least("rest_a", "rest_b") >= percent * (F.col("n_a") + F.col("n_b"))
+    pairs = x.join(y, (x["t"] == y["t"]) & (F.col("comp_a") < F.col("comp_b")) & fits & room)
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, comp: the smallest node that links (a, b) reach, for nodes that have links."""
     both = cut(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
@@ -171,28 +216,30 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_shingles, component_id, kept. Texts are linked if 100 * intersection >= percent * union."""
     rows = cut(sketch(docs, shingle, id_col, text_col), "sketch")
-    classes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("first_id"), F.min_by(F.struct("id", "text_hash"), F.struct("id", "text_hash")).alias("of"), F.first("keys").alias("keys"), F.min("n_shingles").alias("n"))
-    indexed = classes.select("node", F.explode("keys").alias("key"))
+    near = F.struct("id", "text_hash")
+    classes = cut(rows.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("first_id"), F.min_by(F.struct("id", "text_hash", "sig"), near).alias("of"), F.min("n_shingles").alias("n")).select("node", "first_id", "n", "of.*"), "classes")
+    sig = classes.select("node", "sig", "n")
+    fits = (100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))
+    close = fits & (distance(F.col("sig_a"), F.col("sig_b")) <= MOST)
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        return cut(shingle_sets(docs, classes.join(nodes, "node", "left_semi").select("id", "text_hash"), shingle, id_col, text_col), "sets")
+
+    indexed = classes.select("node", F.explode(index_keys(F.col("sig"))).alias("key"))
     shared = indexed.groupBy("key").agg(F.min("node").alias("rep"), F.max("node").alias("last")).where("rep <> last").select("key", "rep")
     members = cut(indexed.join(shared, "key"), "members")
-    stars = cut(members.where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-    active = members.select("node").distinct()
-    wanted = classes.join(active, "node", "left_semi").select("of.id", "of.text_hash")
-    sets = cut(shingle_sets(docs, wanted, shingle, id_col, text_col), "sets")
-    links = cut(confirmed(stars, sets, percent), "links")
+    stars = members.where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct()
+    for x in "ab":
+        stars = stars.join(sig.withColumnsRenamed({"node": x, "sig": f"sig_{x}", "n": f"n_{x}"}), x)
+    stars = cut(stars.where(close).select("a", "b"), "stars")
+    ends = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
+    links = cut(confirmed(stars, sets_of(ends), percent), "links")
     labels = components(links)
-    # Keys that hold several components: their members are compared across components.
     known = members.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
     mixed = known.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key")
-    known = cut(known.join(mixed, "key", "left_semi").join(sets.select("node", F.size("s").alias("n")), "node"), "mixed")
-    per_key = known.groupBy("key", "comp").agg(F.min("n").alias("n0"), F.max("n").alias("n1"))
-    x, y = (per_key.select("key", *(F.col(c).alias(f"{c}_{t}") for c in ("comp", "n0", "n1"))) for t in "xy")
-    may = (100 * F.col("n1_x") >= percent * F.col("n0_y")) & (100 * F.col("n1_y") >= percent * F.col("n0_x"))
-    crossing = x.join(y, "key").where((F.col("comp_x") < F.col("comp_y")) & may).select("key", "comp_x", "comp_y")
-    a, b = (known.select("key", F.col("comp").alias(f"comp_{t}"), F.col("node").alias(c), F.col("n").alias(f"n_{c}")) for t, c in (("x", "a"), ("y", "b")))
-    fits = (100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))
-    pairs = crossing.join(a, ["key", "comp_x"]).join(b, ["key", "comp_y"]).where(fits).select("a", "b").distinct()
-    more = cut(confirmed(pairs, sets, percent), "more")
+    known = cut(known.join(mixed, "key", "left_semi").select("node", "comp").distinct(), "mixed")
+    sets = sets_of(known)
+    more = cut(confirmed(cut(prefix_pairs(known, sets, percent), "crossing"), sets, percent), "more")
     if more.limit(1).count():
         labels = components(links.unionByName(more))
     first = classes.select("node", "first_id")

@@ -3,7 +3,7 @@ import random
 from oracle import frames
 
 from terrasift.llm import registry
-from terrasift.llm.near_dedup import components, near_duplicates
+from terrasift.llm.near_dedup import MOST, PLACES, components, distance, index_keys, near_duplicates, packed
 
 
 def brute(rows, shingle, percent):
@@ -58,7 +58,24 @@ def test_against_sql(spark):
 
 
 def test_components_and_empty(spark):
-    chain = [(bytes([i]), bytes([i + 1])) for i in range(0, 40)] + [(b"\xf0", b"\xf1")]
-    got = {r.node: r.comp for r in components(spark.createDataFrame(chain, "a binary, b binary")).collect()}
-    assert got == {bytes([i]): b"\x00" for i in range(41)} | {b"\xf0": b"\xf0", b"\xf1": b"\xf0"}
+    chain = [(i, i + 1) for i in range(0, 40)] + [(-5, -4)]
+    got = {r.node: r.comp for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert got == dict.fromkeys(range(41), 0) | {-5: -5, -4: -5}
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_distance(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(2)
+    rows = []
+    for _ in range(50):
+        a = rng.integers(0, 1 << 14, PLACES).astype(np.uint64)
+        b = a.copy()
+        at = rng.permutation(PLACES)[: rng.integers(0, PLACES + 1)]
+        b[at] = (b[at] + rng.integers(1, 1 << 14, len(at)).astype(np.uint64)) % np.uint64(1 << 14)
+        rows.append((packed(a).tolist(), packed(b).tolist(), len(at)))
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>, want int")
+    for r in df.select("want", distance(F.col("a"), F.col("b")).alias("got"), F.size(F.array_intersect(index_keys(F.col("a")), index_keys(F.col("b")))).alias("shared")).collect():
+        assert r.want == r.got and (r.shared or r.want > MOST)
