@@ -8,9 +8,11 @@ distance share a key. At similarity 0.85 (0.8) a pair is beyond the distance wit
 No group is expanded into its pairs:
 
 1. texts with equal sets are one class, named by a 64-bit hash of the set; classes are the nodes from here on;
-2. each key links its members to its smallest one only; those within the distance are confirmed on the full sets;
+2. each key links its members to its centre only, the member that shares most keys; those within the distance are confirmed on
+   the full sets;
 3. where a key still holds several components, members of different components are compared as well, so that no link between
-   different texts is lost: an exact prefix filter on their sets (prefix_pairs) names the pairs to confirm;
+   different texts is lost: an exact prefix filter on their sets names the pairs to confirm, first those with each shingle's
+   centre (centre_pairs), then all that are left (prefix_pairs);
 4. components are found by label propagation with pointer jumping, on tables that are cut each round.
 
 Full sets are made a second time, from the texts of nodes that have a pair to confirm. Those texts are found by a join; before
@@ -178,8 +180,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(F.when(fits, 100 * common.cast("long") >= percent * (na + nb - common).cast("long")).otherwise(False)).select("a", "b")
 
 
-def prefix_pairs(known: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes of different components (node, comp) that may be linked; none that is linked is left out.
+def early_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """t, node, n, rest: the shingles in which a set and any linked one can first meet, and how many of the set are left from there on.
 
     Each set is put in one order, rare shingles first. What two linked sets have in common is so much that the first common shingle
     stands early in both: the rest of each from there on must hold the whole intersection. Shingles that only one set has take
@@ -189,13 +191,31 @@ def prefix_pairs(known: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     often = each.groupBy("t").agg(F.count("*").alias("df")).where("df > 1")
     shared = each.join(often, "t").withColumn("of", F.count("*").over(W.partitionBy("node")))
     place = F.col("n") - F.col("of") + F.row_number().over(W.partitionBy("node").orderBy("df", "t")) - 1
-    early = shared.withColumn("rest", F.col("n") - place).where(100 * F.col("rest") >= percent * F.col("n"))
-    early = early.join(known, "node").select("t", "node", "comp", "n", "rest")
-    x, y = (early.select("t", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "comp", "n", "rest"))) for k in "ab")
+    return shared.withColumn("rest", F.col("n") - place).where(100 * F.col("rest") >= percent * F.col("n")).select("t", "node", "n", "rest")
+
+
+def _may_link(percent: int) -> Column:
+    """Whether sizes and what is left of both sets, a and b, allow a link; it holds at the first common shingle of linked sets."""
     fits = (100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))
-    room = (100 + percent) * F.least("rest_a", "rest_b") >= percent * (F.col("n_a") + F.col("n_b"))
-    pairs = x.join(y, (x["t"] == y["t"]) & (F.col("comp_a") < F.col("comp_b")) & fits & room)
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    return (F.col("comp_a") != F.col("comp_b")) & fits & ((100 + percent) * F.least("rest_a", "rest_b") >= percent * (F.col("n_a") + F.col("n_b")))
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    return rows.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
+def centre_pairs(early: DataFrame, percent: int) -> DataFrame:
+    """Of pairs from different components those with a shingle's centre, the set in which it stands earliest: one pair a row at most."""
+    centre = early.groupBy("t").agg(F.max_by(F.struct("node", "comp", "n", "rest"), F.struct(F.col("rest") - F.col("n"), "node")).alias("c"))
+    b = early.select("t", *(F.col(c).alias(f"{c}_b") for c in ("node", "comp", "n", "rest")))
+    a = centre.select("t", *(F.col(f"c.{c}").alias(f"{c}_a") for c in ("node", "comp", "n", "rest")))
+    return _pairs(b.join(a, "t").where(_may_link(percent)))
+
+
+def prefix_pairs(early: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) from different components that early shingles allow; none that is linked is left out."""
+    x, y = (early.select("t", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "comp", "n", "rest"))) for k in "ab")
+    return _pairs(x.join(y, (x["t"] == y["t"]) & (F.col("comp_a") < F.col("comp_b")) & _may_link(percent)))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -226,8 +246,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
         return cut(shingle_sets(docs, classes.join(nodes, "node", "left_semi").select("id", "text_hash"), shingle, id_col, text_col), "sets")
 
     indexed = classes.select("node", F.explode(index_keys(F.col("sig"))).alias("key"))
-    shared = indexed.groupBy("key").agg(F.min("node").alias("rep"), F.max("node").alias("last")).where("rep <> last").select("key", "rep")
+    shared = indexed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = cut(indexed.join(shared, "key"), "members")
+    # A key's centre is its member that shares most keys with most others: nearest to a copy's original, so that one round links most of a group.
+    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    centre = members.join(weight, "node").groupBy("key").agg(F.max_by("node", F.struct("weight", "node")).alias("rep"))
+    members = members.select("key", "node").join(centre, "key")
     stars = members.where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct()
     for x in "ab":
         stars = stars.join(sig.withColumnsRenamed({"node": x, "sig": f"sig_{x}", "n": f"n_{x}"}), x)
@@ -239,9 +263,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     mixed = known.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key")
     known = cut(known.join(mixed, "key", "left_semi").select("node", "comp").distinct(), "mixed")
     sets = sets_of(known)
-    more = cut(confirmed(cut(prefix_pairs(known, sets, percent), "crossing"), sets, percent), "more")
-    if more.limit(1).count():
-        labels = components(links.unionByName(more))
+    early = cut(early_shingles(sets, percent), "early")
+    for pairs_of in (centre_pairs, prefix_pairs):
+        now = known.select("node").join(labels, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
+        more = cut(confirmed(cut(pairs_of(early.join(now, "node"), percent), "crossing"), sets, percent), "more")
+        if more.limit(1).count():
+            links = cut(links.unionByName(more), "links")
+            labels = components(links)
     first = classes.select("node", "first_id")
     in_comp = cut(first.join(labels, "node"), "in-comp")
     smallest = in_comp.groupBy("comp").agg(F.min("first_id").alias("comp_id"))
