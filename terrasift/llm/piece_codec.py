@@ -24,6 +24,7 @@ ids) are not read. An empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from operator import add
@@ -62,11 +63,12 @@ class Model:
         self.unknown = next(i for i, p in enumerate(m.pieces) if p.type == 2)
         self.longest = max(map(len, self.pieces))
         self.lowest = min(s for _, s in self.pieces.values()) - 10
+        self.lines = not any("\n" in p and len(p) > 1 for p in self.pieces)
         self.units = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.pieces)
         self.texts = [bytes([int(p.piece[3:5], 16)]) if p.type == 6 else b"" if p.type == 3 else p.piece.replace(SPACE, " ").encode() for p in m.pieces]
         self.texts[self.unknown] = " ⁇ ".encode()
         self.scores = {p: score for p, (_, score) in self.pieces.items()}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs, self.n_pairs = {}, 0  # whether the second token may follow the first
         #: Beginnings of pieces, with whether they can be tokens: not all pieces of a BPE vocabulary are results of its merges.
         self.prefixes = {p[:i]: False for p in self.pieces for i in range(1, len(p))}
         self.prefixes |= {p: not self.bpe or self.merged(p) == [p] for p in self.pieces}
@@ -90,12 +92,17 @@ class Model:
                 return s
             s[at : at + 2] = [s[at] + s[at + 1]]
 
+    def followers(self, a: str) -> dict[str, bool]:
+        """What is known of the tokens that may follow a."""
+        if self.n_pairs > PAIRS:
+            self.pairs.clear()
+            self.n_pairs = 0
+        return self.pairs.setdefault(a, {})
+
     def valid(self, a: str, b: str) -> bool:
-        got = self.pairs.get((a, b))
-        if got is None:
-            if len(self.pairs) > PAIRS:
-                self.pairs.clear()
-            got = self.pairs[a, b] = self.merged(a + b) == [a, b]
+        got = self.merged(a + b) == [a, b]
+        self.n_pairs += 1
+        self.followers(a)[b] = got
         return got
 
 
@@ -120,7 +127,7 @@ class Encoder:
     def _extend(self, stop: int) -> None:
         """Go on from all places before stop: the tokens that begin at them have been seen whole."""
         m, text, token, best = self.m, self.text, self.token, self.best
-        prefixes, pairs, n, bpe = m.prefixes, m.pairs, len(self.text), m.bpe
+        known, n, bpe, longest = m.prefixes.get, len(self.text), m.bpe, m.longest
         token += [None] * (n + 1 - len(token))
         if not bpe:
             best += [None] * (n + 1 - len(best))
@@ -128,19 +135,21 @@ class Encoder:
             prior = token[a]
             if prior is None:
                 continue
-            for end in range(a + 1, min(n, a + m.longest) + 1):
+            follows = m.followers(prior).get if bpe and prior else None
+            one = a + 1
+            for end in range(one, min(n, a + longest) + 1):
                 t = text[a:end]
-                known = prefixes.get(t)
-                if known or end == a + 1:  # a character is a token of last resort
-                    if bpe:
-                        ok = not prior or pairs.get((prior, t))
-                        if ok or (ok is None and m.valid(prior, t)):
-                            token[end] = t
-                    else:
-                        score = best[a] + (m.pieces[t][1] if known else m.lowest)
+                piece = known(t)
+                if piece or end == one:  # a character is a token of last resort
+                    if not bpe:
+                        score = best[a] + (m.pieces[t][1] if piece else m.lowest)
                         if best[end] is None or score > best[end]:
                             token[end], best[end] = t, score
-                if known is None:
+                    elif token[end] is None:  # only one token can end here
+                        ok = True if follows is None else follows(t)
+                        if ok or (ok is None and m.valid(prior, t)):
+                            token[end] = t
+                if piece is None:
                     break
         self.place = max(self.place, stop)
 
@@ -193,19 +202,31 @@ class Codec:
         self.model, self.memo = load(path), {}
 
     def _unit(self, unit: str) -> bytes:
-        out = np.array(encode_unit(self.model, unit.replace(" ", SPACE)), np.int32).tobytes()
+        """unit: a word after a space, a line's first word after its newline, or (from a space on) text as it is."""
+        text = unit if unit[:1] in (" ", "\n", SPACE) else " " + unit
+        out = array("i", encode_unit(self.model, text.replace(" ", SPACE))).tobytes()
         if len(unit) <= MEMO_CHARS:
             if len(self.memo) >= MEMO:
                 self.memo.clear()
             self.memo[unit] = out
         return out
 
+    def _units(self, text: str) -> list[str]:
+        """Parts that no token joins. Without runs of spaces they are words: a newline is in no longer piece, so it ends a part as well."""
+        m = self.model
+        if not m.units:
+            return [" " + text]
+        if m.lines and SPACE not in text:
+            parts = text.replace("\n", " \n").split(" ")
+            if "" not in parts:
+                return parts
+        return _UNIT.split(" " + text)
+
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, np.int32)
         get, make = self.memo.get, self._unit
-        units = _UNIT.split(" " + text) if self.model.units else [" " + text]
-        return np.frombuffer(b"".join([get(u) or make(u) for u in units]), np.int32)
+        return np.frombuffer(b"".join([get(u) or make(u) for u in self._units(text)]), np.int32)
 
     def decode(self, ids: Iterable[int] | None) -> str:
         out = b"".join(map(self.model.texts.__getitem__, ids if ids is not None else ()))
