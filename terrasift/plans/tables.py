@@ -57,6 +57,12 @@ def status_rank_sort(spark, sf_dir):
     return o.select("o_orderkey", rank.alias("rank")).orderBy("rank", "o_orderkey")
 
 
+@query("status_rank_sort_all", "SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 1 ELSE 9 END AS rank FROM orders")
+def status_rank_sort_all(spark, sf_dir):
+    rank = F.when(F.col("o_orderstatus") == "O", 0).when(F.col("o_orderstatus") == "F", 1).otherwise(9)
+    return table(spark, sf_dir, "orders").select("o_orderkey", rank.alias("rank")).orderBy("rank", "o_orderkey")
+
+
 @query("numeric_label_sort", "SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 0 ELSE 1 END AS is_text, CASE WHEN p_partkey % 2 = 0 THEN p_size::DOUBLE ELSE 0 END AS number FROM part")
 def numeric_label_sort(spark, sf_dir):
     p = table(spark, sf_dir, "part")
@@ -149,6 +155,13 @@ def fuzzy_words(spark, sf_dir):
     return J.near_words(c.where("c_custkey % 10 = 0"), c.where("c_custkey % 10 = 1"))
 
 
+@query("fuzzy_words_all")
+def fuzzy_words_all(spark, sf_dir):
+    """All words of one table's texts against all of another's; in SQL this would compare each with each."""
+    words = lambda name: table(spark, sf_dir, name).select(F.explode(F.split(F.lower("text"), "\\s+")).alias("word"))
+    return J.near_words(words("conversations"), words("benchmark"))
+
+
 @query("family_newest", "SELECT o_custkey, count(*) AS n, CASE WHEN count(*) FILTER (d = m) = 1 THEN max(o_orderkey) FILTER (d = m) END AS newest FROM (SELECT *, o_orderdate AS d, max(o_orderdate) OVER (PARTITION BY o_custkey) AS m FROM orders) GROUP BY 1")
 def family_newest(spark, sf_dir):
     o = table(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderdate").agg(F.count("*").alias("k"), F.max("o_orderkey").alias("key"))
