@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,11 +51,31 @@ def near_pairs(a: DataFrame, b: DataFrame, radius: float = 800.0, cell: float =
     return x.join(y, ["cx", "cy"]).withColumn("d", d).where(F.col("d") < radius + 1).select("a_id", "b_id", "d", "dx", "dy")
 
 
-def greedy_match(pairs: DataFrame, most_rounds: int = 1000) -> DataFrame:
+def _serve_in_order(pairs: DataFrame) -> DataFrame:
+    """a_id, b_id, d: rows of a in order of id each take the nearest free b. One sorted stream, of which only the ids of b that are taken are kept."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        taken, served = set(), None
+        for batch in batches:
+            keep = []
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                keep.append(a != served and b not in taken)
+                if keep[-1]:
+                    served = a
+                    taken.add(b)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    ordered = pairs.repartition(1).sortWithinPartitions("a_id", "d", "dx", "dy", "b_id").select("a_id", "b_id", "d")
+    return ordered.mapInArrow(run, ordered.schema)
+
+
+def greedy_match(pairs: DataFrame, most_rounds: int = 20) -> DataFrame:
     """a_id, b_id, d: rows of a in order of id each take the nearest b that is still free.
 
     In rounds: every a without a match asks its nearest b that has not refused it; each b keeps the smallest a that
     asks, and refuses the others. That ends where serving a in order would, as every b prefers smaller ids.
+    Where many rows of a share a place a round may settle only one of them; so what most_rounds leave open is served in order, without the rows
+    that are settled: no smaller a has their b in reach any more.
     Each round is an aggregate and two joins; lineage is cut by a checkpoint every few rounds.
     """
     from terrasift.operators.lineage import cut
@@ -68,8 +91,12 @@ def greedy_match(pairs: DataFrame, most_rounds: int = 1000) -> DataFrame:
         done = rest.count() == left.count()
         left, held = rest, new
         if done:
-            break
-    return held
+            return held
+    if held is None:
+        return _serve_in_order(left)
+    least = left.groupBy("b_id").agg(F.min("a_id").alias("least"))
+    settled = cut(held.join(least, "b_id").where("a_id = least").select("a_id", "b_id", "d"))
+    return settled.unionByName(_serve_in_order(left.join(settled.select("a_id"), "a_id", "left_anti")))
 
 
 def tile_of(lon: Column, lat: Column, box: tuple[float, float, float, float], step: float) -> Column:
