@@ -84,8 +84,6 @@ def base_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         repeated_words(F.col("w")).alias("n_repeat_words"),
         _only(F.col("text"), "A-Z").alias("capitals"),
         F.size("lines").alias("n_lines"),
-        # A column that is not deterministic keeps filters above: pushed below, they would work the counts out again inside lambdas.
-        F.monotonically_increasing_id().alias("barrier"),
         *(f"k{i}" for i in range(len(keep))),
     )
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
@@ -184,14 +182,13 @@ def fit_mcd(rows: DataFrame, steps: int = 4, share: float = 0.75) -> DataFrame:
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", cutoff: float = CHI_FAR, min_rows: int = 50, steps: int = 4, keep: tuple[str, ...] = ()) -> DataFrame:
     """Each row's base counts, base_failed, distance (null where nothing is estimated) and kept; with the columns ``keep`` of docs.
 
-    With ``keep`` the counts are made again over the texts, as joining verdicts to texts would shuffle all of them.
+    Every text is counted once, into a table that also carries the kept columns; the passes that fit read its few narrow columns. The table also
+    ends the counts' plan: a filter on the verdict that were pushed below them would work them out again for each word.
     """
-    names = (id_col, text_col, lang_col, source_col)
-    base = cut(base_rules(docs, *names), "quality")
-    levels = _levels(base, min_rows)
-    rows = cut(_grouped(base, levels), "quality")
+    base = cut(base_rules(docs, id_col, text_col, lang_col, source_col, keep), "quality")
+    rows = _grouped(base, _levels(base, min_rows))
     est = fit_mcd(rows.where(~F.col("base_failed")).select(*GROUP, *X), steps)
-    judged = distances(_same_group(_grouped(base_rules(docs, *names, keep), levels) if keep else rows, est, "left"))
+    judged = distances(_same_group(rows, est, "left"))
     distance = F.when(~F.col("base_failed") & (F.col("n_all") >= min_rows), F.col("d2"))
     kept = ~F.col("base_failed") & (F.coalesce(distance, F.lit(0.0)) <= cutoff)
     return judged.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), distance.alias("distance"), *(F.col(f"k{i}").alias(c) for i, c in enumerate(keep)))
