@@ -9,13 +9,16 @@ and repeated words. FLOORS holds each one's least standard deviation, added to t
 a statistic hardly varies does not reject small departures. Symbols hardly occur in good texts, so that alone they reject from about 7 % of
 the characters. Repeats do occur in labelled-good texts: smaller floors for them, or a chi-square limit of 0.999, reject those texts too.
 
-MCD: the start is each group's median and spread; then ``steps`` concentration steps, each estimating mean and
-covariance from the ``share`` of rows nearest to the last estimate; then one reweighting step with the rows
-inside the chi-square limit. Each step is one aggregation of sums by group and distance bin (sixteenths
-of a doubling), so it merges within tasks, no group is ever gathered, and a hot group costs no more than others.
+MCD: of the ``share`` of each group's rows that lie together, the covariance with the least determinant. It is looked for from several starts: the
+median with the spreads alone, with the correlations of squashed values, with those of directions only, the plain mean and covariance, and those of
+RANDOM sets of about PICKED rows, picked by hash. All are moved by two concentration steps (mean and covariance of the rows nearest to the last
+estimate); the BEST of a group go on until none's determinant gets smaller by more than ``tol`` of its logarithm; the smallest wins, and one
+reweighting step takes the rows inside the chi-square limit. FLOORS are part of each covariance (a regularised MCD), so determinants compare and never vanish.
+Each step is one aggregation of sums by group, start and distance bin (sixteenths of a doubling; the bin in which the share ends counts in part),
+so it merges within tasks, no group is ever gathered, a hot group costs no more than others, and groups that have settled are not read on.
 
-Groups under ``min_rows`` rows are estimated together by language, those still under it in one group; if that
-one is too small as well, nothing in it is rejected. Null language or source is a group like any other.
+Small groups need no other rule: to every group's moments PRIOR rows with the moments of all groups' inner rows together are added, which
+hardly move a group of thousands and decide for a group of a few. Null language or source is a group like any other.
 
 Null text: no words, fails the base rules. Empty texts too. Each row has its own result, repeated or not; null ids
 are kept. Only id, text, language and source are read. An empty table gives an empty result.
@@ -24,6 +27,7 @@ are kept. Only id, text, language and source are read. An empty table gives an e
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -33,6 +37,8 @@ from terrasift.llm.common import cut, table, words
 from terrasift.llm.decl import query
 
 WINDOW = 8
+#: Rows' worth of all groups' moments that each group's estimate is held by.
+PRIOR = 50.0
 FLOORS = (0.08, 0.04, 0.08, 0.12, 0.12)
 D = len(FLOORS)
 #: Chi-square with five degrees of freedom: the limits of 0.75, 0.975 and 0.99999994.
@@ -94,103 +100,125 @@ def base_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 X = [f"x{i}" for i in range(D)]
 PAIRS = [(i, j) for i in range(D) for j in range(i + 1)]
-GROUP = ["g_level", "g_lang", "g_source"]
+GROUP = ["lang", "source"]
+M, A = [f"m{i}" for i in range(D)], [f"a{i}{j}" for i, j in PAIRS]
+SUMS = ["n", *(f"s{i}" for i in range(D)), *(f"q{i}{j}" for i, j in PAIRS)]
+#: Starts by about PICKED rows each, and how many starts of all go on after two steps.
+RANDOM, PICKED, BEST = 16, D + 1, 4
 
 
 def _same_group(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
     """Join on GROUP, where null is a value like any other; b's columns of it go."""
     b = b.withColumnsRenamed({c: f"b_{c}" for c in GROUP})
-    on = (F.col("g_level") == F.col("b_g_level")) & F.col("g_lang").eqNullSafe(F.col("b_g_lang")) & F.col("g_source").eqNullSafe(F.col("b_g_source"))
-    return a.join(b, on, how).drop(*(f"b_{c}" for c in GROUP))
-
-
-def _levels(base: DataFrame, min_rows: int) -> DataFrame:
-    """Which group estimates a language and source: they themselves (level 2), the language's small sources (1), all that is still small (0)."""
-    counts = base.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("n"))
-    small = counts.where(F.col("n") < min_rows).groupBy("lang").agg(F.sum("n").alias("n_lang"))
-    counts, small = counts.withColumnsRenamed({"lang": "c_lang", "source": "c_source"}), small.withColumnRenamed("lang", "s_lang")
-    levels = counts.join(small, F.col("c_lang").eqNullSafe(F.col("s_lang")), "left")
-    level = F.when(F.col("n") >= min_rows, 2).when(F.col("n_lang") >= min_rows, 1).otherwise(0)
-    return cut(levels.select("c_lang", "c_source", level.alias("g_level")), "levels")
-
-
-def _grouped(base: DataFrame, levels: DataFrame) -> DataFrame:
-    """Rows with the group that estimates them."""
-    out = base.join(levels, F.col("lang").eqNullSafe(F.col("c_lang")) & F.col("source").eqNullSafe(F.col("c_source")), "left").drop("c_lang", "c_source")
-    return out.withColumn("g_lang", F.when(F.col("g_level") >= 1, F.col("lang"))).withColumn("g_source", F.when(F.col("g_level") == 2, F.col("source")))
+    return a.join(b, F.expr(" AND ".join(f"{c} <=> b_{c}" for c in GROUP)), how).drop(*(f"b_{c}" for c in GROUP))
 
 
 def distances(rows: DataFrame) -> DataFrame:
     """d2, the squared Mahalanobis distance of x from m by the inverse covariance a; one flat sum, as nested steps would multiply in the plan."""
-    v = [F.col(f"x{i}") - F.col(f"m{i}") for i in range(D)]
-    return rows.withColumn("d2", sum(((1 if i == j else 2) * F.col(f"a{i}{j}") * v[i] * v[j] for i, j in PAIRS), F.lit(0.0)))
-
-
-def _inverse(cells: Callable[[int, int], Column]) -> Column:
-    """Inverse of a symmetric positive definite matrix by the sweep operator, an array of rows."""
-    start = F.array(*(F.array(*(cells(max(i, j), min(i, j)) for j in range(D))) for i in range(D)))
-
-    def sweep(m: Column, k: Column) -> Column:
-        at = lambda i, j: F.get(F.get(m, i), j)
-
-        def cell(x: Column, i: Column, j: Column) -> Column:
-            on = F.when((i == k) & (j == k), -1 / at(k, k)).when((i == k) | (j == k), x / at(k, k))
-            return on.otherwise(x - at(i, k) * at(k, j) / at(k, k))
-
-        return F.transform(m, lambda row, i: F.transform(row, lambda x, j: cell(x, i, j)))
-
-    return F.aggregate(F.array(*map(F.lit, range(D))), start, sweep)
-
-
-def _estimate(sums: DataFrame, factor: float) -> DataFrame:
-    """Mean m and inverse a of each group's covariance, times factor, plus the floors."""
-    means = sums.select("*", *((F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(D)))
-
-    def cell(i: int, j: int) -> Column:
-        c = F.lit(factor) * (F.col(f"q{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"))
-        return F.greatest(c, F.lit(0.0)) + FLOORS[i] ** 2 if i == j else c
-
-    out = means.withColumn("inverse", _inverse(cell))
-    return out.select(*GROUP, "n_all", *(f"m{i}" for i in range(D)), *((-F.get(F.get("inverse", F.lit(i)), F.lit(j))).alias(f"a{i}{j}") for i, j in PAIRS))
-
-
-def _sums() -> list[Column]:
-    return [F.count("*").alias("n"), *(F.sum(x).alias(f"s{i}") for i, x in enumerate(X)), *(F.sum(F.col(X[i]) * F.col(X[j])).alias(f"q{i}{j}") for i, j in PAIRS)]
-
-
-def _nearest(rows: DataFrame, est: DataFrame, share: float) -> DataFrame:
-    """Sums over the distance bins that hold the nearest ``share`` of each group's rows: at least that many, ended by a whole bin."""
-    binned = distances(_same_group(rows, est.drop("n_all"))).withColumn("bin", F.floor(16 * F.log2(F.greatest("d2", F.lit(1e-6)))))
-    bins = binned.groupBy(*GROUP, "bin").agg(*_sums())
-    within = W.partitionBy(*GROUP)
-    bins = bins.withColumn("n_all", F.sum("n").over(within)).withColumn("before", F.sum("n").over(within.orderBy("bin")) - F.col("n"))
-    kept = bins.where(F.col("before") < F.ceil(share * F.col("n_all")))
-    return kept.groupBy(*GROUP).agg(F.max("n_all").alias("n_all"), *(F.sum(c).alias(c) for c in ["n", *(f"s{i}" for i in range(D)), *(f"q{i}{j}" for i, j in PAIRS)]))
-
-
-def fit_mcd(rows: DataFrame, steps: int = 4, share: float = 0.75) -> DataFrame:
-    """One row a group: n_all, mean and inverse covariance. rows: GROUP and X."""
-    mid = rows.groupBy(*GROUP).agg(F.count("*").alias("n_all"), *(F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(1000)).alias(f"p{i}") for i, x in enumerate(X)))
-    spread = lambda i: F.pow((F.get(f"p{i}", F.lit(2)) - F.get(f"p{i}", F.lit(0))) / 1.349, 2) + FLOORS[i] ** 2
-    est = cut(mid.select(*GROUP, "n_all", *(F.get(f"p{i}", F.lit(1)).alias(f"m{i}") for i in range(D)), *((1 / spread(i) if i == j else F.lit(0.0)).alias(f"a{i}{j}") for i, j in PAIRS)), "mcd")
-    for _ in range(steps):
-        est = cut(_estimate(_nearest(rows, est, share), C_75), "mcd")
-    inner = distances(_same_group(rows, est)).where(F.col("d2") <= CHI_975)
-    return cut(_estimate(inner.groupBy(*GROUP).agg(F.max("n_all").alias("n_all"), *_sums()), C_975), "mcd")
-
-
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", cutoff: float = CHI_FAR, min_rows: int = 50, steps: int = 4, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Each row's base counts, base_failed, distance (null where nothing is estimated) and kept; with the columns ``keep`` of docs.
+    return rows.withColumn("d2", F.expr(" + ".join(f"{1 if i == j else 2} * a{i}{j} * (x{i} - m{i}) * (x{j} - m{j})" for i, j in PAIRS)))
+
+
+def _inverted(rows: DataFrame, cell: Callable[[int, int], str], *keep: str) -> DataFrame:
+    """Kept columns, m, and of the covariance whose cells (i >= j) are SQL: the inverse a and logdet, by the sweep operator; logdet sums its pivots."""
+    start = ", ".join(f"array({', '.join(f'CAST({cell(max(i, j), min(i, j))} AS DOUBLE)' for j in range(D))})" for i in range(D))
+    swept = f"""
+        aggregate(sequence(0, {D - 1}), named_struct('m', array({start}), 'logdet', 0D), (s, k) -> named_struct(
+            'm', transform(s.m, (row, i) -> transform(row, (x, j) -> CASE
+                WHEN i = k AND j = k THEN -1 / x
+                WHEN i = k OR j = k THEN x / get(get(s.m, k), k)
+                ELSE x - get(get(s.m, i), k) * get(get(s.m, k), j) / get(get(s.m, k), k) END)),
+            'logdet', s.logdet + ln(get(get(s.m, k), k))))"""
+    return rows.selectExpr(*keep, *M, f"{swept} AS swept").selectExpr(*keep, *M, *(f"-swept.m[{i}][{j}] AS a{i}{j}" for i, j in PAIRS), "swept.logdet AS logdet")
+
+
+def _estimate(sums: DataFrame, factor: float, *keep: str) -> DataFrame:
+    """Mean, inverse and logdet of each row's covariance, times factor, plus the floors."""
+
+    def cell(i: int, j: int) -> str:
+        c = f"{factor!r}D * (q{i}{j} / n - m{i} * m{j})"
+        return f"greatest({c}, 0D) + {FLOORS[i] ** 2!r}D" if i == j else c
+
+    return _inverted(sums.selectExpr("*", *(f"s{i} / n AS m{i}" for i in range(D))), cell, *keep)
+
+
+def _sums(x: str = "x") -> list[Column]:
+    return [F.expr(e) for e in ("count(*) AS n", *(f"sum({x}{i}) AS s{i}" for i in range(D)), *(f"sum({x}{i} * {x}{j}) AS q{i}{j}" for i, j in PAIRS))]
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """One row for each group and start: where concentration begins."""
+    mid = rows.groupBy(*GROUP).agg(F.expr("count(*) AS rows"), *(F.expr(f"percentile_approx({x}, array(0.25D, 0.5D, 0.75D), 1000) AS p{i}") for i, x in enumerate(X)))
+    mid = cut(mid.selectExpr(*GROUP, "rows", *(f"p{i}[1] AS c{i}" for i in range(D)), *(f"sqrt(pow((p{i}[2] - p{i}[0]) / 1.349D, 2) + {FLOORS[i] ** 2!r}D) AS w{i}" for i in range(D))), "mcd")
+    z = _same_group(rows, mid).selectExpr(*GROUP, "rows", *X, *(f"(x{i} - c{i}) / w{i} AS z{i}" for i in range(D)))
+    z = z.withColumn("norm", F.expr(f"greatest(sqrt({' + '.join(f'z{i} * z{i}' for i in range(D))}), 1e-9D)"))
+    struct = lambda start, v: f"named_struct('start', {start}, " + ", ".join(f"'v{i}', {v.format(i)}" for i in range(D)) + ")"
+    always = [struct("'squashed'", "tanh(z{0})"), struct("'directions'", "z{0} / norm"), struct("'plain'", "x{0}")]
+    picked = f"transform(filter(sequence(1, {RANDOM}), r -> pmod(xxhash64({', '.join(X)}, r), rows) < {PICKED}), r -> {struct("concat('random ', r)", 'x{0}')})"
+    each = z.selectExpr(*GROUP, f"inline(concat(array({', '.join(always)}), {picked}))")
+    sums = cut(_same_group(each.groupBy(*GROUP, "start").agg(*_sums("v")), mid), "mcd")
+
+    def correlated(i: int, j: int) -> str:
+        size = f"sqrt(q{i}{i} * q{j}{j})"
+        return f"w{i} * w{i} + {FLOORS[i] ** 2!r}D" if i == j else f"coalesce(try_divide(q{i}{j}, {size}), 0D) * w{i} * w{j}"
+
+    alone = mid.selectExpr(*GROUP, "'spreads' AS start", *(f"c{i} AS m{i}" for i in range(D)), *(f"{f'1 / (w{i} * w{i})' if i == j else '0D'} AS a{i}{j}" for i, j in PAIRS), f"2 * ({' + '.join(f'ln(w{i})' for i in range(D))}) AS logdet")
+    about = F.col("start").isin("squashed", "directions")  # the median
+    centred = sums.where(about).withColumnsRenamed({f"c{i}": f"m{i}" for i in range(D)})
+    plain = _estimate(sums.where(~about), 1.0, *GROUP, "start")
+    return cut(alone.unionByName(_inverted(centred, correlated, *GROUP, "start")).unionByName(plain), "mcd")
+
+
+def _concentrated(rows: DataFrame, est: DataFrame, share: float) -> DataFrame:
+    """One concentration step of each group and start: the estimate by the ``share`` of the group's rows nearest to the last one."""
+    binned = distances(_same_group(rows, est)).withColumn("bin", F.expr("floor(16 * log2(greatest(d2, 1e-6D)))"))
+    bins = binned.groupBy(*GROUP, "start", "bin").agg(*_sums())
+    within = W.partitionBy(*GROUP, "start")
+    bins = bins.withColumn("before", F.sum("n").over(within.orderBy("bin")) - F.col("n")).withColumn("all", F.sum("n").over(within))
+    kept = bins.withColumn("part", F.expr(f"least(1D, (ceil({share!r}D * all) - before) / n)")).where("part > 0")
+    return _estimate(kept.groupBy(*GROUP, "start").agg(*(F.expr(f"sum({c} * part) AS {c}") for c in SUMS)), C_75, *GROUP, "start")
+
+
+def least_determinant(rows: DataFrame, share: float = 0.75, tol: float = 1e-3) -> DataFrame:
+    """One row a group: m, a and logdet of its MCD, before reweighting, and the start that led there. rows: GROUP and X."""
+    est = _starts(rows)
+    for _ in range(2):
+        est = cut(_concentrated(rows, est, share), "mcd")
+    place = F.row_number().over(W.partitionBy(*GROUP).orderBy("logdet", "start"))  # over one row a start
+    moving, settled = cut(est.withColumn("place", place).where(F.col("place") <= BEST).drop("place"), "mcd"), []
+    result = F.struct(*M, *A, "logdet").alias("r")
+    while True:
+        old = moving.select(*GROUP, "start", result).withColumnsRenamed({"r": "r0", "start": "start0"})
+        new = cut(_same_group(_concentrated(rows, moving, share).select(*GROUP, "start", result), old).where("start = start0").drop("start0"), "mcd")
+        smaller = F.expr(f"r.logdet < r0.logdet - {tol!r}D")
+        # A step that makes the determinant no smaller is not taken.
+        settled.append(new.where(~smaller).select(*GROUP, "start", F.expr("IF(r.logdet < r0.logdet, r, r0) AS r")))
+        moving = new.where(smaller).select(*GROUP, "start", "r.*")
+        if not moving.limit(1).count():
+            break
+    least = reduce(DataFrame.unionByName, settled).groupBy(*GROUP).agg(F.expr("min_by(struct(start, r), struct(r.logdet, start)) AS s"))
+    return least.select(*GROUP, "s.start", "s.r.*")
+
+
+def fit_mcd(rows: DataFrame, share: float = 0.75, prior: float = PRIOR) -> DataFrame:
+    """One row a group: mean and inverse covariance, reweighted and held by ``prior`` rows of all groups' moments. rows: GROUP and X."""
+    inner = distances(_same_group(rows, least_determinant(rows, share))).where(F.col("d2") <= CHI_975)
+    sums = cut(inner.groupBy(*GROUP).agg(*_sums()), "mcd")
+    every = sums.agg(*(F.expr(f"sum({c}) AS p_{c}") for c in SUMS))
+    held = sums.crossJoin(F.broadcast(every)).selectExpr(*GROUP, *(f"{c} + {prior!r}D * p_{c} / p_n AS {c}" for c in SUMS))  # one row beside each group's
+    return cut(_estimate(held, C_975, *GROUP), "mcd")
+
+
+def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", cutoff: float = CHI_FAR, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Each row's base counts, base_failed, distance (null if base_failed) and kept; with the columns ``keep`` of docs.
 
     Every text is counted once, into a table that also carries the kept columns; the passes that fit read its few narrow columns. The table also
     ends the counts' plan: a filter on the verdict that were pushed below them would work them out again for each word.
     """
     base = cut(base_rules(docs, id_col, text_col, lang_col, source_col, keep), "quality")
-    rows = _grouped(base, _levels(base, min_rows))
-    est = fit_mcd(rows.where(~F.col("base_failed")).select(*GROUP, *X), steps)
-    judged = distances(_same_group(rows, est, "left"))
-    distance = F.when(~F.col("base_failed") & (F.col("n_all") >= min_rows), F.col("d2"))
-    kept = ~F.col("base_failed") & (F.coalesce(distance, F.lit(0.0)) <= cutoff)
+    est = fit_mcd(base.where(~F.col("base_failed")).select(*GROUP, *X))
+    judged = distances(_same_group(base, est, "left"))
+    distance = F.when(~F.col("base_failed"), F.col("d2"))
+    kept = ~F.col("base_failed") & (distance <= cutoff)
     return judged.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), distance.alias("distance"), *(F.col(f"k{i}").alias(c) for i, c in enumerate(keep)))
 
 

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from terrasift.llm import registry
-from terrasift.llm.quality_rules import C_75, C_975, CHI_975, D, FLOORS, base_rules, distances, fit_mcd, quality_rules
+from terrasift.llm.quality_rules import C_75, C_975, CHI_975, D, FLOORS, X, _same_group, base_rules, distances, fit_mcd, least_determinant, quality_rules
 
 SF = "/root/testdata/sf0.01"
 
@@ -48,37 +48,78 @@ def test_query_base_columns(spark):
     assert np.mean([not r.kept for r in bad]) > 0.5
 
 
-def brute_mcd(x, steps=4, share=0.75):
-    floor = np.diag(np.square(FLOORS))
-    q = np.array([[sorted(c)[max(0, int(np.ceil(p * len(c))) - 1)] for p in (0.25, 0.5, 0.75)] for c in x.T])
-    m, cov = q[:, 1], np.diag(((q[:, 2] - q[:, 0]) / 1.349) ** 2) + floor
-    d2 = lambda m, cov: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(cov), x - m)
-    for _ in range(steps):
-        b = np.floor(16 * np.log2(np.maximum(d2(m, cov), 1e-6)))
-        near = x[b <= np.sort(b)[int(np.ceil(share * len(x))) - 1]]
-        m, cov = near.mean(0), C_75 * np.cov(near.T, bias=True) + floor
-    inner = x[d2(m, cov) <= CHI_975]
-    m, cov = inner.mean(0), C_975 * np.cov(inner.T, bias=True) + floor
-    return d2(m, cov)
+def mahalanobis(x, m, cov):
+    return np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(cov), x - m)
 
 
-def test_mcd_against_numpy(spark):
-    rng = np.random.default_rng(5)
-    x = rng.normal(size=(400, D)) * [0.1, 0.2, 0.3, 0.05, 0.4]
-    x[:60] += 4
-    rows = spark.createDataFrame([(2, "en" if i % 2 else None, "s", i, *map(float, v)) for i, v in enumerate(x)], "g_level int, g_lang string, g_source string, i int, " + ", ".join(f"x{i} double" for i in range(D)))
-    est = fit_mcd(rows)
-    from terrasift.llm.quality_rules import _same_group
+def brute_mcd(x, rng, tries=150):
+    """Least log-determinant over many random starts with exact subsets, and the distances after reweighting."""
+    floor, h, best = np.diag(np.square(FLOORS)), int(np.ceil(0.75 * len(x))), (np.inf, None)
+    for _ in range(tries):
+        near = x[rng.choice(len(x), D + 1, replace=False)]
+        last = np.inf
+        while True:
+            m, cov = near.mean(0), C_75 * np.cov(near.T, bias=True) + floor
+            now = np.linalg.slogdet(cov)[1] if len(near) == h else np.inf
+            if now >= last - 1e-9 and len(near) == h:
+                break
+            last, near = now, x[np.argsort(mahalanobis(x, m, cov), kind="stable")[:h]]
+        best = min(best, (last, near), key=lambda b: b[0])
+    m, cov = best[1].mean(0), C_75 * np.cov(best[1].T, bias=True) + floor
+    inner = x[mahalanobis(x, m, cov) <= CHI_975]
+    return best[0], mahalanobis(x, inner.mean(0), C_975 * np.cov(inner.T, bias=True) + floor)
+
 
-    got = {r.i: r.d2 for r in distances(_same_group(rows, est)).select("i", "d2").collect()}
-    for k in (0, 1):
-        want = brute_mcd(x[k::2])
-        assert np.allclose([got[i] for i in range(k, 400, 2)], want, rtol=1e-6)
-    assert min(got[i] for i in range(60)) > 42
+def frame(spark, groups):
+    rows = [(g, "s", i, *map(float, v)) for g, x in groups.items() for i, v in enumerate(x)]
+    return spark.createDataFrame(rows, "lang string, source string, i int, " + ", ".join(f"{c} double" for c in X))
 
 
-def test_small_groups_and_empty(spark):
+def test_mcd_against_random_starts(spark):
+    """Contaminated groups, correlated ones, and one whose medians and spreads mislead: the least determinant and the distances of an independent search."""
+    rng = np.random.default_rng(5)
+    turn = np.linalg.qr(rng.normal(size=(D, D)))[0]
+    clean = lambda n: rng.normal(size=(n, D)) * [0.1, 0.2, 0.3, 0.15, 0.4]
+    groups = {None: clean(300), "far": clean(300), "correlated": (clean(300) * [1, 1, 8, 1, 8]) @ turn, "split": clean(300)}
+    groups["far"][:60] += 4
+    groups["correlated"][:70] = groups["correlated"][:70] * 0.2 + 3 * turn[:, 0]
+    groups["split"][:72, 0] += rng.choice([-3, 3], 72)
+    df = frame(spark, groups)
+    dets = {r.lang: r.logdet for r in least_determinant(df).collect()}
+    got = {(r.lang, r.i): r.d2 for r in distances(_same_group(df, fit_mcd(df, prior=0.0))).select("lang", "i", "d2").collect()}
+    for g, x in groups.items():
+        det, want = brute_mcd(x, rng)
+        mine = np.array([got[g, i] for i in range(len(x))])
+        assert dets[g] < det + 0.05, (g, dets[g], det)
+        assert np.corrcoef(np.log(mine), np.log(want))[0, 1] > 0.99
+        assert ((mine > 42) == (want > 42)).mean() > 0.99
+    for g, n in (("far", 60), ("correlated", 70), ("split", 72)):
+        assert min(got[g, i] for i in range(n)) > 42
+
+
+def test_small_groups(spark):
+    """One rule for all sizes: groups of a few rows, of one and of like rows are judged by what they and the others are."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(500, D)) * [0.1, 0.2, 0.3, 0.15, 0.4]
+    df = frame(spark, {"many": x, "few": x[:6], "one": x[:1], "same": np.repeat(x[:1], 40, 0), "odd": x[:1] + 9})
+    got = {(r.lang, r.i): r.d2 for r in distances(_same_group(df, fit_mcd(df))).select("lang", "i", "d2").collect()}
+    assert len(got) == 548 and got["odd", 0] > 42
+    assert max(v for k, v in got.items() if k[0] != "odd") < 42
+
+
+def test_groups_without_names_and_empty(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(30).withColumn("lang", F.lit(None).cast("string"))
     rows = quality_rules(docs).collect()
-    assert len(rows) == 30 and all(r.kept != r.base_failed and r.distance is None for r in rows)
+    assert len(rows) == 30 and all((r.distance is None) == r.base_failed for r in rows)
     assert quality_rules(docs.limit(0)).collect() == []
+    assert quality_rules(docs.withColumn("text", F.lit(None).cast("string"))).where("kept OR NOT base_failed OR distance IS NOT NULL").count() == 0
+
+
+def test_texts_are_counted_once(spark):
+    """A filter on the verdict must not be pushed below the counts."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = quality_rules(docs, keep=("text", "source")).where("kept").select("doc_id", "text", "source")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "split(" not in plan and "xxhash64" not in plan
+    want = {r.doc_id: (r.text, r.source) for r in docs.collect()}
+    assert all(want[r.doc_id] == (r.text, r.source) for r in out.collect())
