@@ -6,7 +6,7 @@ probability f = q - floor(q). Which ones get that last copy is a balanced sample
 moves the vector of probabilities through the null space of two constraints, the source's documents and its
 tokens, so both totals stay exact while all but two probabilities of a block reach 0 or 1.
 
-Blocks have about ``block`` rows, dealt by a hash of id and size, so a hot source is as many blocks as it needs. What is left
+Blocks have about ``block`` rows, dealt by a hash of id, size and, among equal rows, their number, so a hot source or id is as many blocks as it needs. What is left
 fractional of them is dealt into blocks again, until one block holds a source's rest; there the last two are landed on the choice
 that keeps tokens nearest. Passes are few: each keeps two rows of a block.
 
@@ -27,12 +27,12 @@ from pyspark.sql import functions as F
 from terrasift.llm.common import cut, table, words
 from terrasift.llm.decl import query
 
-WEIGHTS, SHARE, CAP, BLOCK = (5, 2, 1), 1.5, 2.0, 2048
+WEIGHTS, SHARE, CAP, BLOCK, CHUNK = (5, 2, 1), 1.5, 2.0, 2048, 1_000_000
 EPS = 1e-9
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
-    """source, source_size, n_docs, target. Its windows run over one row a source.
+    """source, source_size, n_docs, target. Its windows run in one task over one row a source, so sources are taken to be few (thousands).
 
     In the order of cap * size / weight, sources are filled to the cap as long as the level that the rest
     would get is at or above it; the others get weight times that level.
@@ -93,22 +93,27 @@ def land(p: list[float], sizes: list[int]) -> list[float]:
 def cube_sample(units: DataFrame, block: int = BLOCK) -> DataFrame:
     """units: source, id, size and p in (0, 1), other columns are kept; p comes back as 0 or 1."""
     names = units.columns
+    # Rows that are equal in all get numbers, so that they are dealt like others; a chunk's numbers are CHUNK at most.
+    counted = units.groupBy(*names).agg(F.count("*").alias("_n"))
+    chunks = counted.withColumn("_chunk", F.explode(F.expr(f"sequence(0, (_n - 1) div {CHUNK})")))
+    units = cut(chunks.select(*names, F.explode(F.expr(f"sequence(_chunk * {CHUNK}, least((_chunk + 1) * {CHUNK}, _n) - 1)")).alias("_same")), "units")
+    own = [*names, "_same"]
 
     def settle(t: pa.Table) -> pa.Table:
         if not len(t):
-            return t.select(names)
-        t = t.sort_by([("_at", "ascending"), ("id", "ascending"), ("size", "ascending")])
+            return t.select(own)
+        t = t.sort_by([("_at", "ascending"), ("id", "ascending"), ("size", "ascending"), ("_same", "ascending")])
         p, sizes = t.column("p").to_pylist(), t.column("size").to_pylist()
         p = flight(p, sizes, np.random.default_rng(t.column("_seed")[0].as_py() & (1 << 63) - 1))
         if t.column("_blocks")[0].as_py() == 1:
             p = land(p, sizes)
-        return t.set_column(t.schema.get_field_index("p"), "p", pa.array(p, pa.float64())).select(names)
+        return t.set_column(t.schema.get_field_index("p"), "p", pa.array(p, pa.float64())).select(own)
 
     done, level = [], 0
     while True:
         counts = units.groupBy(F.col("source").alias("c_source")).agg(F.count("*").alias("n"))
         counts = counts.select("c_source", F.ceil(F.col("n") / block).cast("int").alias("_blocks"))
-        dealt = units.join(counts, F.col("source").eqNullSafe(F.col("c_source"))).drop("c_source").withColumn("_at", F.xxhash64("id", "size", F.lit(level)))
+        dealt = units.join(counts, F.col("source").eqNullSafe(F.col("c_source"))).drop("c_source").withColumn("_at", F.xxhash64("id", "size", "_same", F.lit(level)))
         dealt = dealt.withColumn("_block", F.pmod(F.col("_at"), F.col("_blocks")).cast("int")).withColumn("_seed", F.xxhash64("source", "_block", F.lit(level)))
         out = cut(dealt.groupBy("source", "_block").applyInArrow(settle, units.schema), f"cube-{level}")
         done.append(out.where("p = 0 OR p = 1"))
@@ -119,7 +124,7 @@ def cube_sample(units: DataFrame, block: int = BLOCK) -> DataFrame:
     whole = done[0]
     for d in done[1:]:
         whole = whole.unionByName(d)
-    return whole
+    return whole.select(*names)
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:

@@ -233,10 +233,13 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_shingles, component_id, kept. Texts are linked if 100 * intersection >= percent * union."""
+def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, n_shingles, component_id, kept; text_hash and first. Texts are linked if 100 * intersection >= percent * union.
+
+    first: rows that stand for their component. They share one id and text, also where no row of a component has an id; those without words all stay.
+    """
     rows = cut(sketch(docs, shingle, id_col, text_col), "sketch")
-    near = F.struct("id", "text_hash")
+    near = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
     classes = cut(rows.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("first_id"), F.min_by(F.struct("id", "text_hash", "sig"), near).alias("of"), F.min("n_shingles").alias("n")).select("node", "first_id", "n", "of.*"), "classes")
     sig = classes.select("node", "sig", "n")
     fits = (100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))
@@ -270,14 +273,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
         if more.limit(1).count():
             links = cut(links.unionByName(more), "links")
             labels = components(links)
-    first = classes.select("node", "first_id")
-    in_comp = cut(first.join(labels, "node"), "in-comp")
-    smallest = in_comp.groupBy("comp").agg(F.min("first_id").alias("comp_id"))
-    found = in_comp.join(smallest, "comp").select("node", "comp_id")
-    found = first.join(found, "node", "left").select("node", F.coalesce("comp_id", "first_id").alias("component_id"))
-    out = rows.select("id", "n_shingles", "node").join(found, "node", "left")
+    first = classes.select("node", "first_id", F.col("id").alias("of_id"), F.col("text_hash").alias("of_hash"))
+    in_comp = cut(first.select("node", "first_id").join(labels, "node"), "in-comp")
+    smallest = in_comp.groupBy("comp").agg(F.min("first_id").alias("comp_id"), F.expr("min_by(node, struct(first_id IS NULL, first_id, node))").alias("comp_node"))
+    found = in_comp.join(smallest, "comp").select("node", "comp_id", "comp_node")
+    found = first.join(found, "node", "left").select("node", "of_id", "of_hash", F.coalesce("comp_id", "first_id").alias("component_id"), F.coalesce("comp_node", "node").alias("comp_node"))
+    out = rows.select("id", "text_hash", "n_shingles", "node").join(found, "node", "left")
     comp = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", comp.alias("component_id"), F.col("id").eqNullSafe(comp).alias("kept"))
+    is_first = F.expr("node IS NULL OR (node = comp_node AND id <=> of_id AND text_hash = of_hash)")
+    return out.select(F.col("id").alias(id_col), "n_shingles", comp.alias("component_id"), F.col("id").eqNullSafe(comp).alias("kept"), "text_hash", is_first.alias("first"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, n_shingles, component_id, kept."""
+    return near_groups(docs, shingle, percent, id_col, text_col).drop("text_hash", "first")
 
 
 ORACLE = """
