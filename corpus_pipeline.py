@@ -10,39 +10,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasift.llm.common import cut, table, words
+from terrasift.llm.common import cut, table
 from terrasift.llm.mixing import mix
-from terrasift.llm.near_dedup import near_duplicates
+from terrasift.llm.near_dedup import near_groups
 from terrasift.llm.piece_codec import encode
 from terrasift.llm.quality_classifier import classify
 from terrasift.llm.quality_rules import quality_rules
 
 
+def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with columns c0, c1, ..., which clash with no operator's, and what each name became."""
+    of = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*of.values()), of
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose predicted quality is 1."""
-    rest = tuple(c for c in docs.columns if c != "doc_id")
-    return classify(docs, table(spark, sf_dir, "labels"), keep=rest).where("predicted = 1").select(*docs.columns)
+    rows, of = _plain(docs)
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias(of["doc_id"]), "quality")
+    out = classify(rows, labels, id_col=of["doc_id"], text_col=of["text"], keep=tuple(of.values()))
+    return out.where("predicted = 1").select(*of.values()).toDF(*of)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the outlier test keep."""
-    rest = tuple(c for c in docs.columns if c != "doc_id")
-    judged = quality_rules(docs, keep=rest)
-    return judged.where("kept").select(*docs.columns)
+    rows, of = _plain(docs)
+    judged = quality_rules(rows, of["doc_id"], of["text"], of["lang"], of["source"], keep=tuple(c for c in of.values() if c != of["doc_id"]))
+    return judged.where("kept").select(*of.values()).toDF(*of)
+
+
+def _once(rows: DataFrame, decided: DataFrame, of: dict[str, str]) -> DataFrame:
+    """Rows whose key is decided, those of equal id and text once. Both are brought together by key, so a row is shuffled once."""
+    found = rows.join(decided, "key")
+    first = [F.first(c).alias(c) for c in found.columns if c not in ("key", of["doc_id"], of["text"])]
+    return found.groupBy("key", of["doc_id"], of["text"]).agg(*first, F.lit(1).alias("once"))
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """As _plain, with key, a hash of id and text."""
+    rows, of = _plain(docs)
+    return rows.withColumn("key", F.xxhash64(of["doc_id"], F.xxhash64(of["text"]))), of
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one with the smallest id, once."""
-    kept = near_duplicates(docs, shingle=5, percent=80).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id", "text"])
+    rows, of = _keyed(docs)
+    found = near_groups(rows, shingle=5, percent=80, id_col=of["doc_id"], text_col=of["text"]).where("first")
+    kept = found.select(F.xxhash64(of["doc_id"], "text_hash").alias("key")).distinct()
+    return _once(rows, kept, of).select(*of.values()).toDF(*of)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it. Rows that share id and size share its copies evenly, rounded up."""
-    taken = mix(docs).groupBy(F.col("doc_id").alias("m_id"), F.col("size").alias("m_size")).agg(F.ceil(F.avg("copies")).cast("int").alias("copies")).where("copies > 0")
-    size = F.size(words(F.col("text"))).cast("long")
-    rows = docs.withColumn("own_size", size).join(taken, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("own_size") == F.col("m_size")))
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    """Each document as often as the mix takes it; rows of equal id and text as often as they are taken together."""
+    rows, of = _keyed(docs)
+    taken = mix(rows, id_col="key", text_col=of["text"], source_col=of["source"]).groupBy("key").agg(F.sum("copies").cast("int").alias("copies")).where("copies > 0")
+    return _once(rows, taken, of).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*of.values()).toDF(*of)
 
 
 def piece_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
