@@ -38,35 +38,27 @@ def gaps(areas: DataFrame, records: DataFrame, chosen: DataFrame, fetched: DataF
     return out.select(*areas.columns, kind.alias("gap"), F.coalesce("n", F.lit(0)).alias("n_records"))
 
 
+def _deletions(word: Column, most: int) -> Column:
+    """A word and all that is left of it when up to ``most`` characters are taken out."""
+    without = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))
+    every = last = F.array(word)
+    for _ in range(most):
+        last = F.array_distinct(F.flatten(F.transform(last, without)))
+        every = F.concat(every, last)
+    return F.array_distinct(every)
+
+
 def near_words(words: DataFrame, vocabulary: DataFrame, most: int = 2, least_length: int = 6) -> DataFrame:
     """Pairs of a word and a vocabulary word within ``most`` edits, the word not being in the vocabulary.
 
-    Of a word cut into most + 1 parts, one is unchanged in anything within ``most`` edits, at most ``most`` places off. So both sides meet on
-    (length of the vocabulary word, part, text), and only such pairs are measured: an equi-join, where comparing all words with all would not scale.
+    Two words within ``most`` edits become equal when up to ``most`` characters are taken out of each. So both sides meet on what is left, by
+    hash, and only such pairs are measured. Only words that are near each other share a key, however many begin or end alike.
     """
     w = words.select(F.col("word")).distinct().where(F.length("word") >= least_length).join(vocabulary.select(F.col("word")), "word", "left_anti")
     v = vocabulary.select(F.col("word").alias("ref")).distinct().where(F.length("ref") >= least_length)
-    parts = most + 1
-
-    def start(k: int | Column, n: Column) -> Column:
-        return F.floor(n * k / parts).cast("int")
-
-    n = F.length("ref")
-    v_parts = F.array(*(F.struct(F.lit(k).alias("part"), n.alias("n"), F.substring("ref", start(k, n) + 1, start(k + 1, n) - start(k, n)).alias("text")) for k in range(parts)))
-    m = F.length("word")
-    w_parts = F.flatten(
-        F.array(
-            *(
-                F.array(*(F.struct(F.lit(k).alias("part"), (m + e).alias("n"), F.substring("word", F.greatest(start(k, m + e) + s, F.lit(0)) + 1, start(k + 1, m + e) - start(k, m + e)).alias("text")) for s in range(-most, most + 1)))
-                for k in range(parts)
-                for e in range(-most, most + 1)
-            )
-        )
-    )
-    x = w.select("word", F.explode(F.array_distinct(w_parts)).alias("p")).select("word", "p.*")
-    y = v.select("ref", F.explode(v_parts).alias("p")).select("ref", "p.*")
-    d = F.levenshtein("word", "ref", most)
-    return x.join(y, ["part", "n", "text"]).select("word", "ref").distinct().withColumn("edits", d).where("edits >= 0")
+    keys = lambda c: F.explode(F.array_distinct(F.transform(_deletions(F.col(c), most), lambda x: F.xxhash64(x)))).alias("key")
+    pairs = w.select("word", keys("word")).join(v.select("ref", keys("ref")), "key").select("word", "ref").distinct()
+    return pairs.withColumn("edits", F.levenshtein("word", "ref", most)).where("edits >= 0")
 
 
 def overlapping_boxes(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:

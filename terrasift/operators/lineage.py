@@ -2,19 +2,47 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+_scratch: list[tuple[SparkSession, str]] = []
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write df as Parquet in the folder of spark.checkpoint.dir (one of this machine where that is unset, as in tests) and read it back."""
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir. Where it names none: one of this machine if Spark runs on this machine alone, else an error."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="terrasift-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def cut(df: DataFrame, name: str = "part") -> DataFrame:
+    """Write df as a table in the shared folder and read it back: its lineage ends there, and a lost executor costs no recomputation.
+
+    The table is removed when the driver's Python ends, as a returned DataFrame may still read it until then, or by drop_scratch().
+    """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="terrasift-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/terrasift-plan/{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/terrasift/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _scratch.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(keep: int = 0) -> None:
+    """Remove the tables that cut() wrote, but for the first ``keep``."""
+    while len(_scratch) > keep:
+        spark, path = _scratch.pop()
+        try:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # noqa: BLE001  the session may have ended before
+            return
+
+
+atexit.register(drop_scratch)

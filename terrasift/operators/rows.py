@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from terrasift.operators.lineage import cut
+
 
 def first_by_key(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFrame:
     """Each key's first row; rows with a null among the keys are never merged."""
@@ -74,18 +76,24 @@ def key_histogram(df: DataFrame, tags: str, top: int = 40) -> DataFrame:
 def contained_sets(df: DataFrame, owner: str, item: str) -> DataFrame:
     """Owners whose items are a strict subset of another owner's, with the first such one.
 
-    Pairs come from equal items, and only for each owner's rarest item: a superset must have that one too, so common
-    items make no pairs.
+    Owners of equal sets are one set, named by the smallest of them. A superset has a set's rarest item, so sets meet on that one only, and pairs
+    are dropped in the join unless sizes and four words of hashed items allow a subset; items themselves are compared for what is left.
     """
-    items = df.select(F.col(owner).alias("o"), F.col(item).alias("i")).distinct()
-    size = items.groupBy("o").agg(F.count("*").alias("size"))
+    items = df.select(F.col(owner).alias("o"), F.col(item).alias("i")).where(F.col("i").isNotNull()).distinct()
+    sets = items.groupBy("o").agg(F.array_sort(F.collect_list("i")).alias("s"))
+    named = cut(sets.groupBy("s").agg(F.min("o").alias("id"), F.collect_list("o").alias("owners")))
+    word = lambda k: f"aggregate(s, 0L, (a, i) -> IF(xxhash64(i) & 3 = {k}, a | shiftleft(1L, CAST(pmod(shiftright(xxhash64(i), 2), 64) AS INT)), a)) AS w{k}"
+    marked = named.selectExpr("id", "s", "size(s) AS n", *(word(k) for k in range(4)))
+    each = marked.select(F.explode("s").alias("i"), "id", "n", "w0", "w1", "w2", "w3")
     often = items.groupBy("i").agg(F.count("*").alias("often"))
-    rare = items.join(often, "i").groupBy("o").agg(F.min_by("i", F.struct("often", "i")).alias("i"))
-    pairs = rare.withColumnRenamed("o", "inner").join(items.withColumnRenamed("o", "outer"), "i").where(F.col("inner") != F.col("outer")).select("inner", "outer")
-    sized = pairs.join(size.withColumnsRenamed({"o": "inner", "size": "n_in"}), "inner").join(size.withColumnsRenamed({"o": "outer", "size": "n_out"}), "outer").where("n_in < n_out")
-    both = sized.join(items.withColumnsRenamed({"o": "inner"}), "inner").join(items.withColumnsRenamed({"o": "outer"}), ["outer", "i"])
-    full = both.groupBy("inner", "outer", "n_in", "n_out").agg(F.count("*").alias("common")).where("common = n_in")
-    return full.groupBy("inner").agg(F.min("outer").alias("outer"))
+    rare = each.join(often, "i").groupBy("id").agg(F.min_by("i", F.struct("often", "i")).alias("i"))
+    inner = marked.drop("s").join(rare, "id")
+    inner = inner.withColumnsRenamed({c: f"in_{c}" for c in inner.columns if c != "i"})
+    may = F.expr("in_n < n AND " + " AND ".join(f"in_w{k} & ~w{k} = 0" for k in range(4)))
+    pairs = inner.join(each, "i").where(may).select("in_id", "id")
+    pairs = pairs.join(named.select(F.col("id").alias("in_id"), F.col("s").alias("in_s")), "in_id").join(named.select("id", "s"), "id")
+    first = pairs.where("size(array_except(in_s, s)) = 0").groupBy("in_id").agg(F.min("id").alias("outer"))
+    return named.select(F.col("id").alias("in_id"), F.explode("owners").alias("inner")).join(first, "in_id").select("inner", "outer")
 
 
 def ngrams(text: Column, sizes: tuple[int, ...] = (2, 3)) -> Column:

@@ -41,10 +41,15 @@ def crossing_segments(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
 
 
 def near_pairs(a: DataFrame, b: DataFrame, radius: float = 800.0, cell: float = 0.02) -> DataFrame:
-    """J06's candidates: a_id, b_id, d of points (id, lon, lat) in neighbouring cells with d < radius + 1 metres. A row of a meets nine cells, one of b has one."""
-    around = F.array(*(F.lit(k) for k in (-1, 0, 1)))
+    """J06's candidates: a_id, b_id, d of points (id, lon, lat) with d < radius + 1 metres. A row of a meets the cells around it, one of b has one.
+
+    Cells are as high as the radius at least; where meridians are close, more cells to the east and west are met, so none within reach is missed.
+    """
+    reach = (radius + 1) / 110_000
+    cell = max(cell, reach)
     x = a.select(F.col("id").alias("a_id"), F.col("lon").alias("ax"), F.col("lat").alias("ay"))
-    x = x.withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around))
+    wide = F.ceil(reach / (F.greatest(F.cos(F.radians(F.least(F.abs("ay") + cell, F.lit(90.0)))), F.lit(0.005)) * cell)).cast("int")
+    x = x.withColumn("dx", F.explode(F.sequence(-wide, wide))).withColumn("dy", F.explode(F.array(*(F.lit(k) for k in (-1, 0, 1)))))
     x = x.withColumn("cx", F.floor(F.col("ax") / cell) + F.col("dx")).withColumn("cy", F.floor(F.col("ay") / cell) + F.col("dy"))
     y = b.select(F.col("id").alias("b_id"), F.col("lon").alias("bx"), F.col("lat").alias("by"), F.floor(F.col("lon") / cell).alias("cx"), F.floor(F.col("lat") / cell).alias("cy"))
     d = local_distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))

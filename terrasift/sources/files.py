@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import json
 import re
@@ -38,22 +39,53 @@ def sniff(name: str, head: bytes) -> str:
     return "geojson" if start[:1] in (b"{", b"[") else "csv"
 
 
-def delimited(spark: SparkSession, path: str, sep: str = ",", skip_lines: int = 0, header: list[str] | None = None, lat: str | None = None, lon: str | None = None, dms_fields: tuple[str, ...] | None = None, keep: Column | None = None) -> DataFrame:
+def _after_lines(spark: SparkSession, path: str, sep: str, skip_lines: int, names: list[str], header: bool) -> DataFrame:
+    """Records of files whose first lines are no table: read by file, as a line's place in its file counts."""
+    skip = skip_lines + header
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            for data in frame["content"]:
+                text = io.TextIOWrapper(io.BytesIO(bytes(data)), "utf-8-sig", newline="")
+                for _ in range(skip_lines):
+                    text.readline()
+                records = csv.reader(text, delimiter=sep)
+                if header:
+                    next(records, None)
+                part = []
+                for r in records:
+                    part.append((r + [""] * len(names))[: len(names)])
+                    if len(part) == 5000:
+                        yield pd.DataFrame(part, columns=names, dtype=object)
+                        part = []
+                yield pd.DataFrame(part, columns=names, dtype=object)
+
+    if not skip:
+        raise ValueError("no lines to skip")
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, ", ".join(f"`{c}` string" for c in names))
+
+
+def delimited(spark: SparkSession, path: str, sep: str = ",", skip_lines: int = 0, header: list[str] | None = None, lat: str | None = None, lon: str | None = None, dms_fields: tuple[str, ...] | None = None, keep: Column | None = None, split_files: bool = False) -> DataFrame:
     """All columns as text, with lon and lat; rows without usable places go (F23). Short rows are filled with empty texts, blank ones skipped.
 
-    lat, lon: decimal columns; dms_fields: eight columns, degrees to hemisphere of latitude and longitude.
+    lat, lon: decimal columns; dms_fields: eight columns, degrees to hemisphere of latitude and longitude. Quoted fields may hold
+    line breaks, so a file is read by one task; split_files, for files that are known to have none, lets Spark split them. All files
+    of a path must have the same header.
     """
-    lines = spark.read.text(path)
-    if header is None or skip_lines:
-        # The header and skipped lines are the file's first: their texts are read once, the rest stays distributed.
-        top = spark.read.text(path).limit(skip_lines + (header is None)).collect()
-        drop = [r.value for r in top]
-        names = header or [c.strip().lstrip("﻿").strip('"') for c in drop[-1].split(sep)]
-        lines = lines.where(~F.col("value").isin(drop)) if drop else lines
-    else:
+    csv_of = spark.read.option("sep", sep).option("escape", '"').option("multiLine", not split_files).option("quote", '"')
+    if skip_lines:
         names = header
-    schema = ", ".join(f"`{c}` string" for c in names)
-    rows = lines.where(F.trim("value") != "").select(F.from_csv("value", schema, {"sep": sep, "mode": "PERMISSIVE"}).alias("r")).select("r.*").na.fill("")
+        if names is None:
+            top = [r.value for r in spark.read.text(path).limit(skip_lines + 1).collect()][-1]
+            names = next(csv.reader([top.lstrip("\ufeff")], delimiter=sep))
+        rows = _after_lines(spark, path, sep, skip_lines, [n.strip() for n in names], header is None)
+    else:
+        names = header or csv_of.option("header", True).csv(path).columns
+        schema = ", ".join(f"`{n}` string" for n in names)
+        rows = csv_of.option("header", header is None).option("enforceSchema", header is not None).csv(path, schema=schema)
+        rows = rows.toDF(*(n.strip().lstrip("\ufeff") for n in names))
+    filled = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns]
+    rows = rows.select(*filled).where(F.trim(F.concat(*(F.col(f"`{c}`") for c in rows.columns))) != "")
     if keep is not None:
         rows = rows.where(keep)
     if dms_fields:

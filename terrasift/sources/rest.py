@@ -120,3 +120,22 @@ def repeated_pages(df):
 
     first = df.groupBy(F.floor(F.col("ord") / 1_000_000).alias("page")).agg(F.min_by(F.to_json(F.struct("coordinates", F.array_sort(F.map_entries("properties")))), "ord").alias("first"))
     return first.withColumn("same", F.col("first") == F.lag("first").over(W.orderBy("page"))).where("same")
+
+
+class RepeatedPage(RuntimeError):
+    """A server that gives the same page again has not given the rest."""
+
+
+def unrepeated(rows):
+    """Rows of a layer, if no page of it came twice."""
+    again = repeated_pages(rows).select("page").limit(1).collect()
+    if again:
+        raise RepeatedPage(f"page {again[0].page} repeats the one before")
+    return rows
+
+
+def service_layer(spark, **options: str):
+    """A service's layer, read once into the shared folder; an error if a page came twice."""
+    from terrasift.operators.lineage import cut
+
+    return unrepeated(cut(spark.read.format("feature_service").options(**options).load(), "service"))
