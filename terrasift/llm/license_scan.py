@@ -54,8 +54,11 @@ _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def _lower(text: Column) -> Column:
-    """Beyond A to Z only letters that stay word characters, and that no phrase has, are changed."""
-    return F.lower(F.coalesce(text, F.lit("")))
+    """A to Z in lower case. Other letters may change as well, but only to word characters beyond ASCII, so that no word of ASCII letters comes or goes.
+
+    The one other letter whose lower case is ASCII, the sign for Kelvin, is taken out of the way first.
+    """
+    return F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\ue000")))
 
 
 def license_words(text: Column) -> Column:
