@@ -108,8 +108,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
 
     kind = docs.schema[id_col].dataType.simpleString()
     picked = docs_of.join(F.broadcast(chosen), F.col("id") == F.col("l_id")).select("id", "text", F.col("label").cast("double").alias("label"))
-    rows = picked.mapInArrow(count, f"id {kind}, terms binary, label double").collect()
-    rows = list({r.id: r for r in sorted(rows, key=lambda r: (r.id, r.terms))}.values())
+    # However often the texts repeat an id, the driver gets one row of it.
+    rows = picked.mapInArrow(count, f"id {kind}, terms binary, label double").groupBy("id").agg(F.max("terms").alias("terms"), F.max("label").alias("label")).collect()
+    rows.sort(key=lambda r: r.id)
     x = np.array([np.frombuffer(r.terms, np.float32) for r in rows], np.float32).reshape(-1, WIDTH)
     y = np.array([r.label for r in rows], np.float64)
     idf = (np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 1).astype(np.float32)
@@ -121,9 +122,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample: int = SAMPLE, k: int = K, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", keep: tuple[str, ...] = ()) -> DataFrame:
     """Per row: id, held_out, score, predicted; with the columns ``keep`` of docs, as they are."""
-    idf, axes, fitted, y = fit(docs, labels, sample, id_col, text_col, label_col)
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample, id_col, text_col, label_col))  # its size is bounded, see above
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf, axes, fitted, y = model.value
         for whole in batches:
             for batch in slices(whole, 1, 4 << 20):
                 texts = pc.cast(batch.column(1), pa.binary()).to_pylist()
