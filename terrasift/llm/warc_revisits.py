@@ -1,9 +1,9 @@
 """Operator 10, WARC: not-modified revisits get the latest earlier full response of their canonical URL.
 
 The as-of join works in two levels, so that a URL with a third of all captures is no single task's: time is cut
-into slots that hold about as many captures each; within a URL and slot a window looks back, and what a
+into slots that hold about as many captures each, SLOT_ROWS or so of all URLs together; within a URL and slot a window looks back, and what a
 slot's first revisits need comes from the last full response of the URL's earlier slots, which is a window over
-one row a slot. Both levels carry ids, validators and headers only; bodies stay where they are and are found by resolved_id.
+one row for each slot that the URL has. Captures without a URL are dealt by id. Both levels carry ids, validators and headers only; bodies stay where they are and are found by resolved_id.
 
 Verdicts on validators: ``etag`` (weak comparison) decides if both sides have one: match or mismatch; else
 ``modified``: Last-Modified, or a digest that both name; ``unchecked`` if nothing is comparable; ``orphan`` if there is
@@ -27,7 +27,8 @@ from terrasift.llm.decl import query
 
 #: Header fields that a 304 response carries and that replace the stored ones.
 UPDATES = ("cache-control", "content-location", "date", "etag", "expires", "vary", "last-modified", "age")
-SLOTS = 64
+#: Captures that a slot is to hold; least and most slots. The result does not depend on them.
+SLOT_ROWS, LEAST_SLOTS, MOST_SLOTS = 200_000, 64, 1000
 
 
 def canonical_url(url: Column) -> Column:
@@ -44,29 +45,32 @@ def _bare(tag: Column) -> Column:
     return F.regexp_replace(F.trim(tag), "^W/", "")
 
 
-def resolve_revisits(captures: DataFrame, id_col: str = "record_id", url_col: str = "url", time_col: str = "ts", status_col: str = "status", headers_col: str = "headers", slots: int = SLOTS) -> DataFrame:
+def resolve_revisits(captures: DataFrame, id_col: str = "record_id", url_col: str = "url", time_col: str = "ts", status_col: str = "status", headers_col: str = "headers", slots: int | None = None) -> DataFrame:
     """Per capture: its id, canonical_url, is_revisit, verdict, resolved_id and merged headers. headers: map of strings with lower-case names; a status of 304 is a revisit, 200 a full response, others are neither."""
     rows = captures.select(
         F.col(id_col).alias("id"), canonical_url(F.col(url_col)).alias("u"), F.col(time_col).alias("t"),
         F.coalesce(F.col(status_col) == 304, F.lit(False)).alias("revisit"), F.coalesce(F.col(status_col) == 200, F.lit(False)).alias("full"),
         F.coalesce(F.col(headers_col), F.create_map().cast("map<string,string>")).alias("h"),
     )
-    # Slots end where time's quantiles lie: a fixed number of values, whatever the input's size.
-    ends = rows.agg(F.percentile_approx(F.col("t").cast("double"), F.array(*(F.lit((i + 1) / slots) for i in range(slots - 1))), F.lit(1000)).alias("e")).first()["e"] if slots > 1 else None
+    # Slots end where time's quantiles lie: a bounded number of values, whatever the input's size.
+    grid = MOST_SLOTS if slots is None else slots
+    seen = rows.agg(F.count("*").alias("n"), F.percentile_approx(F.col("t").cast("double"), F.array(*(F.lit((i + 1) / grid) for i in range(max(1, grid - 1)))), F.lit(10 * grid)).alias("e")).first()
+    if slots is None:
+        slots = min(MOST_SLOTS, max(LEAST_SLOTS, seen.n // SLOT_ROWS))
+    ends = [(seen.e or [])[i * grid // slots - 1] for i in range(1, slots)] if seen.e else []
     edges = F.array(*(F.lit(float(x)) for x in sorted(set(ends)))) if ends else F.array().cast("array<double>")
     slot = F.when(F.col("t").isNull(), -1).otherwise(F.size(F.filter(edges, lambda e: e < F.col("t").cast("double"))))
     rows = rows.withColumn("slot", slot)
     mine = F.when(F.col("full"), F.struct("id", "h"))
     order = [F.asc_nulls_first("t"), F.asc_nulls_first("id")]
-    near = W.partitionBy("u", "slot").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    rows = rows.withColumn("near", F.last(mine, ignorenulls=True).over(near))
-    ended = rows.where(F.col("full") & F.col("u").isNotNull()).groupBy("u", "slot").agg(F.max_by(F.struct("id", "h"), F.struct(F.col("t").isNotNull(), "t", F.col("id").isNotNull(), "id")).alias("end"))
-    # One row a slot; each hands its last response to the slots up to the next that has one.
-    until = F.coalesce(F.lead("slot").over(W.partitionBy("u").orderBy("slot")), F.lit(slots + 1))
-    carried = ended.select(F.col("u").alias("c_u"), F.col("slot").alias("c_slot"), until.alias("c_until"), F.col("end").alias("far"))
-    # Only rows without a response in their own slot look further; the explode names each later slot once.
-    reach = carried.select("c_u", "far", F.explode(F.sequence(F.col("c_slot") + 1, F.col("c_until"))).alias("c_slot"))
-    joined = rows.join(reach, (F.col("u") == F.col("c_u")) & (F.col("slot") == F.col("c_slot")), "left")
+    alone = F.when(F.col("u").isNull(), F.pmod(F.xxhash64("id"), F.lit(4096)))  # what has no URL is never resolved and need not meet
+    near = W.partitionBy("u", "slot", alone).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    # One row for each slot that a URL has: its last response, and whether anything in it may look further back.
+    response = F.when(F.col("full"), F.struct(F.col("t").isNotNull(), "t", F.col("id").isNotNull(), "id"))
+    ended = rows.where("u IS NOT NULL").groupBy("u", "slot").agg(F.max_by(mine, response).alias("end"), F.bool_or("revisit").alias("asks"))
+    far = F.last("end", ignorenulls=True).over(W.partitionBy("u").orderBy("slot").rowsBetween(W.unboundedPreceding, -1))
+    reach = ended.withColumn("far", far).where("asks AND far IS NOT NULL").select(F.col("u").alias("c_u"), F.col("slot").alias("c_slot"), "far")
+    joined = rows.withColumn("near", F.last(mine, ignorenulls=True).over(near)).join(reach, (F.col("u") == F.col("c_u")) & (F.col("slot") == F.col("c_slot")), "left")
     stored = F.when(F.col("u").isNotNull() & F.col("revisit"), F.coalesce("near", "far"))
     joined = joined.withColumn("stored", stored)
     said, held = (lambda k: F.col("h")[k]), (lambda k: F.col("stored.h")[k])
