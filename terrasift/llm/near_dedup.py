@@ -16,7 +16,8 @@ No group is expanded into its pairs:
 4. components are found by label propagation with pointer jumping, on tables that are cut each round.
 
 Full sets are made a second time, from the texts of nodes that have a pair to confirm. Those texts are found by a join; before
-it a bitmap of BITS words, a fixed size, drops most others, so that few texts are shuffled.
+it a bitmap with 16 bits for each of them, MOST_BITMAP words (8 MB) at most, drops most others, so that few texts are shuffled. Beyond
+some ten million of them it drops fewer, and more texts are shuffled.
 
 Words: A-Z lower-cased, ``[^\\x20\\x09-\\x0D]+``. Fewer words than a shingle: the sequence is the one shingle. Texts
 without words, and null, have the empty set, are linked with nothing and are their own component. component_id is
@@ -43,7 +44,7 @@ from terrasift.llm.decl import query
 from terrasift.llm.token_counts import slices
 
 CHUNKS, WIDTH, SYMBOL = 10, 5, 14
-PLACES, MOST, BITS = CHUNKS * WIDTH, 2 * CHUNKS - 1, 1 << 16
+PLACES, MOST, MOST_BITMAP = CHUNKS * WIDTH, 2 * CHUNKS - 1, 1 << 20
 #: Words that a worker keeps the hashes of.
 MEMO = 400_000
 
@@ -162,8 +163,9 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, tex
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "s"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    wanted = wanted.select(F.col("id").alias("w_id"), F.col("text_hash").alias("w_hash"))
-    word = lambda h: F.pmod(h, F.lit(BITS))
+    wanted = cut(wanted.select(F.col("id").alias("w_id"), F.col("text_hash").alias("w_hash")), "wanted")
+    n_words = min(MOST_BITMAP, 1 << max(10, (wanted.count() // 4).bit_length()))
+    word = lambda h: F.pmod(h, F.lit(n_words))
     bit = lambda h: F.shiftrightunsigned(h, 58)
     bitmap = wanted.groupBy(word(F.col("w_hash")).alias("word")).agg(F.collect_set(bit(F.col("w_hash"))).alias("bits"))  # 64 bits a word at most
     rows = rows.join(F.broadcast(bitmap), (word(F.col("text_hash")) == F.col("word")) & F.array_contains("bits", bit(F.col("text_hash"))), "left_semi")
