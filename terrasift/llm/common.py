@@ -1,14 +1,12 @@
-"""What several operators share: reading tables, cutting lineage, words."""
+"""What several operators share: reading tables, words, and the engine's way of cutting lineage."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrasift.operators.lineage import cut, drop_scratch, shared_dir  # noqa: F401
+
 #: Characters that separate words in every contract of this package: space and tab to carriage return.
 SPACES = " \t\n\x0b\f\r"
 
@@ -17,44 +15,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; where it names none, as in tests, a folder of this machine."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="terrasift-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def cut(df: DataFrame, name: str = "part") -> DataFrame:
-    """Write df as a table in the shared folder and read it back: its lineage ends there, and a lost executor costs no recomputation.
-
-    The table is removed when the driver's Python ends, as a returned DataFrame may still read it until then.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/terrasift/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _scratch.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-_scratch: list[tuple[SparkSession, str]] = []
-
-
-def drop_scratch(keep: int = 0) -> None:
-    """Remove the tables that cut() wrote, but for the first ``keep``."""
-    while len(_scratch) > keep:
-        spark, path = _scratch.pop()
-        try:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # noqa: BLE001  the session may have ended before
-            return
-
-
-atexit.register(drop_scratch)
-
-
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text in order; none for null."""
     trimmed = F.btrim(text, F.lit(SPACES))
