@@ -53,9 +53,10 @@ def pack_problems(packs: DataFrame, contained: DataFrame) -> DataFrame:
 
 
 def legacy_of(files: DataFrame, families: DataFrame, least: int = 3) -> DataFrame:
-    """Files without an edition whose name begins with a family's. Names meet on their first letters, then the rest is compared."""
-    f = families.select(F.col("family"), F.substring("family", 1, least).alias("head")).where(F.length("family") >= least).distinct()
-    return files.withColumn("head", F.substring("name", 1, least)).join(f, "head").where(F.startswith("name", "family") & (F.col("name") != F.col("family"))).select("name", "family")
+    """Files without an edition whose name begins with a family's. A name meets families as each of its beginnings, by equality, so names that begin alike make no pairs."""
+    f = families.select("family").where(F.length("family") >= least).distinct()
+    heads = F.explode(F.transform(F.sequence(F.lit(least), F.length("name") - 1), lambda n: F.substring("name", F.lit(1), n)))
+    return files.select("name").distinct().where(F.length("name") > least).select("name", heads.alias("family")).join(f, "family").select("name", "family")
 
 
 def widening(records: DataFrame, hints: DataFrame, group: str = "geoid", name: str = "name") -> DataFrame:

@@ -40,6 +40,11 @@ def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFr
     return df.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= k)
 
 
+def placed(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """Each row's place within its group; the order needs a last, unique column."""
+    return df.withColumn("place", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+
+
 def counts_with_zeros(df: DataFrame, classes: DataFrame, key: str) -> DataFrame:
     """How many rows each class has; classes without rows have 0, as they were asked for."""
     n = df.groupBy(key).agg(F.count("*").alias("n"))

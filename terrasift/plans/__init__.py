@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("flagship", "attributes", "geo", "packs", "tables")
+MODULES = ("flagship", "attributes", "geo", "packs", "statepacks", "tables")
 
 
 def load() -> None:

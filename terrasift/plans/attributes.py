@@ -84,28 +84,32 @@ def min_capacity(spark, sf_dir):
 
 @query(
     "name_keys",
-    """SELECT n_nationkey, trim(regexp_replace(lower(n_name || ' -- No. ' || n_nationkey), '[^a-z0-9]+', '-', 'g'), '-') AS slug, lower(n_name) AS county, replace(lower(n_name), '_', ' ') || ' x' AS folded, n_name AS family FROM nation""",
+    """SELECT n_nationkey, trim(regexp_replace(lower(n_name || ' -- No. ' || n_nationkey), '[^a-z0-9]+', '-', 'g'), '-') AS slug, lower(n_name) AS county, replace(lower(n_name), '_', ' ') || ' x' AS folded, n_name AS family, CASE WHEN n_nationkey % 2 = 0 THEN '2024-01__x' ELSE '' END AS edition FROM nation""",
 )
 def name_keys(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
     name = F.col("n_name")
+    pack = F.concat(name, F.when(F.col("n_nationkey") % 2 == 0, "__2024-01__x.KMZ").otherwise(".kml"))
     return n.select(
         "n_nationkey",
         X.slug(F.concat(name, F.lit(" -- No. "), F.col("n_nationkey"))).alias("slug"),
         X.county_name(F.concat(F.lit(" "), name, F.lit(" County"))).alias("county"),
         X.fold_name(F.concat(F.lit("<b>The</b> "), F.translate(name, ",", " "), F.lit(" X County, MN"))).alias("folded"),
-        X.family(F.concat(name, F.lit("__2024-01__x"))).alias("family"),
+        X.family(pack).alias("family"),
+        X.family_edition(pack).alias("edition"),
     )
 
 
 @query(
     "tone_classes",
-    """WITH t AS (SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN '114.8' WHEN 1 THEN 'D023' WHEN 2 THEN 'CC15' WHEN 3 THEN '23.0' WHEN 4 THEN ' ' ELSE CAST(p_size AS VARCHAR) || '.3' END AS tone FROM part)
-    SELECT p_partkey, CASE WHEN trim(tone) = '' THEN 'none' WHEN tone IN ('114.8', '69.3', '77.3') AND tone <> '77.3' THEN 'ctcss' WHEN tone = 'D023' THEN 'dcs' WHEN tone = 'CC15' THEN 'colour-code' ELSE 'unrecognised' END AS kind FROM t""",
+    """WITH t AS (SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN '114.8' WHEN 1 THEN CASE WHEN p_size % 3 = 0 THEN 'D023' WHEN p_size % 3 = 1 THEN 'd 47' ELSE 'D172n' END WHEN 2 THEN CASE WHEN p_size % 2 = 0 THEN 'CC15' ELSE 'cc 3' END WHEN 3 THEN '23.0' WHEN 4 THEN ' ' ELSE CAST(p_size AS VARCHAR) || '.3' END AS tone FROM part)
+    SELECT p_partkey, CASE WHEN trim(tone) = '' THEN 'none' WHEN tone IN ('114.8', '69.3', '77.3') AND tone <> '77.3' THEN 'ctcss' WHEN tone IN ('D023', 'd 47', 'D172n') THEN 'dcs' WHEN tone IN ('CC15', 'cc 3') THEN 'colour-code' ELSE 'unrecognised' END AS kind,
+              CASE WHEN tone = '23.0' THEN 'not a CTCSS tone - looks like DCS 023 read as a number' WHEN p_partkey % 6 = 5 AND tone <> '69.3' THEN
+                  CASE WHEN length(tone) < 4 THEN 'not a CTCSS tone, DCS code or DMR colour code' ELSE 'not a CTCSS tone - looks like a frequency' END ELSE '' END AS note FROM t JOIN part USING (p_partkey)""",
 )
 def tone_classes(spark, sf_dir):
-    t = F.expr("CASE p_partkey % 6 WHEN 0 THEN '114.8' WHEN 1 THEN 'D023' WHEN 2 THEN 'CC15' WHEN 3 THEN '23.0' WHEN 4 THEN ' ' ELSE concat(p_size, '.3') END")
-    return table(spark, sf_dir, "part").select("p_partkey", X.tone_kind(t).alias("kind"))
+    t = F.expr("CASE p_partkey % 6 WHEN 0 THEN '114.8' WHEN 1 THEN CASE WHEN p_size % 3 = 0 THEN 'D023' WHEN p_size % 3 = 1 THEN 'd 47' ELSE 'D172n' END WHEN 2 THEN CASE WHEN p_size % 2 = 0 THEN 'CC15' ELSE 'cc 3' END WHEN 3 THEN '23.0' WHEN 4 THEN ' ' ELSE concat(p_size, '.3') END")
+    return table(spark, sf_dir, "part").select("p_partkey", X.tone_kind(t).alias("kind"), X.tone_note(t).alias("note"))
 
 
 @query("dms_decimal", "SELECT s_suppkey, CAST(round((CASE WHEN s_suppkey % 2 = 0 THEN -1 ELSE 1 END) * (s_suppkey % 90 + (s_suppkey % 60) / 60.0::DOUBLE + 30 / 3600.0::DOUBLE) * 1e6) AS BIGINT) AS micro FROM supplier")

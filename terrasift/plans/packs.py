@@ -59,7 +59,8 @@ def vintage_years(spark, sf_dir):
     return o.select("o_orderkey", L.vintage(F.when(F.col("o_orderkey") % 2 == 0, F.unix_millis(F.col("o_orderdate").cast("timestamp"))), F.lit("Census 2019, was 2010")).alias("y"))
 
 
-@query("legacy_prefix", "SELECT a.c_name AS name, b.c_name AS family FROM customer a JOIN customer b ON starts_with(a.c_name, b.c_name) AND a.c_name <> b.c_name WHERE b.c_custkey < 30 AND length(b.c_name) >= 9")
+@query("legacy_prefix", """SELECT DISTINCT a.c_name || '_' || a.c_nationkey AS name, b.c_name AS family FROM customer a JOIN customer b ON starts_with(a.c_name || '_' || a.c_nationkey, b.c_name) WHERE a.c_custkey % 2 = 0 AND length(b.c_name) >= 9""")
 def legacy_prefix(spark, sf_dir):
+    """Files that were named before editions were, of all customers' names and those of the even ones with a number behind."""
     c = table(spark, sf_dir, "customer")
-    return I.legacy_of(c.select(F.col("c_name").alias("name")), c.where("c_custkey < 30").select(F.col("c_name").alias("family")), 9)
+    return I.legacy_of(c.where("c_custkey % 2 = 0").select(F.concat("c_name", F.lit("_"), "c_nationkey").alias("name")), c.select(F.col("c_name").alias("family")), 9)

@@ -50,24 +50,28 @@ def class_counts_zero(spark, sf_dir):
     return R.counts_with_zeros(table(spark, sf_dir, "events").withColumnRenamed("event_type", "class"), classes, "class")
 
 
-@query("status_rank_sort", "SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 1 ELSE 9 END AS rank FROM orders WHERE o_orderkey % 10 = 0")
+_STATUS = "CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 1 ELSE 9 END"
+
+
+@query("status_rank_sort", f"SELECT o_orderkey, {_STATUS} AS rank, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY {_STATUS}, o_orderkey) AS INT) AS place FROM orders")
 def status_rank_sort(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 10 = 0")
-    rank = F.when(F.col("o_orderstatus") == "O", 0).when(F.col("o_orderstatus") == "F", 1).otherwise(9)
-    return o.select("o_orderkey", rank.alias("rank")).orderBy("rank", "o_orderkey")
+    return R.placed(table(spark, sf_dir, "orders").withColumn("rank", X.rank_of(F.col("o_orderstatus"), ["O", "F"], 9)), ["o_custkey"], [F.col("rank"), F.col("o_orderkey")]).select("o_orderkey", "rank", "place")
 
 
-@query("status_rank_sort_all", "SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 1 ELSE 9 END AS rank FROM orders")
+@query("status_rank_sort_all", f"SELECT o_orderkey, {_STATUS} AS rank FROM orders")
 def status_rank_sort_all(spark, sf_dir):
-    rank = F.when(F.col("o_orderstatus") == "O", 0).when(F.col("o_orderstatus") == "F", 1).otherwise(9)
-    return table(spark, sf_dir, "orders").select("o_orderkey", rank.alias("rank")).orderBy("rank", "o_orderkey")
+    return table(spark, sf_dir, "orders").select("o_orderkey", X.rank_of(F.col("o_orderstatus"), ["O", "F"], 9).alias("rank")).orderBy("rank", "o_orderkey")
 
 
-@query("numeric_label_sort", "SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 0 ELSE 1 END AS is_text, CASE WHEN p_partkey % 2 = 0 THEN p_size::DOUBLE ELSE 0 END AS number FROM part")
+@query(
+    "numeric_label_sort",
+    """SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 0 ELSE 1 END AS is_text, CASE WHEN p_partkey % 2 = 0 THEN p_size::DOUBLE ELSE 0 END AS number,
+              CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey % 2, CASE WHEN p_partkey % 2 = 0 THEN p_size ELSE 0 END, CASE WHEN p_partkey % 2 = 0 THEN p_size || ' kv' ELSE lower(p_name) END, p_partkey) AS INT) AS place FROM part""",
+)
 def numeric_label_sort(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     label = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.col("p_size"), F.lit(" kV"))).otherwise(F.col("p_name"))
-    return p.select("p_partkey", X.numeric_first(label).alias("k")).orderBy("k").select("p_partkey", F.col("k.text").alias("is_text"), F.col("k.number").alias("number"))
+    return R.placed(p.withColumn("k", X.numeric_first(label)), ["p_brand"], [F.col("k"), F.col("p_partkey")]).select("p_partkey", F.col("k.text").alias("is_text"), F.col("k.number").alias("number"), "place")
 
 
 @query("topk_per_group", "SELECT l_suppkey, l_orderkey, l_linenumber, CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS INT) AS rank FROM lineitem QUALIFY rank <= 3")
@@ -142,17 +146,19 @@ def term_mining(spark, sf_dir):
     return R.term_frequency(table(spark, sf_dir, "part"), F.concat_ws(" ", "p_name", "p_type"), "p_brand")
 
 
-_WORDS = "SELECT DISTINCT word FROM (SELECT unnest(string_split(lower({c}), ' ')) AS word FROM {t}) WHERE length(word) >= 6"
+_TYPED = "SELECT DISTINCT substr(w, 1, length(w) - 1) || CASE WHEN length(w) % 2 = 0 THEN 'zz' ELSE '' END AS word FROM b"
 
 
 @query(
     "fuzzy_words",
-    """WITH a AS (SELECT DISTINCT replace(lower(c_name), '#', '') AS word FROM customer WHERE c_custkey % 10 = 0), b AS (SELECT DISTINCT replace(lower(c_name), '#', '') AS ref FROM customer WHERE c_custkey % 10 = 1)
-    SELECT word, ref, CAST(levenshtein(word, ref) AS INT) AS edits FROM a, b WHERE levenshtein(word, ref) <= 2 AND word NOT IN (SELECT ref FROM b) AND length(word) >= 6 AND length(ref) >= 6""",
+    f"""WITH b AS (SELECT DISTINCT unnest(string_split(lower(p_name || ' ' || p_type), ' ')) AS w FROM part), a AS ({_TYPED})
+    SELECT word, w AS ref, CAST(levenshtein(word, w) AS INT) AS edits FROM a, b WHERE levenshtein(word, w) <= 2 AND word NOT IN (SELECT w FROM b) AND length(word) >= 6 AND length(w) >= 6""",
 )
 def fuzzy_words(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").withColumn("word", F.replace(F.lower("c_name"), F.lit("#"), F.lit("")))
-    return J.near_words(c.where("c_custkey % 10 = 0"), c.where("c_custkey % 10 = 1"))
+    """All words of parts' names and types, as typed with an error, against all of them."""
+    b = table(spark, sf_dir, "part").select(F.explode(F.split(F.lower(F.concat_ws(" ", "p_name", "p_type")), " ")).alias("w")).distinct()
+    typed = F.concat(F.expr("substr(w, 1, length(w) - 1)"), F.when(F.length("w") % 2 == 0, "zz").otherwise(""))
+    return J.near_words(b.select(typed.alias("word")), b.select(F.col("w").alias("word")))
 
 
 @query("fuzzy_words_all")
