@@ -7,7 +7,8 @@ distance share a key. At similarity 0.85 (0.8) a pair is beyond the distance wit
 
 No group is expanded into its pairs:
 
-1. texts with equal sets are one class, named by a 64-bit hash of the set; classes are the nodes from here on;
+1. texts with equal sets are one class, named by a 64-bit hash of the set; sets that share this name but differ in a second 64-bit hash
+   get names of their own (told_apart), so 128 bits tell sets apart; classes are the nodes from here on;
 2. each key links its members to its centre only, the member that shares most keys; those within the distance are confirmed on
    the full sets;
 3. where a key still holds several components, members of different components are compared as well, so that no link between
@@ -92,6 +93,11 @@ def set_hash(s: np.ndarray) -> int:
     return int(np.add.reduce(_mix(s * _SEEDS[PLACES])).view(np.int64))
 
 
+def second_hash(s: np.ndarray) -> int:
+    """64 more bits, by another mix and another sum."""
+    return int(np.bitwise_xor.reduce(_mix(_mix(s ^ _SEEDS[0]) + _SEEDS[1])).view(np.int64))
+
+
 def signature(s: np.ndarray) -> np.ndarray:
     """The set's minhash symbols."""
     low = np.array([np.min(s * seed) for seed in _SEEDS[:PLACES]], np.uint64)
@@ -135,32 +141,53 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int, size: int):
 
 
 def sketch(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """id, text_hash, n_shingles, node (the set's hash; null for the empty set), sig."""
+    """id, text_hash, n_shingles, node (the set's hash; null for the empty set), second (its other hash), sig."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _texts(batches, 2, size):
             with np.errstate(over="ignore"):
                 found = [signature(s) if len(s) else None for s in sets]
                 nodes = [set_hash(s) if len(s) else None for s in sets]
+                others = [second_hash(s) if len(s) else None for s in sets]
                 sigs = [None if x is None else packed(x) for x in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.array(sigs, pa.list_(pa.int64()))],
-                ["id", "text_hash", "n_shingles", "node", "sig"],
+                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.array(others, pa.int64()), pa.array(sigs, pa.list_(pa.int64()))],
+                ["id", "text_hash", "n_shingles", "node", "second", "sig"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, text_hash long, n_shingles long, node long, sig array<long>")
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, text_hash long, n_shingles long, node long, second long, sig array<long>")
+
+
+def _renamed(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """rows (node, second, ...) with the names of those sets that got another one."""
+    to = names.select(F.col("node").alias("_from"), F.col("second").alias("_second"), F.col("name").alias("_to"))
+    out = rows.join(to, (F.col("node") == F.col("_from")) & (F.col("second") == F.col("_second")), "left")
+    return out.withColumn("node", F.coalesce("_to", "node")).drop("_from", "_second", "_to")
+
+
+def told_apart(rows: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """rows in which no two sets share a name, and what was renamed (node, second, name), round by round: of n sets about n * n / 2^65 pairs."""
+    rounds = []
+    while True:
+        shared = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("second").alias("lo"), F.max("second").alias("hi")).where("lo <> hi")
+        shared = cut(shared.select(F.col("node").alias("s_node"), "lo"), "shared-names")
+        if not shared.limit(1).count():
+            return rows, rounds
+        names = rows.join(shared, F.col("node") == F.col("s_node")).where("second <> lo").select("node", "second").distinct()
+        rounds.append(cut(names.withColumn("name", F.xxhash64("node", "second", F.lit(len(rounds)))), "names"))
+        rows = cut(_renamed(rows, rounds[-1]), "sketch")
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """Full sets of the wanted rows (id, text_hash): node, s."""
+def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str, names: tuple[DataFrame, ...] | list[DataFrame] = ()) -> DataFrame:
+    """Full sets of the wanted rows (id, text_hash): node, s; ``names`` is what told_apart renamed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _texts(batches, 0, size):
             sets = [s for s in sets if len(s)]
             with np.errstate(over="ignore"):
-                own = [set_hash(s) for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "s"])
+                own, others = [set_hash(s) for s in sets], [second_hash(s) for s in sets]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(others, pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "second", "s"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     wanted = cut(wanted.select(F.col("id").alias("w_id"), F.col("text_hash").alias("w_hash")), "wanted")
@@ -170,7 +197,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, tex
     bitmap = wanted.groupBy(word(F.col("w_hash")).alias("word")).agg(F.collect_set(bit(F.col("w_hash"))).alias("bits"))  # 64 bits a word at most
     rows = rows.join(F.broadcast(bitmap), (word(F.col("text_hash")) == F.col("word")) & F.array_contains("bits", bit(F.col("text_hash"))), "left_semi")
     rows = rows.join(wanted, F.col("id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")), "left_semi")
-    return rows.select("text").mapInArrow(run, "node long, s array<long>").dropDuplicates(["node"])
+    out = reduce(_renamed, names, rows.select("text").mapInArrow(run, "node long, second long, s array<long>"))
+    return out.select("node", "s").dropDuplicates(["node"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -240,7 +268,7 @@ def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: st
 
     first: rows that stand for their component. They share one id and text, also where no row of a component has an id; those without words all stay.
     """
-    rows = cut(sketch(docs, shingle, id_col, text_col), "sketch")
+    rows, names = told_apart(cut(sketch(docs, shingle, id_col, text_col), "sketch"))
     near = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
     classes = cut(rows.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("first_id"), F.min_by(F.struct("id", "text_hash", "sig"), near).alias("of"), F.min("n_shingles").alias("n")).select("node", "first_id", "n", "of.*"), "classes")
     sig = classes.select("node", "sig", "n")
@@ -248,7 +276,7 @@ def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: st
     close = fits & (distance(F.col("sig_a"), F.col("sig_b")) <= MOST)
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        return cut(shingle_sets(docs, classes.join(nodes, "node", "left_semi").select("id", "text_hash"), shingle, id_col, text_col), "sets")
+        return cut(shingle_sets(docs, classes.join(nodes, "node", "left_semi").select("id", "text_hash"), shingle, id_col, text_col, names), "sets")
 
     indexed = classes.select("node", F.explode(index_keys(F.col("sig"))).alias("key"))
     shared = indexed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")

@@ -79,3 +79,20 @@ def test_distance(spark):
     df = spark.createDataFrame(rows, "a array<long>, b array<long>, want int")
     for r in df.select("want", distance(F.col("a"), F.col("b")).alias("got"), F.size(F.array_intersect(index_keys(F.col("a")), index_keys(F.col("b")))).alias("shared")).collect():
         assert r.want == r.got and (r.shared or r.want > MOST)
+
+
+def test_sets_that_share_a_hash(spark):
+    """The second hash tells sets apart that share the first one, in rows and in full sets alike."""
+    import terrasift.llm.near_dedup as N
+
+    rng = random.Random(9)
+    texts = [(i, " ".join(rng.choice("abcdefgh") * 3 + str(rng.randrange(40)) for _ in range(30))) for i in range(40)]
+    texts += [(100 + i, t + " x") for i, t in texts[:10]] + [(200 + i, t) for i, t in texts[:5]]
+    rows = spark.createDataFrame([(i, 1 + i % 3, h) for i, h in ((1, 5), (2, 5), (4, 6), (7, 7))], "id long, node long, second long")
+    apart, rounds = N.told_apart(rows)
+    got = {(r.node, r.second) for r in apart.collect()}
+    assert len({n for n, _ in got}) == len({(1 + i % 3, h) for i, h in ((1, 5), (2, 5), (4, 6), (7, 7))}) and len(rounds) == 1
+    again = N._renamed(rows, rounds[0])
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, apart.collect()))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    assert sorted(map(tuple, N.near_duplicates(df).collect())) == sorted(brute(texts, 5, 80))
