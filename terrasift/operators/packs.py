@@ -72,14 +72,14 @@ def in_ring(x: Column, y: Column, ring: Column) -> Column:
 
 
 def rescaled(df: DataFrame, x: str, y: str, box: tuple[float, float, float, float], margin: float = 0.06) -> DataFrame:
-    """Points moved into a box by one factor for both axes, about its middle. Their own box is one row, found by an aggregate."""
-    own = df.agg(F.min(x).alias("_x0"), F.min(y).alias("_y0"), F.max(x).alias("_x1"), F.max(y).alias("_y1"))
+    """Points moved into a box by one factor for both axes, about its middle. Their own box, four numbers, is found by an aggregate."""
+    x0, y0, x1, y1 = df.agg(F.min(x), F.min(y), F.max(x), F.max(y)).first()
+    if x0 is None or y0 is None:
+        return df
     west, south, east, north = box
-    room = lambda size, a, b: F.lit(size * (1 - 2 * margin)) / F.greatest(F.col(b) - F.col(a), F.lit(1e-9))
-    k = F.least(room(east - west, "_x0", "_x1"), room(north - south, "_y0", "_y1"))
-    move = lambda c, a, b, mid: F.round(F.lit(mid) + (F.col(c) - (F.col(a) + F.col(b)) / 2) * k, 6)
-    out = df.crossJoin(F.broadcast(own)).withColumns({x: move(x, "_x0", "_x1", (west + east) / 2), y: move(y, "_y0", "_y1", (south + north) / 2)})
-    return out.drop("_x0", "_y0", "_x1", "_y1")
+    k = (1 - 2 * margin) * min((east - west) / ((x1 - x0) or 1e-9), (north - south) / ((y1 - y0) or 1e-9))
+    move = lambda c, own, mid: F.round(F.lit(mid) + (F.col(c) - own) * k, 6)
+    return df.withColumns({x: move(x, (x0 + x1) / 2, (west + east) / 2), y: move(y, (y0 + y1) / 2, (south + north) / 2)})
 
 
 def megawatts(value: Column) -> Column:
