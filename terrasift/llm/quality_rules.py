@@ -203,8 +203,8 @@ def fit_mcd(rows: DataFrame, share: float = 0.75, prior: float = PRIOR) -> DataF
     """One row a group: mean and inverse covariance, reweighted and held by ``prior`` rows of all groups' moments. rows: GROUP and X."""
     inner = distances(_same_group(rows, least_determinant(rows, share))).where(F.col("d2") <= CHI_975)
     sums = cut(inner.groupBy(*GROUP).agg(*_sums()), "mcd")
-    every = sums.agg(*(F.expr(f"sum({c}) AS p_{c}") for c in SUMS))
-    held = sums.crossJoin(F.broadcast(every)).selectExpr(*GROUP, *(f"{c} + {prior!r}D * p_{c} / p_n AS {c}" for c in SUMS))  # one row beside each group's
+    every = sums.agg(*(F.expr(f"sum({c}) AS {c}") for c in SUMS)).first()  # one row of moments
+    held = sums.select(*GROUP, *((F.col(c) + prior * (every[c] or 0.0) / (every["n"] or 1)).alias(c) for c in SUMS))
     return cut(_estimate(held, C_975, *GROUP), "mcd")
 
 
