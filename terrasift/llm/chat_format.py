@@ -163,9 +163,9 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 TREES = f"""
 WITH RECURSIVE n AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, coalesce(role, ''), coalesce(text, '')) AS i, count(*) OVER (PARTITION BY conv_id) AS size FROM conversations),
 m AS (SELECT *, CAST(length(text) % 7 AS DOUBLE) AS score, 24 + length(replace({_ESC.format("role")}, chr(10), '<' || chr(92) || 'n>')) + length({_ESC.format("text")}) AS chars FROM n),
-p AS (SELECT conv_id, i AS leaf, i AS at, score, chars, 1 AS turns FROM m WHERE 2 * i > size
-      UNION ALL SELECT p.conv_id, leaf, p.at // 2, p.score + m.score, p.chars + m.chars, turns + 1 FROM p JOIN m ON m.conv_id IS NOT DISTINCT FROM p.conv_id AND m.i = p.at // 2),
-r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, leaf) AS branch_rank FROM p WHERE at = 1)
+p AS (SELECT conv_id, i AS leaf, i AS here, score, chars, 1 AS turns FROM m WHERE 2 * i > size
+      UNION ALL SELECT p.conv_id, leaf, p.here // 2, p.score + m.score, p.chars + m.chars, turns + 1 FROM p JOIN m ON m.conv_id IS NOT DISTINCT FROM p.conv_id AND m.i = p.here // 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, leaf) AS branch_rank FROM p WHERE here = 1)
 SELECT conv_id, leaf, CAST(branch_rank AS INT) AS branch_rank, score AS branch_score, CAST(turns AS BIGINT) AS n_turns, CAST(chars AS BIGINT) AS formatted_chars FROM r WHERE branch_rank <= 2
 """
 
