@@ -40,6 +40,11 @@ def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFr
     return df.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= k)
 
 
+def distinct_in_order(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Each combination once, with the place where it first stands."""
+    return df.groupBy(*keys).agg(F.min(order).alias("place")).orderBy("place")
+
+
 def placed(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Each row's place within its group; the order needs a last, unique column."""
     return df.withColumn("place", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))

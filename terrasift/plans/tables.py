@@ -3,9 +3,12 @@
 from pyspark.sql import functions as F
 
 from terrasift.functions import scalar as X
+from terrasift.operators import inventory as I
 from terrasift.operators import joins as J
+from terrasift.operators import packs as K
 from terrasift.operators import rows as R
 from terrasift.plans.registry import query, table
+from terrasift.reconcile import line_layers
 
 
 @query("dedupe_first", "SELECT event_id, user_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1")
@@ -96,8 +99,8 @@ def priority_upsert(spark, sf_dir):
 
 @query("left_enrich", "SELECT c_custkey, CASE WHEN n_nationkey % 5 <> 0 THEN n_name END AS nation FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey")
 def left_enrich(spark, sf_dir):
-    n = table(spark, sf_dir, "nation").where("n_nationkey % 5 <> 0").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation"))
-    return table(spark, sf_dir, "customer").join(n, "c_nationkey", "left").select("c_custkey", "nation")
+    n = table(spark, sf_dir, "nation").where("n_nationkey % 5 <> 0").select(F.col("n_nationkey").alias("geoid"), F.col("n_name").alias("nation"))
+    return K.enriched(table(spark, sf_dir, "customer").withColumn("geoid", F.col("c_nationkey")), n).select("c_custkey", "nation")
 
 
 @query(
@@ -132,8 +135,8 @@ def contested_groups(spark, sf_dir):
 
 @query("duplicate_groups", "SELECT sha256(text) AS digest, count(*) AS n, min(doc_id) AS first_id FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
 def duplicate_groups(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where("text IS NOT NULL")
-    return d.groupBy(F.sha2("text", 256).alias("digest")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")).where("n > 1")
+    d = table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", F.sha2("text", 256).alias("digest"))
+    return R.shared_groups(d, ["digest"], "doc_id").select("digest", "n", F.get("values", F.lit(0)).alias("first_id"))
 
 
 @query(
@@ -170,9 +173,8 @@ def fuzzy_words_all(spark, sf_dir):
 
 @query("family_newest", "SELECT o_custkey, count(*) AS n, CASE WHEN count(*) FILTER (d = m) = 1 THEN max(o_orderkey) FILTER (d = m) END AS newest FROM (SELECT *, o_orderdate AS d, max(o_orderdate) OVER (PARTITION BY o_custkey) AS m FROM orders) GROUP BY 1")
 def family_newest(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderdate").agg(F.count("*").alias("k"), F.max("o_orderkey").alias("key"))
-    last = o.groupBy("o_custkey").agg(F.sum("k").alias("n"), F.max_by(F.struct("k", "key"), "o_orderdate").alias("r"))
-    return last.select("o_custkey", "n", F.when(F.col("r.k") == 1, F.col("r.key")).alias("newest"))
+    files = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("family"), F.col("o_orderkey").alias("path"), F.col("o_orderdate").alias("mtime"), F.lit(0).alias("size"))
+    return I.newest_editions(files).select(F.col("family").alias("o_custkey"), (F.col("others") + 1).alias("n"), "newest")
 
 
 @query("key_histogram", "SELECT key, count(*) AS n FROM (SELECT unnest(json_keys(props)) AS key FROM events) GROUP BY 1 ORDER BY n DESC, key LIMIT 40")
@@ -182,12 +184,13 @@ def key_histogram(spark, sf_dir):
 
 @query("share_line_layer", "SELECT l_returnflag, avg(CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END) > 0.5 AS is_line FROM lineitem GROUP BY 1")
 def share_line_layer(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg((F.avg((F.col("l_linestatus") == "O").cast("int")) > 0.5).alias("is_line"))
+    kind = F.when(F.col("l_linestatus") == "O", "MultiLineString").otherwise("Point")
+    return line_layers(table(spark, sf_dir, "lineitem").withColumn("geom_type", kind), "l_returnflag")
 
 
 @query("prov_distinct_order", "SELECT source, lang, min(doc_id) AS place FROM documents GROUP BY ALL")
 def prov_distinct_order(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.min("doc_id").alias("place")).orderBy("place")
+    return R.distinct_in_order(table(spark, sf_dir, "documents"), ["source", "lang"], "doc_id")
 
 
 @query(

@@ -14,10 +14,15 @@ from terrasift.operators.spatial import compare_numbers, greedy_match, near_pair
 KEYS = ("capacity_mw", "voltage_kv", "max_voltage_kv", "height_ft", "beds")
 
 
+def line_layers(df: DataFrame, key: str) -> DataFrame:
+    """For each layer, whether over half of the geometries that are there are lines."""
+    return df.groupBy(key).agg(F.coalesce(F.avg(F.col("geom_type").contains("Line").cast("int")) > 0.5, F.lit(False)).alias("is_line"))
+
+
 def is_line_layer(df: DataFrame) -> bool:
-    """Over half of the geometries that are there are lines."""
-    share = df.where("geom_type IS NOT NULL").agg(F.avg(F.col("geom_type").contains("Line").cast("int"))).first()[0]
-    return (share or 0) > 0.5
+    """A04 for one layer."""
+    found = line_layers(df.withColumn("_all", F.lit(1)), "_all").first()
+    return found is not None and found.is_line
 
 
 def layer_pairs(specs: list[dict]) -> list[tuple[dict, dict]]:
