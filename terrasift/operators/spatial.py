@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrasift.functions.geometry import local_distance, segments_intersect
+from terrasift.operators import packs
 
 
 def points_in_polygons(points: DataFrame, edge: DataFrame, band: float, key: str = "id", order: str = "poly_ord") -> DataFrame:
@@ -40,6 +41,32 @@ def crossing_segments(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
     return dealt(a, "a").join(dealt(b, "b"), ["cx", "cy"]).where(segments_intersect(ends("a"), ends("b"))).select("a_id", "b_id").distinct()
 
 
+def clip_shapes(features: DataFrame, rings: list[tuple[bool, list[tuple[float, float]]]], band: float, cell: float) -> DataFrame:
+    """the features (id, geom_type, coordinates as JSON) that touch an area, whole. rings: whether it is a hole, and its places; an area is one small object.
+
+    A feature touches if its box meets the area's and one of its places lies in the area, or an edge of its crosses one of the area's, or the
+    area lies in it, told by the area's first place. Points are done after the first. Rows without a place go; equal ids stand or fall together.
+    """
+    spark = features.sparkSession
+    ends = [(n, hole, a, b) for n, (hole, ring) in enumerate(rings) for a, b in zip(ring, [*ring[1:], ring[0]], strict=True)]
+    edge = spark.createDataFrame([(0, 0, n, hole, *a, *b) for n, hole, a, b in ends], "poly_id int, poly_ord int, ring_id int, hole boolean, xi double, yi double, xj double, yj double")
+    xs, ys = zip(*(p for hole, ring in rings if not hole for p in ring), strict=True)
+    kind, where = F.col("geom_type"), F.col("coordinates")
+    at = lambda p, i: F.get(p, F.lit(i))
+    shapes = features.select("id", "geom_type", "coordinates", packs.sample_points(kind, where).alias("p")).where("size(p) > 0")
+    span = lambda i: (F.array_min(F.transform("p", lambda p: at(p, i))), F.array_max(F.transform("p", lambda p: at(p, i))))
+    (west, east), (south, north) = span(0), span(1)
+    shapes = shapes.where((west <= max(xs)) & (east >= min(xs)) & (south <= max(ys)) & (north >= min(ys)))
+    points = shapes.select("id", F.posexplode("p").alias("n", "q")).select(F.struct("id", "n").alias("id"), at(F.col("q"), 0).alias("lon"), at(F.col("q"), 1).alias("lat"))
+    inside = points_in_polygons(points, edge, band).select("id.id")
+    own = shapes.select("id", F.explode(packs.segments(kind, where)).alias("s")).select("id", *(at(at(F.col("s"), i), j).alias(f"{c}{i + 1}") for i in (0, 1) for j, c in enumerate("xy")))
+    crossed = crossing_segments(own, edge.selectExpr("ring_id AS id", "xi AS x1", "yi AS y1", "xj AS x2", "yj AS y2"), cell).select(F.col("a_id").alias("id"))
+    x, y = (F.lit(float(v)) for v in next(ring[0] for hole, ring in rings if not hole))
+    odd = F.aggregate(F.transform(packs.rings(kind, where), lambda r: packs.in_ring(x, y, r).cast("int")), F.lit(0), lambda a, v: a + v) % 2 == 1
+    touching = inside.unionByName(crossed).unionByName(shapes.where(odd).select("id")).distinct()
+    return features.join(touching, "id", "left_semi")
+
+
 def near_pairs(a: DataFrame, b: DataFrame, radius: float = 800.0, cell: float = 0.02) -> DataFrame:
     """J06's candidates: a_id, b_id, d of points (id, lon, lat) with d < radius + 1 metres. A row of a meets the cells around it, one of b has one.
 

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("flagship", "attributes", "geo", "packs", "statepacks", "tables")
+MODULES = ("flagship", "attributes", "geo", "packs", "shapes", "statepacks", "tables")
 
 
 def load() -> None:

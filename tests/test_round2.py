@@ -107,3 +107,28 @@ def test_contained_sets_against_brute_force(spark):
     df = spark.createDataFrame([(o, i) for o, s in sets.items() for i in s] + [(200, None)], "o long, i string")
     want = {o: min(p for p, t in sets.items() if s < t) for o, s in sets.items() if any(s < t for t in sets.values())}
     assert {r.inner: r.outer for r in R.contained_sets(df, "o", "i").collect()} == want
+
+
+def test_clip_shapes(spark):
+    """A shape around the whole area, one in its hole, one across an edge without a place inside, empty and null ones, an equal id."""
+    from terrasift.operators.spatial import clip_shapes
+
+    area = [(False, [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)]), (True, [(4.0, 4.0), (6.0, 4.0), (6.0, 6.0), (4.0, 6.0)])]
+    rows = [
+        (1, "Polygon", "[[[-5,-5],[20,-5],[20,20],[-5,20],[-5,-5]]]"),
+        (2, "Polygon", "[[[-5,-5],[20,-5],[20,20],[-5,20],[-5,-5]],[[-1,-1],[11,-1],[11,11],[-1,11],[-1,-1]]]"),
+        (3, "LineString", "[[-1,5],[11,5]]"),
+        (4, "LineString", "[[4.5,4.5],[5.5,5.5]]"),
+        (5, "Point", "[5,5]"),
+        (6, "Point", "[1,1]"),
+        (7, "MultiPolygon", "[[[[20,20],[21,20],[21,21],[20,20]]],[[[8,8],[9,8],[9,9],[8,8]]]]"),
+        (8, "LineString", "[[11,0],[11,10]]"),
+        (9, "Point", None),
+        (10, None, "[1,1]"),
+        (6, "Point", "[1,1]"),
+        (None, "Point", "[1,1]"),
+        (11, "MultiLineString", "[]"),
+    ]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "id long, geom_type string, coordinates string, lon string")
+    assert sorted(r.id for r in clip_shapes(df, area, 1.0, 1.0).collect()) == [1, 3, 6, 6, 7]
+    assert clip_shapes(df.limit(0), area, 1.0, 1.0).collect() == []
