@@ -45,7 +45,7 @@ def clip_shapes(features: DataFrame, rings: list[tuple[bool, list[tuple[float, f
     """the features (id, geom_type, coordinates as JSON) that touch an area, whole. rings: whether it is a hole, and its places; an area is one small object.
 
     A feature touches if its box meets the area's and one of its places lies in the area, or an edge of its crosses one of the area's, or the
-    area lies in it, told by the area's first place. Points are done after the first. Rows without a place go; equal ids stand or fall together.
+    area lies in it, told by the area's first place. Points are done after the first. Rows without a place or an id go; those of equal id stand or fall together.
     """
     spark = features.sparkSession
     ends = [(n, hole, a, b) for n, (hole, ring) in enumerate(rings) for a, b in zip(ring, [*ring[1:], ring[0]], strict=True)]
@@ -57,8 +57,8 @@ def clip_shapes(features: DataFrame, rings: list[tuple[bool, list[tuple[float, f
     span = lambda i: (F.array_min(F.transform("p", lambda p: at(p, i))), F.array_max(F.transform("p", lambda p: at(p, i))))
     (west, east), (south, north) = span(0), span(1)
     shapes = shapes.where((west <= max(xs)) & (east >= min(xs)) & (south <= max(ys)) & (north >= min(ys)))
-    points = shapes.select("id", F.posexplode("p").alias("n", "q")).select(F.struct("id", "n").alias("id"), at(F.col("q"), 0).alias("lon"), at(F.col("q"), 1).alias("lat"))
-    inside = points_in_polygons(points, edge, band).select("id.id")
+    points = shapes.select("id", F.explode("p").alias("q")).select("id", at(F.col("q"), 0).alias("lon"), at(F.col("q"), 1).alias("lat")).distinct()
+    inside = points_in_polygons(points.select(F.struct("id", "lon", "lat").alias("id"), "lon", "lat"), edge, band).select("id.id")
     own = shapes.select("id", F.explode(packs.segments(kind, where)).alias("s")).select("id", *(at(at(F.col("s"), i), j).alias(f"{c}{i + 1}") for i in (0, 1) for j, c in enumerate("xy")))
     crossed = crossing_segments(own, edge.selectExpr("ring_id AS id", "xi AS x1", "yi AS y1", "xj AS x2", "yj AS y2"), cell).select(F.col("a_id").alias("id"))
     x, y = (F.lit(float(v)) for v in next(ring[0] for hole, ring in rings if not hole))

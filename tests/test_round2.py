@@ -132,3 +132,46 @@ def test_clip_shapes(spark):
     df = spark.createDataFrame([(*r, "x") for r in rows], "id long, geom_type string, coordinates string, lon string")
     assert sorted(r.id for r in clip_shapes(df, area, 1.0, 1.0).collect()) == [1, 3, 6, 6, 7]
     assert clip_shapes(df.limit(0), area, 1.0, 1.0).collect() == []
+
+
+def test_catalog_lint_of_drivers_fields_and_alternates():
+    from terrasift.catalog import Catalog
+
+    base = {"license": "PD", "coverage": "us", "source_name": "n"}
+    rows = [
+        {**base, "id": "fine", "layer": "l", "driver": "file", "url": "u", "fields": {"height_ft": {"from": ["H@m", "H"]}, "owner": {"const": "x"}, "beds": False}, "style_rules": [{"when": "height_ft >= 5"}, {"when": "other = 1"}], "alternates": [{"note": "none"}]},
+        {**base, "id": "a", "layer": "l", "driver": "arcgis", "source_name": ""},
+        {**base, "id": "o", "layer": "l", "driver": "overpass", "elements": "blob", "aoi_kinds": ["planet"]},
+        {**base, "id": "f", "layer": "l", "driver": "file", "url": "u", "fields": {"height_ft": {"from": "H@furlong"}, "owner": {"from": []}, "nonsense": {}}, "style_rules": [{}, {"when": "beds > 2"}], "alternates": [{}, "x"]},
+        {**base, "id": "m", "layer": "l", "driver": "file", "url": "u", "fields": ["x"]},
+    ]
+    c = Catalog.load([("national", "us", {"sources": rows})])
+    found = c.lint({"file", "arcgis", "overpass"}, {"height_ft": "ft", "owner": "", "beds": ""})
+    assert found == [
+        "a: arcgis without url",
+        "a: arcgis without layer_id or layer_match",
+        "a: no source_name",
+        "o: overpass without tags",
+        "o: elements 'blob'",
+        "o: kind of area 'planet'",
+        "f: height_ft in 'furlong', which has no conversion",
+        "f: owner comes from nothing",
+        "f: nonsense is no canonical field",
+        "f: style rule without when",
+        "f: style rule on beds, which is never mapped",
+        "f: alternate without url",
+        "f: alternate is no mapping",
+        "m: fields is no mapping",
+    ]
+
+
+def test_area_names():
+    from terrasift.catalog import Aoi, sector_slug
+
+    county = Aoi("county", "27025", None, ("MN",), "27025", "Lac qui Parle")
+    assert (county.folder, county.prefix, county.describe()) == ("us/mn/27025_lac_qui_parle", "MN-Lac-qui-Parle", "Lac qui Parle County, MN (FIPS 27025)")
+    assert (Aoi("county", "27025", None, ("MN",), "27025").prefix, Aoi("state", "MN", None, ("MN",)).folder) == ("MN-27025", "us/mn")
+    box = Aoi("bbox", "-93.5,44,-92,45", (-93.5, 44.0, -92.0, 45.0), ("MN", "WI"))
+    assert (box.folder, box.prefix, box.state) == ("bbox_m93p500_44p000_m92p000_45p000", "BBOX", None)
+    assert Aoi("region", "upper-midwest", None, ("MN", "WI")).describe() == "region upper-midwest: MN, WI" and Aoi("world", "world").prefix == "WORLD"
+    assert (sector_slug("Energy - Oil & Gas"), sector_slug(" - ")) == ("Energy-Oil-Gas", "Other")
