@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrasift.functions.scalar import squash_name
+from terrasift.functions.scalar import squash_name, tone_kind, tone_note
 
 #: Order of problems; any other kind comes after.
 SEVERITY = {"BROKEN": 0, "DUPLICATE": 1, "STALE": 2, "EMPTY": 3, "NO SOURCE": 4}
@@ -79,3 +79,10 @@ def two_way_missing(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 def names_of_county(records: DataFrame, counties: DataFrame) -> DataFrame:
     """Records whose county's name is not in their own. records: geoid, name; counties: geoid, county."""
     return records.join(counties, "geoid").where(~F.contains(F.lower("name"), F.lower("county")))
+
+
+def tone_report(records: DataFrame, tone: str, name: str) -> DataFrame:
+    """Kind, value, note, n, example: how many records have each kind of tone; those that are none by value (null for the other kinds), with a note and the first name."""
+    kind = tone_kind(F.col(tone))
+    value = F.when(kind == "unrecognised", F.trim(tone))
+    return records.groupBy(kind.alias("kind"), value.alias("value")).agg(F.count("*").alias("n"), F.min(F.when(value.isNotNull(), F.col(name))).alias("example")).select("kind", "value", tone_note(F.col("value")).alias("note"), "n", "example")

@@ -154,7 +154,15 @@ def clip_ring(keys: DataFrame, vertices: int) -> DataFrame:
     return S.points_in_polygons(p.where(box), ring_edges(keys.sparkSession, vertices), band=0.01)
 
 
-@query("clip_ring_10k")
+@query(
+    "clip_ring_10k",
+    """WITH k AS (SELECT DISTINCT l_orderkey * 7 + l_linenumber AS id FROM lineitem),
+    p AS (SELECT id, -97.0::DOUBLE + (id * 7919) % 80000 / 10000.0::DOUBLE AS lon, 43.0::DOUBLE + (id * 6271) % 60000 / 10000.0::DOUBLE AS lat FROM k),
+    t AS (SELECT i, i * (2 * 3.141592653589793::DOUBLE / 10000) AS t FROM range(10000) r(i)),
+    v AS (SELECT i, -93.0::DOUBLE + (2.5::DOUBLE + 0.5::DOUBLE * sin(t * 40)) * cos(t) AS x, 46.0::DOUBLE + (2.0::DOUBLE + 0.4::DOUBLE * sin(t * 40)) * sin(t) AS y FROM t),
+    e AS (SELECT a.x AS xi, a.y AS yi, b.x AS xj, b.y AS yj, least(a.y, b.y) AS low, greatest(a.y, b.y) AS high FROM v a JOIN v b ON b.i = (a.i + 1) % 10000)
+    SELECT id, CAST(0 AS INT) AS poly_id FROM p JOIN e ON low <= lat AND lat < high WHERE lon < (xj - xi) * (lat - yi) / (yj - yi) + xi GROUP BY id HAVING count(*) % 2 = 1""",
+)
 def clip_ring_10k(spark, sf_dir):
     """F10 on a point for each row of lineitem and a ring of 10,000 vertices."""
     return clip_ring(line_keys(spark, sf_dir), 10_000)

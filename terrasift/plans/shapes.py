@@ -216,3 +216,14 @@ def code_labels(spark, sf_dir):
 @query("land_areas", "SELECT p_partkey, round(p_partkey * 1000003.0::DOUBLE / 2589988.110336::DOUBLE, 1) AS square_miles FROM part")
 def land_areas(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", L.square_miles(F.col("p_partkey") * 1000003.0).alias("square_miles"))
+
+
+@query(
+    "tone_counts",
+    """WITH t AS (SELECT p_name, CASE p_partkey % 4 WHEN 0 THEN '114.8' WHEN 1 THEN 'd 47' WHEN 2 THEN '' ELSE CAST(p_size AS VARCHAR) || '.7' END AS tone, p_partkey % 4 AS k FROM part)
+    SELECT CASE k WHEN 0 THEN 'ctcss' WHEN 1 THEN 'dcs' WHEN 2 THEN 'none' ELSE 'unrecognised' END AS kind, CASE WHEN k = 3 THEN tone END AS value,
+           CASE WHEN k < 3 THEN '' WHEN length(tone) = 3 THEN 'not a CTCSS tone, DCS code or DMR colour code' ELSE 'not a CTCSS tone - looks like a frequency' END AS note, count(*) AS n, CASE WHEN k = 3 THEN min(p_name) END AS example FROM t GROUP BY 1, 2, 3, k""",
+)
+def tone_counts(spark, sf_dir):
+    t = F.expr("CASE p_partkey % 4 WHEN 0 THEN ' 114.8' WHEN 1 THEN 'd 47' WHEN 2 THEN NULL ELSE concat(p_size, '.7') END")
+    return I.tone_report(table(spark, sf_dir, "part").select("p_name", t.alias("tone")), "tone", "p_name")
