@@ -10,6 +10,7 @@ from terrasift.llm import (  # noqa: F401
     quality_classifier,
     quality_rules,
     token_counts,
+    token_ids,
     warc_revisits,
 )
 from terrasift.llm.decl import ORACLE, QUERIES  # noqa: F401
