@@ -31,16 +31,37 @@ def cut(df: DataFrame, name: str = "part") -> DataFrame:
     path = f"{shared_dir(spark)}/terrasift/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _scratch.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
 
 
-def drop_scratch(keep: int = 0) -> None:
-    """Remove the tables that cut() wrote, but for the first ``keep``."""
-    while len(_scratch) > keep:
-        spark, path = _scratch.pop()
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release(df: DataFrame) -> None:
+    """Remove the table behind a DataFrame that cut() returned: nothing may read it any more. Others are left alone."""
+    path = df.__dict__.get("scratch_path")
+    for k, (spark, found) in enumerate(_scratch):
+        if found == path:
+            del _scratch[k]
+            return _remove(spark, path)
+
+
+def scratch_tables() -> int:
+    """How many tables of cut() there are."""
+    return len(_scratch)
+
+
+def drop_scratch(keep: int = 0, last: int = 0) -> None:
+    """Remove the tables that cut() wrote, but for the first ``keep`` and the latest ``last``."""
+    gone = _scratch[keep : len(_scratch) - last]
+    _scratch[keep : len(_scratch) - last] = []
+    for spark, path in reversed(gone):
         try:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            _remove(spark, path)
         except Exception:  # noqa: BLE001  the session may have ended before
             return
 
