@@ -11,6 +11,7 @@ from terrasift.llm import (  # noqa: F401
     quality_rules,
     token_counts,
     token_ids,
+    vector_codes,
     warc_revisits,
 )
 from terrasift.llm.decl import ORACLE, QUERIES  # noqa: F401
