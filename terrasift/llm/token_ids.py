@@ -22,9 +22,9 @@ in all three are in any order, as their results are the same. Other columns are
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import struct
-import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -42,8 +42,8 @@ from terrasift.llm.token_counts import _drops_space, slices
 
 MAGIC = b"TSIDS\x00\x01\n"
 HEAD, FOOT = "<8sB23x32s", "<QQQII8s"
-#: Bytes of text in a task's hands at once, words in each of two generations of a worker's memo, bytes of ids returned in a batch.
-SLICE_BYTES, MEMO, BATCH_BYTES = 8 << 20, 250_000, 8 << 20
+#: Bytes of text in a task's hands at once, units in a worker's memo, bytes of ids returned in a batch.
+SLICE_BYTES, MEMO, BATCH_BYTES = 8 << 20, 500_000, 8 << 20
 #: The dictionary's size, how many texts it is trained on, and their greatest length in code points.
 DICTIONARY, SAMPLE, SAMPLE_CHARS = 64 << 10, 2000, 8192
 #: Bytes of frames in a file, and in the smallest file that is made so that all cores have work.
@@ -75,96 +75,124 @@ def _tokenizer(name: str):
     return found, spec
 
 
+def _gather(flat: np.ndarray, first: np.ndarray, size: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of flat that which names, one after another, and the place where each begins, and the end."""
+    each = size[which]
+    at = np.zeros(len(which) + 1, np.int64)
+    np.cumsum(each, out=at[1:])
+    kind = np.int32 if max(len(flat), int(at[-1])) < 1 << 30 else np.int64
+    places = np.arange(at[-1], dtype=kind)
+    places += np.repeat((first[which] - at[:-1]).astype(kind), each)
+    return flat[places], at
+
+
+class _Memo:
+    """Ids of units, numbered as they come. When it is full it keeps the units of the slice at hand alone."""
+
+    def __init__(self, kind: str):
+        self.kind, self.number = kind, {}
+        self.flat, self.first, self.size = np.zeros(0, kind), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def numbers(self, units: list[str], encode) -> np.ndarray:
+        found = np.fromiter(map(self.number.get, units, itertools.repeat(-1)), np.int64, len(units))
+        new = np.flatnonzero(found < 0)
+        if len(self.number) + len(new) > MEMO and self.number:
+            old = np.flatnonzero(found >= 0)
+            flat, at = _gather(self.flat, self.first, self.size, found[old])
+            self.flat, self.first, self.size = flat, at[:-1], np.diff(at)
+            self.number = {units[i]: k for k, i in enumerate(old.tolist())}
+            found[old] = np.arange(len(old))
+        if len(new):
+            words = [units[i] for i in new.tolist()]
+            ids, size = encode(words)
+            found[new] = np.arange(len(self.size), len(self.size) + len(new))
+            self.number.update(zip(words, found[new].tolist(), strict=True))
+            self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
+            self.flat, self.size = np.concatenate([self.flat, ids.astype(self.kind)]), np.concatenate([self.size, size])
+        return found
+
+
 class Encoder:
-    """Ids of whole texts as one array with the places where texts end.
+    """Serialised ids of whole texts, the end id after each, as one array with the places where texts begin.
 
     A tokenizer that drops white space gives a text the ids of its words one after another. So a slice's distinct words are encoded, each once, and the ids
-    are gathered by word. Words of letters alone are encoded as one text, told apart by the model's mark of a word's end; if there are not as many
-    marks as words (some letters turn into others and marks), each word is encoded by itself. Other tokenizers encode whole texts.
+    are gathered by word. Punctuation after letters is a unit of its own. Units of letters alone are encoded together, told apart by the model's mark of a word's
+    end; if there are not as many marks as units (some letters turn into others and marks), each unit is encoded by itself. Other tokenizers encode whole texts.
     """
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, end_id: int):
         self.tokenizer, spec = _tokenizer(name)
         self.by_word = _drops_space(spec)
-        self.size = self.tokenizer.get_vocab_size()
-        end = spec["model"].get("end_of_word_suffix")
-        self.ends = None
+        vocabulary = self.tokenizer.get_vocab()
+        self.kind = "<u2" if max(*vocabulary.values(), end_id) < 1 << 16 else "<u4"
+        self.end_id, self.ends, end = end_id, None, spec["model"].get("end_of_word_suffix")
         if end:
-            self.ends = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
             self.ends[[i for w, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if w.endswith(end)]] = True
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _each(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _letters(self, words: list[str]) -> list[bytes]:
-        """Ids of words that consist of letters."""
-        if self.ends is None:
-            return self._each(words)
-        out: list[bytes] = []
-        for at in range(0, len(words), 2000):
-            part = words[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) != len(part) or (len(last) and last[-1] != len(ids)):
-                out += self._each(part)
-                continue
-            raw, bounds = ids.tobytes(), (4 * last).tolist()
-            out += [raw[a:b] for a, b in zip([0, *bounds], bounds, strict=False)]
-        return out
-
-    def _lookup(self, units: set[str]) -> dict[str, bytes]:
-        """Ids of units, kept for later slices: two generations, of which the older goes when the younger is full."""
-        if len(self.young) > MEMO:
-            self.old, self.young = self.young, {}
-        found = {u: x for u in units if (x := self.young.get(u)) is not None}
-        for u in units.difference(found):
-            if (x := self.old.get(u)) is not None:
-                found[u] = self.young[u] = x
-        new = units.difference(found)
-        letters = [u for u in new if u.isalpha()]
-        others = [u for u in new if not u.isalpha()]
-        made = dict(zip(letters, self._letters(letters), strict=True)) | dict(zip(others, self._each(others), strict=True))
-        self.young |= {u: x for u, x in made.items() if len(u) <= 48}
-        return found | made
-
-    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of texts (no nulls), and after each text how many there are so far."""
+        self.memo = _Memo(self.kind)
+
+    def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        made = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.array([len(x) for x in made], np.int64)
+        return np.fromiter(itertools.chain.from_iterable(made), np.int64, int(size.sum())), size
+
+    def _units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units, and how many each has."""
+        letters = [i for i, u in enumerate(units) if u.isalpha()] if self.ends is not None else []
+        order, ids, size = [], [], []
+        for at in range(0, len(letters), 100_000):
+            groups = [letters[i : i + 100] for i in range(at, min(at + 100_000, len(letters)), 100)]
+            made = [x.ids for x in self.tokenizer.encode_batch_fast([" ".join([units[i] for i in g]) for g in groups], add_special_tokens=False)]
+            for group, x in zip(groups, made, strict=True):
+                found = np.array(x, np.int64)
+                last = np.flatnonzero(self.ends[found]) + 1
+                if len(last) == len(group) and last[-1] == len(found):
+                    order += group
+                    ids.append(found)
+                    size.append(np.diff(last, prepend=0))
+        rest = sorted(set(range(len(units))).difference(order))
+        found, n = self._each([units[i] for i in rest])
+        flat, sizes = np.concatenate([*ids, found]), np.concatenate([*size, n])
+        where = np.empty(len(units), np.int64)
+        where[order + rest] = np.arange(len(units))
+        return _gather(flat, np.cumsum(sizes) - sizes, sizes, where)[0], sizes[where]
+
+    def serial(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts (null: empty) with the end id after each; where each text's begin, and the end."""
+        texts = pc.fill_null(texts, "")
         if not self.by_word:
-            made = self._each(texts.to_pylist())
-            return np.frombuffer(b"".join(made), "<u4"), np.cumsum([len(x) // 4 for x in made], dtype=np.int64)
+            ids, size = self._each(texts.to_pylist())
+            return np.insert(ids, np.cumsum(size), self.end_id).astype(self.kind), np.concatenate([[0], np.cumsum(size + 1)])
         parts = pc.ascii_split_whitespace(texts)
         at = parts.offsets.to_numpy().astype(np.int64)
         coded = parts.flatten().dictionary_encode()
-        pairs = []
-        for w in coded.dictionary.to_pylist():
-            core = w.rstrip(_TAIL)
-            if core.isascii() and core.isalpha():
-                pairs.append((core.lower(), w[len(core) :]))
-            elif core.isalpha() and unicodedata.normalize("NFC", core).lower().isalpha():  # else a mark at its end would stay with the tail
-                pairs.append((core, w[len(core) :]))
-            else:
-                pairs.append((w, ""))
-        table = self._lookup({x for pair in pairs for x in pair if x})
-        table[""] = b""
-        made = [table[a] + table[b] for a, b in pairs]
-        flat = np.frombuffer(b"".join(made), "<u4")
-        size = np.array([len(x) // 4 for x in made], np.int64)
-        first = np.cumsum(size) - size
-        which = coded.indices.to_numpy().astype(np.int64)
-        each = size[which]
-        so_far = np.concatenate([[0], np.cumsum(each)])
-        out = flat[np.repeat(first[which] - so_far[:-1], each) + np.arange(so_far[-1])]
-        return out, so_far[at[1:] - at[0]]
-
-
-def _serial(encoder: Encoder, texts: pa.Array, end_id: int) -> tuple[memoryview, np.ndarray, str]:
-    """Serialised ids of texts with the end id after each, the places in ids where documents start and end, and the ids' kind."""
-    ids, ends = encoder.ids(pc.fill_null(texts.cast(pa.large_string()) if pa.types.is_large_string(texts.type) else texts, ""))
-    kind = "<u2" if max(encoder.size, end_id + 1) <= 1 << 16 else "<u4"
-    out = np.insert(ids, ends, end_id).astype(kind)
-    return memoryview(out.tobytes()), np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]), kind
+        words = coded.dictionary
+        core = pc.utf8_rtrim(words, characters=_TAIL)
+        plain = pc.string_is_ascii(core)
+        # After NFC and in lower case the core must still be letters, else a mark at its end would stay with the tail.
+        letters = pc.and_(pc.utf8_is_alpha(core), pc.or_(plain, pc.utf8_is_alpha(pc.utf8_lower(pc.utf8_normalize(core, "NFC")))))
+        head = pc.if_else(letters, pc.if_else(plain, pc.ascii_lower(core), core), words).dictionary_encode()
+        heads = self.memo.numbers(head.dictionary.to_pylist(), self._units)
+        # Units: what the memo has, then the slice's tails, nothing, and the end id.
+        tailed = np.flatnonzero(pc.and_(letters, pc.not_equal(pc.binary_length(core), pc.binary_length(words))).to_numpy(zero_copy_only=False))
+        ends = [w[len(w.rstrip(_TAIL)) :] for w in words.take(pa.array(tailed)).to_pylist()]
+        distinct = sorted(set(ends))
+        more, size = self._units(distinct) if distinct else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        n, m = len(self.memo.size), len(self.memo.flat)
+        flat = np.concatenate([self.memo.flat, more.astype(self.kind), np.array([self.end_id], self.kind)])
+        first = np.concatenate([self.memo.first, m + np.cumsum(size) - size, [0, m + len(more)]])
+        sizes = np.concatenate([self.memo.size, size, [0, 1]])
+        place = {x: n + i for i, x in enumerate(distinct)}
+        pair = np.full((len(words) + 1, 2), n + len(distinct), np.int64)
+        pair[:-1, 0] = heads[head.indices.to_numpy()]
+        pair[tailed, 1] = [place[x] for x in ends]
+        pair[-1, 0] = n + len(distinct) + 1
+        flat, bounds = _gather(flat, first, sizes, pair.ravel())
+        bounds = bounds[::2]
+        closed = at[1:] - at[0]
+        which = np.insert(coded.indices.to_numpy(), closed, len(words))
+        out, starts = _gather(flat, bounds[:-1], np.diff(bounds), which)
+        return out, starts[np.concatenate([[0], closed + np.arange(1, len(closed) + 1)])]
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, text_col: str, size: int = DICTIONARY, sample: int = SAMPLE) -> bytes:
@@ -173,11 +201,10 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        encoder, samples = Encoder(tokenizer), []
+        encoder, samples = Encoder(tokenizer, end_id), []
         for batch in batches:
-            data, at, kind = _serial(encoder, batch.column(0), end_id)
-            w = int(kind[-1])
-            samples += [bytes(data[w * a : w * b]) for a, b in zip(at, at[1:], strict=False)]
+            ids, at = encoder.serial(batch.column(0))
+            samples += [ids[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
         found = b""
         if len(samples) >= 16:
             try:
@@ -203,12 +230,11 @@ def _frames(docs: DataFrame, dictionary: bytes, tokenizer: str, end_id: int, id_
         if kept is not None:
             kept.precompute_compress(compression_params=rule)
         press = zstandard.ZstdCompressor(dict_data=kept, compression_params=rule)
-        encoder, row = Encoder(tokenizer), TaskContext.get().partitionId() << 40
+        encoder, row = Encoder(tokenizer, end_id), TaskContext.get().partitionId() << 40
         for whole in batches:
             for batch in slices(whole, 1, SLICE_BYTES):
-                data, at, kind = _serial(encoder, batch.column(1), end_id)
-                w = int(kind[-1])
-                parts = [data[w * a : w * b] for a, b in zip(at.tolist(), at[1:].tolist(), strict=False)]
+                ids, at = encoder.serial(batch.column(1))
+                parts = [ids[a:b].data for a, b in zip(at.tolist(), at[1:].tolist(), strict=False)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
@@ -272,8 +298,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json",
     if dictionary:
         with where.open_output_stream(f"{root}/dictionary-{digest.hex()}.zdict") as f:
             f.write(dictionary)
-    found, _ = _tokenizer(tokenizer)
-    width = 2 if max(found.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+    width = int(Encoder(tokenizer, end_id).kind[-1])
     frames = cut(_frames(docs, dictionary, tokenizer, end_id, id_col, text_col), "frames")
     total = frames.agg(F.sum(F.length("frame"))).first()[0] or 0
     n = max(1, -(-total // file_bytes), min(spark.sparkContext.defaultParallelism, total // LEAST_FILE))

@@ -29,7 +29,7 @@ def library(name, text):
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_files_hold_what_the_library_gives(spark, tmp_path, name):
     docs = spark.createDataFrame([Row(doc_id=len(ODD) - i, text=t, n="clash", ids=1, frame="x") for i, t in enumerate(ODD)] + [Row(doc_id=None, text="null id", n=None, ids=2, frame=None)])
-    write_ids(docs, str(tmp_path), tokenizer=name, file_bytes=400)
+    write_ids(docs, str(tmp_path), tokenizer=name, file_bytes=150)
     got = read_ids(spark, str(tmp_path), docs_a_task=3).orderBy("start").collect()
     order = [(None, "null id"), *((len(ODD) - i, t) for i, t in reversed(list(enumerate(ODD))))]
     start = 0
@@ -105,8 +105,8 @@ def test_empty_table_and_memo(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(token_ids, "MEMO", 2)
     import pyarrow as pa
 
-    encoder = Encoder("word_bpe_49k.json")
-    for texts in (["one two three, four. five"], ["two six!"], ["ONE ten10 x" * 40, "", "four"]):
-        ids, ends = encoder.ids(pa.array(texts))
-        want = [library("word_bpe_49k.json", t) for t in texts]
-        assert ids.tolist() == [i for x in want for i in x] and ends.tolist() == np.cumsum([len(x) for x in want]).tolist()
+    encoder = Encoder("word_bpe_49k.json", 1)
+    for texts in (["one two three, four. five"], ["two six! ab"], ["ONE ten10 x" * 40, "", "four"], [], ["İ. ab q. ́", None][:1]):
+        ids, at = encoder.serial(pa.array(texts, pa.string()))
+        want = [[*library("word_bpe_49k.json", t), 1] for t in texts]
+        assert ids.tolist() == [i for x in want for i in x] and at.tolist() == [0, *np.cumsum([len(x) for x in want])]
