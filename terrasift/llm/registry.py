@@ -2,6 +2,7 @@
 
 from terrasift.llm import (  # noqa: F401
     chat_format,
+    chat_repair,
     image_copies,
     license_scan,
     mixing,
