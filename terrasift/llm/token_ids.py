@@ -21,6 +21,7 @@ in all three are in any order, as their results are the same. Other columns are
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
 import json
@@ -43,7 +44,7 @@ from terrasift.llm.token_counts import _drops_space, slices
 MAGIC = b"TSIDS\x00\x01\n"
 HEAD, FOOT = "<8sB23x32s", "<QQQII8s"
 #: Bytes of text in a task's hands at once, units in a worker's memo, bytes of ids returned in a batch.
-SLICE_BYTES, MEMO, BATCH_BYTES = 8 << 20, 500_000, 8 << 20
+SLICE_BYTES, MEMO, BATCH_BYTES = 4 << 20, 400_000, 8 << 20
 #: The dictionary's size, how many texts it is trained on, and their greatest length in code points.
 DICTIONARY, SAMPLE, SAMPLE_CHARS = 64 << 10, 2000, 8192
 #: Bytes of frames in a file, and in the smallest file that is made so that all cores have work.
@@ -132,19 +133,18 @@ class Encoder:
         self.memo = _Memo(self.kind)
 
     def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        made = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        size = np.array([len(x) for x in made], np.int64)
-        return np.fromiter(itertools.chain.from_iterable(made), np.int64, int(size.sum())), size
+        made = [np.array(x.ids, np.int32) for at in range(0, len(texts), 2000) for x in self.tokenizer.encode_batch_fast(texts[at : at + 2000], add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, np.int32), *made]), np.array([len(x) for x in made], np.int64)
 
     def _units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of units, and how many each has."""
         letters = [i for i, u in enumerate(units) if u.isalpha()] if self.ends is not None else []
         order, ids, size = [], [], []
-        for at in range(0, len(letters), 100_000):
-            groups = [letters[i : i + 100] for i in range(at, min(at + 100_000, len(letters)), 100)]
+        for at in range(0, len(letters), 10_000):  # what the library makes for a batch is large
+            groups = [letters[i : i + 100] for i in range(at, min(at + 10_000, len(letters)), 100)]
             made = [x.ids for x in self.tokenizer.encode_batch_fast([" ".join([units[i] for i in g]) for g in groups], add_special_tokens=False)]
             for group, x in zip(groups, made, strict=True):
-                found = np.array(x, np.int64)
+                found = np.array(x, np.int32)
                 last = np.flatnonzero(self.ends[found]) + 1
                 if len(last) == len(group) and last[-1] == len(found):
                     order += group
@@ -195,13 +195,19 @@ class Encoder:
         return out, starts[np.concatenate([[0], closed + np.arange(1, len(closed) + 1)])]
 
 
+@functools.lru_cache(maxsize=1)
+def _encoder(name: str, end_id: int) -> Encoder:
+    """A worker's encoder: its memo serves all tasks of the worker."""
+    return Encoder(name, end_id)
+
+
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, text_col: str, size: int = DICTIONARY, sample: int = SAMPLE) -> bytes:
     """A dictionary trained on the serialised ids of at most ``sample`` texts of 1 to SAMPLE_CHARS code points, those whose hashes are least; empty where they are too few."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        encoder, samples = Encoder(tokenizer, end_id), []
+        encoder, samples = _encoder(tokenizer, end_id), []
         for batch in batches:
             ids, at = encoder.serial(batch.column(0))
             samples += [ids[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
@@ -230,7 +236,7 @@ def _frames(docs: DataFrame, dictionary: bytes, tokenizer: str, end_id: int, id_
         if kept is not None:
             kept.precompute_compress(compression_params=rule)
         press = zstandard.ZstdCompressor(dict_data=kept, compression_params=rule)
-        encoder, row = Encoder(tokenizer, end_id), TaskContext.get().partitionId() << 40
+        encoder, row = _encoder(tokenizer, end_id), TaskContext.get().partitionId() << 40
         for whole in batches:
             for batch in slices(whole, 1, SLICE_BYTES):
                 ids, at = encoder.serial(batch.column(1))
