@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import textwrap
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -33,8 +34,9 @@ class Health:
         return self.alternate is not None
 
 
-def _line(text: object, most: int = 160) -> str:
-    return " ".join(str(text).split()).replace("|", "/")[:most]
+def _cell(text: object) -> str:
+    """A text that fits a cell of the report's table: one line without the mark between columns."""
+    return textwrap.shorten(str(text).translate({ord("|"): "/"}), 150, placeholder=" ...")
 
 
 def probe(spec: dict, aoi: Aoi, probes: dict[str, Probe], tries: int = 1) -> Health:
@@ -47,17 +49,17 @@ def probe(spec: dict, aoi: Aoi, probes: dict[str, Probe], tries: int = 1) -> Hea
         try:
             columns, h.count = probes[spec["driver"]](spec, aoi)
         except TimeoutError as e:
-            h.status, h.detail = "dead", _line(e)
+            h.status, h.detail = "dead", _cell(e)
             if k + 1 < tries:
                 continue
         except Refused as e:
-            h.status, h.detail = ("auth" if e.status in (401, 403, 499) else "dead"), _line(e)
+            h.status, h.detail = ("auth" if e.status in (401, 403, 499) else "dead"), _cell(e)
         except Exception as e:  # noqa: BLE001
-            h.status, h.detail = "dead", _line(f"{type(e).__name__}: {e}")
+            h.status, h.detail = "dead", _cell(f"{type(e).__name__}: {e}")
         else:
             lost = missing_fields(columns, spec.get("fields") or {}) if columns is not None else []
             h.status = "warn" if lost or h.count == 0 else "ok"
-            h.detail = _line("; ".join([*(f"no column for {m}" for m in lost), *(["no rows"] if h.count == 0 else [])]))
+            h.detail = _cell("; ".join([*(f"no column for {m}" for m in lost), *(["no rows"] if h.count == 0 else [])]))
         break
     return h
 

@@ -9,6 +9,8 @@ from terrasift.functions.scalar import squash_name, tone_kind, tone_note
 
 #: Order of problems; any other kind comes after.
 SEVERITY = {"BROKEN": 0, "DUPLICATE": 1, "STALE": 2, "EMPTY": 3, "NO SOURCE": 4}
+#: Words of a hint on which names meet it.
+HEAD_WORDS = 4
 
 
 def field_fill(df: DataFrame, fields: str, source: str) -> DataFrame:
@@ -60,14 +62,17 @@ def legacy_of(files: DataFrame, families: DataFrame, least: int = 3) -> DataFram
 
 
 def widening(records: DataFrame, hints: DataFrame, group: str = "geoid", name: str = "name") -> DataFrame:
-    """For each hint, in how many groups some record's name has it as words. Names are cut into word runs and meet hints by equality."""
+    """For each hint, in how many groups some record's name has it as words, of whatever length: names meet hints on the hints' first words by equality, then the whole hint is looked for. Hints without a word are in none."""
     from terrasift.operators.rows import _grams
 
-    words = F.split(F.lower(F.col(name)), "[^a-z0-9']+")
-    longest = 4
-    runs = F.array_distinct(F.concat(*(_grams(words, n) for n in range(1, longest + 1))))
-    each = records.select(group, F.explode(runs).alias("hint")).distinct()
-    return hints.join(each, "hint", "left").groupBy("hint").agg(F.count_distinct(group).alias("groups"))
+    cut = lambda c: F.filter(F.split(F.lower(c), "[^a-z0-9']+"), lambda w: w != "")
+    runs = F.array_distinct(F.concat(*(_grams(F.col("words"), n) for n in range(1, HEAD_WORDS + 1))))
+    each = records.select(group, cut(F.col(name)).alias("words")).distinct()
+    each = each.select(group, F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")).alias("whole"), F.explode(runs).alias("head"))
+    asked = hints.select("hint").distinct().withColumn("own", F.array_join(cut(F.col("hint")), " "))
+    asked = asked.withColumn("head", F.substring_index("own", " ", HEAD_WORDS))
+    found = asked.where("own <> ''").join(each, "head").where(F.contains("whole", F.concat(F.lit(" "), F.col("own"), F.lit(" "))))
+    return hints.select("hint").distinct().join(found.groupBy("hint").agg(F.count_distinct(group).alias("groups")), "hint", "left").select("hint", F.coalesce("groups", F.lit(0)).alias("groups"))
 
 
 def two_way_missing(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

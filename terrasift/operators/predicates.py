@@ -8,7 +8,6 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from terrasift.functions.scalar import parse_number
 
 _COND = re.compile(r"^\s*([A-Za-z_][A-Za-z0-9_:]*)\s*(>=|<=|==|!=|=|>|<|~)\s*(.+?)\s*$")
 _COMPARE = {">=": "__ge__", "<=": "__le__", ">": "__gt__", "<": "__lt__", "==": "__eq__", "=": "__eq__", "!=": "__ne__"}
@@ -36,6 +35,22 @@ def condition(text: str, field: Callable[[str], Column | None]) -> Column:
     return out
 
 
+#: What units of tags multiply a number by. ``m`` is a metre, so lengths come out in metres; powers and voltages in W and V.
+TAG_UNITS = {"k": 1e3, "kv": 1e3, "kw": 1e3, "mv": 1e6, "mw": 1e6, "mwh": 1e6, "g": 1e9, "gw": 1e9, "m": 1.0, "ft": 0.3048}
+
+
+def tag_number(tag: Column) -> Column:
+    """the largest of a tag's numbers (``115000;34500``, ``345 kV``, ``100 ft``), each in its unit; parts stand between ; , or /. Unknown units count as none; null without a number."""
+    units = F.create_map(*(F.lit(x) for kv in TAG_UNITS.items() for x in kv))
+
+    def part(p: Column) -> Column:
+        number = F.regexp_extract(p, r"^\s*(-?[0-9]+(?:\.[0-9]+)?)", 1)
+        unit = F.regexp_extract(p, r"^\s*-?[0-9]+(?:\.[0-9]+)?\s*([a-z]*)", 1)
+        return F.nullif(number, F.lit("")).try_cast("double") * F.coalesce(F.try_element_at(units, unit), F.lit(1.0))
+
+    return F.array_max(F.transform(F.split(F.lower(tag), "[;,/]"), part))
+
+
 def selector(text: str, tags: Column) -> Column:
     """``power=line;voltage>=100000;name;access!=private;ref~^A``, all clauses hold. A missing tag fails, but passes ``!=``."""
     out = F.lit(True)
@@ -51,7 +66,7 @@ def selector(text: str, tags: Column) -> Column:
         elif m[2] == "~":
             ok = tag.rlike(m[3])
         else:
-            ok = getattr(parse_number(tag, "W"), _COMPARE[m[2]])(float(m[3]))
+            ok = getattr(tag_number(tag), _COMPARE[m[2]])(float(m[3]))
         out = out & F.coalesce(ok, F.lit(False))
     return out
 

@@ -50,10 +50,10 @@ def placed(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("place", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
 
 
-def counts_with_zeros(df: DataFrame, classes: DataFrame, key: str) -> DataFrame:
-    """How many rows each class has; classes without rows have 0, as they were asked for."""
-    n = df.groupBy(key).agg(F.count("*").alias("n"))
-    return classes.join(n, key, "left").select(*classes.columns, F.coalesce("n", F.lit(0)).alias("n"))
+def counts_with_zeros(df: DataFrame, classes: DataFrame, key: str, *more: Column) -> DataFrame:
+    """How many rows each class has, and further aggregates; classes without rows have 0, as they were asked for, and no other value."""
+    n = df.groupBy(key).agg(F.count("*").alias("n"), *more)
+    return classes.join(n, key, "left").select(*classes.columns, F.coalesce("n", F.lit(0)).alias("n"), *n.columns[2:])
 
 
 def bucketize(df: DataFrame, candidates: list[str], most: int = 80, blank: str = "(blank)") -> tuple[str | None, DataFrame]:

@@ -69,6 +69,22 @@ def selector_match(spark, sf_dir):
     return e.where(P.any_selector(["type=view;k>=50", "type~^(sign|err);k!=3"], tags)).select("event_id")
 
 
+@query(
+    "selector_units",
+    """WITH p AS (SELECT *, CASE p_partkey % 5 WHEN 0 THEN p_size || ' ft' WHEN 1 THEN p_size || 'k;7 V' WHEN 2 THEN '0.0' || p_size || ' GW,3/1 MW' WHEN 3 THEN p_size || ' m' ELSE p_name END AS tag FROM part),
+    e AS (SELECT p_partkey, lower(unnest(string_split_regex(tag, '[;,/]'))) AS part FROM p),
+    n AS (SELECT p_partkey, try_cast(nullif(regexp_extract(part, '^ *(-?[0-9.]+)', 1), '') AS DOUBLE) AS v, regexp_extract(part, '^ *-?[0-9.]+ *([a-z]*)', 1) AS unit FROM e),
+    m AS (SELECT p_partkey, max(v * coalesce(map(['k', 'kv', 'kw', 'mv', 'mw', 'mwh', 'g', 'gw', 'm', 'ft'], [1e3::DOUBLE, 1e3, 1e3, 1e6, 1e6, 1e6, 1e9, 1e9, 1, 0.3048])[unit], 1)) AS v FROM n GROUP BY 1)
+    SELECT p_partkey, coalesce(v >= 9.144, false) AS tall, coalesce(v < 20000, false) AS small, coalesce(v > 30000000, false) AS huge FROM m""",
+)
+def selector_units(spark, sf_dir):
+    """tags whose numbers have units, several parts, or none."""
+    k, size = F.col("p_partkey") % 5, F.col("p_size").cast("string")
+    tag = F.when(k == 0, F.concat(size, F.lit(" ft"))).when(k == 1, F.concat(size, F.lit("k;7 V"))).when(k == 2, F.concat(F.lit("0.0"), size, F.lit(" GW,3/1 MW"))).when(k == 3, F.concat(size, F.lit(" m"))).otherwise(F.col("p_name"))
+    tags = F.create_map(F.lit("h"), tag)
+    return table(spark, sf_dir, "part").select("p_partkey", P.selector("h>=9.144", tags).alias("tall"), P.selector("h<20000", tags).alias("small"), P.selector("h>30000000", tags).alias("huge"))
+
+
 @query("first_match_classify", "SELECT p_partkey, CASE WHEN p_size >= 40 THEN 'large' WHEN p_type LIKE '%STEEL%' THEN 'steel' WHEN p_brand LIKE 'Brand#1%' THEN 'one' END AS class FROM part WHERE p_size >= 40 OR p_type LIKE '%STEEL%' OR p_brand LIKE 'Brand#1%'")
 def first_match_classify(spark, sf_dir):
     p = table(spark, sf_dir, "part")

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrasift.functions.geometry import in_box
+from terrasift.operators.rows import counts_with_zeros, first_by_key
 from terrasift.plans.registry import query, table
 
 AOI = (-96.0, 43.5, -90.0, 48.5)
@@ -33,9 +35,6 @@ def segment_reconcile_lite(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("-97.0D + ((c_custkey * 7919) % 80000) / 10000.0D").alias("lon"),
         F.expr("43.0D + ((c_custkey * 6271) % 60000) / 10000.0D").alias("lat"),
     )
-    x0, y0, x1, y1 = AOI
-    clipped = f.where(F.col("lon").between(x0, x1) & F.col("lat").between(y0, y1))
-    kept = clipped.groupBy("source_id").agg(F.min_by(F.struct("ord", "segment"), "ord").alias("r")).select("r.*")
-    counts = kept.groupBy("segment").agg(F.count("ord").alias("n_features"), F.sum("ord").alias("sum_keys"))
-    classes = c.select(F.col("c_mktsegment").alias("segment")).distinct()
-    return classes.join(counts, "segment", "left").select("segment", F.coalesce("n_features", F.lit(0)).alias("n_features"), "sum_keys")
+    kept = first_by_key(f.where(in_box(F.col("lon"), F.col("lat"), AOI)), [F.col("source_id")], [F.col("ord")])
+    counts = counts_with_zeros(kept, c.select(F.col("c_mktsegment").alias("segment")).distinct(), "segment", F.sum("ord").alias("sum_keys"))
+    return counts.withColumnRenamed("n", "n_features")

@@ -175,11 +175,19 @@ def pack_issues(spark, sf_dir):
     return I.pack_problems(packs, none).select("path", "kind", "detail")
 
 
-@query("widening_hints", "WITH h AS (SELECT split_part(p_name, ' ', 2) AS hint FROM part UNION SELECT p_name FROM part UNION SELECT 'nowhere') SELECT hint, count(DISTINCT p_size) AS groups FROM h LEFT JOIN part ON ' ' || p_name || ' ' LIKE '% ' || hint || ' %' GROUP BY hint")
+@query(
+    "widening_hints",
+    """WITH r AS (SELECT p_size, p_name || ' of ' || p_brand || ' the ' || p_type AS name FROM part), w AS (SELECT p_size, ' ' || trim(regexp_replace(lower(name), '[^a-z0-9'']+', ' ', 'g')) || ' ' AS words FROM r),
+    h AS (SELECT split_part(p_name, ' ', 2) AS hint FROM part UNION SELECT p_name FROM part UNION SELECT p_name || ' OF  ' || p_brand || ' the' FROM part WHERE p_partkey % 3 = 0
+          UNION SELECT 'the ' || p_type FROM part UNION SELECT p_name || ' of ' || p_brand || ' the nothing' FROM part WHERE p_partkey % 5 = 0 UNION SELECT 'nowhere')
+    SELECT hint, count(DISTINCT p_size) AS groups FROM h LEFT JOIN w ON contains(words, ' ' || trim(regexp_replace(lower(hint), '[^a-z0-9'']+', ' ', 'g')) || ' ') GROUP BY hint""",
+)
 def widening_hints(spark, sf_dir):
+    """A12, with hints of one to ten words."""
     p = table(spark, sf_dir, "part")
-    hints = p.selectExpr("split_part(p_name, ' ', 2) AS hint").union(p.select("p_name")).union(p.limit(1).select(F.lit("nowhere"))).distinct()
-    return I.widening(p, hints, group="p_size", name="p_name")
+    hints = p.selectExpr("split_part(p_name, ' ', 2) AS hint").union(p.select("p_name")).union(p.where("p_partkey % 3 = 0").selectExpr("p_name || ' OF  ' || p_brand || ' the'"))
+    hints = hints.union(p.selectExpr("'the ' || p_type")).union(p.where("p_partkey % 5 = 0").selectExpr("p_name || ' of ' || p_brand || ' the nothing'")).union(p.limit(1).select(F.lit("nowhere"))).distinct()
+    return I.widening(p.selectExpr("p_size", "p_name || ' of ' || p_brand || ' the ' || p_type AS name"), hints, group="p_size", name="name")
 
 
 @query("county_names", "SELECT c_custkey FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_custkey % 2 = 0 OR n_name IS NULL")

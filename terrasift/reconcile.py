@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,15 +20,20 @@ def line_layers(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.coalesce(F.avg(F.col("geom_type").contains("Line").cast("int")) > 0.5, F.lit(False)).alias("is_line"))
 
 
-def is_line_layer(df: DataFrame) -> bool:
-    """A04 for one layer."""
-    found = line_layers(df.withColumn("_all", F.lit(1)), "_all").first()
-    return found is not None and found.is_line
+def layer_pairs(specs: list[dict], lines: frozenset[str] | set[str] = frozenset()) -> list[tuple[dict, dict]]:
+    """Pairs of layers of one entity, in order, unless the first one's spec says no. Layers of lines (``lines`` has their names) are left out: a line has no one place to match by."""
+    of = [s for s in specs if s.get("entity") and s.get("layer") not in lines]
+    return [(a, b) for i, a in enumerate(of) for b in of[i + 1 :] if a["entity"] == b["entity"] and a.get("reconcile", True)]
 
 
-def layer_pairs(specs: list[dict]) -> list[tuple[dict, dict]]:
-    """Pairs of layers of one entity, in order, unless the first one's spec says no."""
-    return [(a, b) for i, a in enumerate(specs) for b in specs[i + 1 :] if a.get("entity") and a.get("entity") == b.get("entity") and a.get("reconcile", True)]
+def cross_match(specs: list[dict], layers: dict[str, DataFrame], radius: float = 800.0, percent: float = 5.0) -> list[tuple[dict, dict, DataFrame]]:
+    """What reconcile finds for every pair of layers; which are layers of lines is told by one pass over all of them."""
+    wanted = [s for s in specs if s.get("entity") and s["layer"] in layers]
+    if not wanted:
+        return []
+    kinds = [layers[s["layer"]].select(F.lit(s["layer"]).alias("layer"), "geom_type") for s in wanted]
+    lines = {r.layer for r in line_layers(reduce(DataFrame.unionByName, kinds), "layer").where("is_line").collect()}
+    return [(a, b, reconcile(layers[a["layer"]], layers[b["layer"]], radius, percent)) for a, b in layer_pairs(wanted, lines)]
 
 
 def reconcile(a: DataFrame, b: DataFrame, radius: float = 800.0, percent: float = 5.0) -> DataFrame:

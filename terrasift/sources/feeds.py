@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import io
 import math
 import re
-import zipfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -87,10 +85,15 @@ def tiger_rows(rows: DataFrame, product: str, aoi: Aoi, state_codes: dict[str, s
     return rows
 
 
+def file_order() -> Column:
+    """A row's place among the files that are read: by file, then by the part of the file, then within it. Tasks read files in any order, so a number of the row alone would not tell."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+
+
 def _positions(spark: SparkSession, path: str, at: dict[str, int]) -> DataFrame:
     """Columns of a table without header by their place; ord is the line's place, by file and offset."""
     lines = spark.read.option("encoding", "ISO-8859-1").option("sep", "\u0001").option("quote", "").schema("value string").csv(path)
-    parts = lines.withColumn("ord", F.monotonically_increasing_id()).withColumn("p", F.split("value", r"\|"))
+    parts = lines.withColumn("ord", file_order()).withColumn("p", F.split("value", r"\|"))
     return parts.where(F.size("p") > max(v for k, v in at.items() if k in ("usi", "state", "lon_h", "owner"))).select("ord", *(F.trim(F.coalesce(F.get("p", F.lit(k)), F.lit(""))).alias(c) for c, k in at.items()))
 
 
@@ -162,9 +165,9 @@ def keyed_table(spark: SparkSession, shipped: str, local: str | None = None, key
     """A table with ``#`` comments; rows of the local file replace the shipped ones of the same key."""
 
     def read(path: str) -> DataFrame:
-        rows = spark.read.option("header", True).option("comment", "#").option("escape", '"').csv(path)
-        rows = rows.select(*(F.trim(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c) for c in rows.columns)).where(F.col(key) != "")
-        return rows.withColumn("_o", F.monotonically_increasing_id()).groupBy(key).agg(*(F.max_by(c, "_o").alias(c) for c in rows.columns if c != key))
+        raw = spark.read.option("header", True).option("comment", "#").option("escape", '"').csv(path)
+        rows = raw.select(*(F.trim(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c) for c in raw.columns), file_order().alias("_o")).where(F.col(key) != "")
+        return rows.groupBy(key).agg(*(F.max_by(c, "_o").alias(c) for c in raw.columns if c != key))
 
     return upsert(read(local), read(shipped), [key]) if local else read(shipped)
 
@@ -181,29 +184,24 @@ def pack_files(spark: SparkSession, folder: str, part: str = "") -> DataFrame:
     return rows.where(F.contains(F.lower("name"), F.lit(part.lower()))).dropDuplicates(["path"])
 
 
-def _document(path: str, data: bytes) -> tuple[str | None, str | None]:
-    if path.lower().endswith(".kml"):
-        return data.decode("utf-8", "replace"), None
-    try:
-        with zipfile.ZipFile(io.BytesIO(data)) as z:
-            inner = sorted((n for n in z.namelist() if n.lower().endswith(".kml")), key=lambda n: not n.lower().endswith("doc.kml"))
-            return (z.read(inner[0]).decode("utf-8", "replace"), None) if inner else (None, "no .kml in it")
-    except (zipfile.BadZipFile, OSError, KeyError, RuntimeError) as e:
-        return None, f"unreadable: {e}"
-
-
 def pack_contents(spark: SparkSession, folder: str) -> DataFrame:
-    """What each pack holds: path, size, mtime, n_placemarks, names (folded, distinct), folders (the first eight), provenance (words that tell), error. A bad file is a row with an error."""
+    """What each pack holds: path, size, mtime, n_placemarks, names (folded, distinct), folders (the first eight), provenance (words that tell), error. A bad file is a row with an error.
+
+    Packs are walked as kml_rows walks them, a file a row; a pack's folders and words are few.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            found = [_document(p, bytes(c)) for p, c in zip(f["path"], f["content"], strict=True)]
-            yield pd.DataFrame({"path": f["path"], "size": f["length"], "mtime": f["modificationTime"], "text": [t for t, _ in found], "error": [e for _, e in found]})
+            out = []
+            for path, content in zip(f["path"], f["content"], strict=True):
+                rows = list(files.kml_rows(path, bytes(content)))
+                error = next((r["error"] for r in rows if "error" in r), None)
+                marks = [] if error else rows
+                text = "" if error else files.kml_text(bytes(content)).decode("utf-8", "replace").lower()
+                out.append((len(marks), [r["name"] for r in marks if r["name"]], list(dict.fromkeys(r["folder"] for r in marks if r["folder"]))[:8], [w for w in PROVENANCE if w in text], error))
+            yield pd.DataFrame(out, columns=["n_placemarks", "raw", "folders", "provenance", "error"], dtype=object).assign(path=f["path"], size=f["length"], mtime=f["modificationTime"])[["path", "size", "mtime", "n_placemarks", "raw", "folders", "provenance", "error"]]
 
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[kK][mM][lzLZ]").load(folder)
-    docs = raw.select("path", "length", "modificationTime", "content").mapInPandas(run, "path string, size long, mtime timestamp, text string, error string")
-    name = r"(?s)<Placemark\b[^>]*>(?:(?!</Placemark>).)*?<name>\s*(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?\s*</name>"
-    names = F.array_distinct(F.filter(F.transform(F.regexp_extract_all("text", F.lit(name), F.lit(1)), fold_name), lambda n: n != ""))
-    folders = F.slice(F.regexp_extract_all("text", F.lit(r"<Folder>\s*<name>([^<]{1,60})</name>"), F.lit(1)), 1, 8)
-    hints = F.filter(F.array(*(F.when(F.contains(F.lower("text"), F.lit(w)), w) for w in PROVENANCE)), lambda w: w.isNotNull())
-    return docs.select("path", "size", "mtime", F.regexp_count("text", F.lit("<Placemark")).alias("n_placemarks"), names.alias("names"), folders.alias("folders"), hints.alias("provenance"), "error")
+    found = raw.select("path", "length", "modificationTime", "content").mapInPandas(run, "path string, size long, mtime timestamp, n_placemarks int, raw array<string>, folders array<string>, provenance array<string>, error string")
+    names = F.array_distinct(F.filter(F.transform("raw", fold_name), lambda n: n != ""))
+    return found.select("path", "size", "mtime", "n_placemarks", names.alias("names"), "folders", "provenance", "error")

@@ -321,16 +321,23 @@ def esri_geometry(g: dict | None) -> tuple[str | None, object]:
     return rings_to_polygons(g.get("rings") or [])
 
 
+def kml_text(data: bytes) -> bytes:
+    """The document of a KML file, or of an archive: its doc.kml, else its first one."""
+    if data[:2] != b"PK":
+        return data
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        found = sorted((n for n in z.namelist() if n.lower().endswith(".kml")), key=lambda n: (n.lower().rpartition("/")[2] != "doc.kml", n.count("/"), n))
+        if not found:
+            raise LookupError("no document in the archive")
+        return z.read(found[0])
+
+
 def kml_rows(path: str, data: bytes) -> Iterator[dict]:
     """Placemarks with name, first coordinates, all data fields and folder; a bad file is one row with its error."""
     try:
-        if data[:2] == b"PK":
-            with zipfile.ZipFile(io.BytesIO(data)) as z:
-                names = z.namelist()
-                data = z.read("doc.kml" if "doc.kml" in names else next(n for n in names if n.lower().endswith(".kml")))
-        root = ET.fromstring(data)
-    except (ET.ParseError, zipfile.BadZipFile, StopIteration, KeyError) as e:
-        yield {"path": path, "ord": 0, "error": str(e)}
+        root = ET.fromstring(kml_text(data))
+    except (ET.ParseError, zipfile.BadZipFile, LookupError, OSError, RuntimeError) as e:
+        yield {"path": path, "ord": 0, "error": str(e) or type(e).__name__}
         return
     local = lambda e: e.tag.rpartition("}")[2]
     text = lambda e, tag: next(((x.text or "").strip() for x in e if local(x) == tag), None)

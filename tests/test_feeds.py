@@ -40,7 +40,7 @@ def client(answers, clock, **more):
 def test_client_retries_and_cache(tmp_path):
     clock = Clock()
     c, calls = client([Answer(503), Answer(429, headers={"retry-after": "7"}), OSError("down"), Answer(200, b"data")], clock, cache=str(tmp_path))
-    assert c.get("http://h/a") == b"data" and clock.slept == [3.0, 7.0, 4.5] and len(calls) == 4
+    assert c.get("http://h/a") == b"data" and clock.slept == [2.0, 7.0, 8.0] and len(calls) == 4
     assert c.get("http://h/a") == b"data" and len(calls) == 4
     c, calls = client([Answer(404)], clock)
     with pytest.raises(Refused):
@@ -56,6 +56,11 @@ def test_client_retries_and_cache(tmp_path):
     c, _ = client([Answer(503)] * 9, clock)
     with pytest.raises(OutOfTime):
         c.get("http://h/z", budget=Budget(4, clock))
+    late = TimeoutError("late")
+    c, calls = client([late] * 9, clock)
+    with pytest.raises(TimeoutError) as e:
+        c.get("http://h/late")
+    assert e.value is late and len(calls) == 4
 
 
 def test_months():

@@ -150,13 +150,13 @@ def test_catalog_lint_of_drivers_fields_and_alternates():
     assert found == [
         "a: arcgis without url",
         "a: arcgis without layer_id or layer_match",
-        "a: no source_name",
-        "o: overpass without tags",
-        "o: elements 'blob'",
-        "o: kind of area 'planet'",
-        "f: height_ft in 'furlong', which has no conversion",
-        "f: owner comes from nothing",
+        "a: arcgis without source_name",
+        "o: overpass without tags or tag",
+        "o: elements: 'blob' is unknown",
+        "o: aoi_kinds: 'planet' is unknown",
         "f: nonsense is no canonical field",
+        "f: owner comes from nothing",
+        "f: height_ft in 'furlong', which has no conversion",
         "f: style rule without when",
         "f: style rule on beds, which is never mapped",
         "f: alternate without url",
