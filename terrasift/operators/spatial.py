@@ -10,23 +10,16 @@ from pyspark.sql import functions as F
 
 from terrasift.functions.geometry import local_distance, segments_intersect
 from terrasift.operators import packs
+from terrasift.operators.cover import WORLD, cover, points_in_cover
 
 
-def points_in_polygons(points: DataFrame, edge: DataFrame, band: float, key: str = "id", order: str = "poly_ord") -> DataFrame:
+def points_in_polygons(points: DataFrame, edge: DataFrame, key: str = "id", order: str = "poly_ord", box: tuple[float, float, float, float] = WORLD) -> DataFrame:
     """Key, poly_id of the first polygon (by ``order``) that a point lies in; others have no row.
 
-    edge: poly_id, order, ring_id, hole, xi, yi, xj, yj. Each edge that is not level is dealt to the bands of latitude that it meets;
-    a point has one band, so that it meets an edge once at most. Crossings of a ring to the right of the point are counted;
-    odd is inside. Inside a polygon: in its outer ring and in none of its holes.
+    edge: poly_id, order, ring_id, hole, xi, yi, xj, yj, closed rings. Odd crossings of a ring to the right of the point are inside it; inside a polygon: in its
+    outer ring and in none of its holes. Points meet the rings' covers, so a point tests a few edges whatever the polygons' number and size.
     """
-    low, high = F.floor(F.least("yi", "yj") / band), F.floor(F.greatest("yi", "yj") / band)
-    banded = edge.where("yi <> yj").withColumn("band", F.explode(F.sequence(low, high)))
-    p = points.select(F.col(key).alias("_id"), F.col("lon").alias("_x"), F.col("lat").alias("_y"), F.floor(F.col("lat") / band).alias("band"))
-    over = (F.col("yi") > F.col("_y")) != (F.col("yj") > F.col("_y"))
-    right = F.col("_x") < (F.col("xj") - F.col("xi")) * (F.col("_y") - F.col("yi")) / (F.col("yj") - F.col("yi")) + F.col("xi")
-    rings = p.join(banded, "band").where(over & right).groupBy("_id", "poly_id", order, "ring_id", "hole").agg(F.count("*").alias("n"))
-    inside = rings.where("n % 2 = 1").groupBy("_id", "poly_id", order).agg(F.bool_or(~F.col("hole")).alias("outer"), F.bool_or("hole").alias("holed")).where("outer AND NOT holed")
-    return inside.groupBy("_id").agg(F.min_by("poly_id", order).alias("poly_id")).withColumnRenamed("_id", key)
+    return points_in_cover(points, cover(edge, order, box), key, order, box)
 
 
 def crossing_segments(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
@@ -41,7 +34,7 @@ def crossing_segments(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
     return dealt(a, "a").join(dealt(b, "b"), ["cx", "cy"]).where(segments_intersect(ends("a"), ends("b"))).select("a_id", "b_id").distinct()
 
 
-def clip_shapes(features: DataFrame, rings: list[tuple[bool, list[tuple[float, float]]]], band: float, cell: float) -> DataFrame:
+def clip_shapes(features: DataFrame, rings: list[tuple[bool, list[tuple[float, float]]]], cell: float) -> DataFrame:
     """the features (id, geom_type, coordinates as JSON) that touch an area, whole. rings: whether it is a hole, and its places; an area is one small object.
 
     A feature touches if its box meets the area's and one of its places lies in the area, or an edge of its crosses one of the area's, or the
@@ -58,7 +51,7 @@ def clip_shapes(features: DataFrame, rings: list[tuple[bool, list[tuple[float, f
     (west, east), (south, north) = span(0), span(1)
     shapes = shapes.where((west <= max(xs)) & (east >= min(xs)) & (south <= max(ys)) & (north >= min(ys)))
     points = shapes.select("id", F.explode("p").alias("q")).select("id", at(F.col("q"), 0).alias("lon"), at(F.col("q"), 1).alias("lat")).distinct()
-    inside = points_in_polygons(points.select(F.struct("id", "lon", "lat").alias("id"), "lon", "lat"), edge, band).select("id.id")
+    inside = points_in_polygons(points.select(F.struct("id", "lon", "lat").alias("id"), "lon", "lat"), edge).select("id.id")
     own = shapes.select("id", F.explode(packs.segments(kind, where)).alias("s")).select("id", *(at(at(F.col("s"), i), j).alias(f"{c}{i + 1}") for i in (0, 1) for j, c in enumerate("xy")))
     crossed = crossing_segments(own, edge.selectExpr("ring_id AS id", "xi AS x1", "yi AS y1", "xj AS x2", "yj AS y2"), cell).select(F.col("a_id").alias("id"))
     x, y = (F.lit(float(v)) for v in next(ring[0] for hole, ring in rings if not hole))

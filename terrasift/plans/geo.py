@@ -87,7 +87,7 @@ def _sql_edges() -> str:
     SELECT id, CAST(min(poly_id) AS BIGINT) AS poly_id FROM i GROUP BY id""",
 )
 def pip_region_assign(spark, sf_dir):
-    return S.points_in_polygons(places(spark, sf_dir, "customer", "c_custkey"), nation_edges(spark, sf_dir), band=0.25)
+    return S.points_in_polygons(places(spark, sf_dir, "customer", "c_custkey"), nation_edges(spark, sf_dir))
 
 
 def _segments(spark, sf_dir, name, key, dx, dy):
@@ -151,7 +151,7 @@ def clip_ring(keys: DataFrame, vertices: int) -> DataFrame:
     """the points of keys k that lie in a ring of so many vertices."""
     p = keys.select(F.col("k").alias("id"), F.expr(LON.format(k="k")).alias("lon"), F.expr(LAT.format(k="k")).alias("lat"))
     box = G.in_box(F.col("lon"), F.col("lat"), (-96.0, 43.6, -90.0, 48.4))
-    return S.points_in_polygons(p.where(box), ring_edges(keys.sparkSession, vertices), band=0.01)
+    return S.points_in_polygons(p.where(box), ring_edges(keys.sparkSession, vertices))
 
 
 @query(

@@ -1,10 +1,17 @@
 """Queries over packs' and counties' records (inventory and label operators)."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from terrasift.functions import labels as L
 from terrasift.operators import inventory as I
+from terrasift.operators.lineage import shared_dir
+from terrasift.plans.geo import SQL_LAT, SQL_LON, places
 from terrasift.plans.registry import query, table
+from terrasift.sinks import packs as W
+from terrasift.sinks.archives import write_archives
+from terrasift.sources import files
 
 
 @query("geoid_codes", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN lpad(CAST(c_nationkey AS VARCHAR), 5, '2') WHEN c_custkey % 3 = 1 THEN lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || lpad(CAST(c_custkey % 500 AS VARCHAR), 3, '0') END AS geoid FROM customer")
@@ -64,3 +71,21 @@ def legacy_prefix(spark, sf_dir):
     """Files that were named before editions were, of all customers' names and those of the even ones with a number behind."""
     c = table(spark, sf_dir, "customer")
     return I.legacy_of(c.where("c_custkey % 2 = 0").select(F.concat("c_name", F.lit("_"), "c_nationkey").alias("name")), c.select(F.col("c_name").alias("family")), 9)
+
+
+@query(
+    "map_packs",
+    f"""WITH p AS (SELECT c_custkey, c_mktsegment AS doc, n_name, n_nationkey, c_name, {SQL_LON.format(k="c_custkey")} AS lon, {SQL_LAT.format(k="c_custkey")} AS lat FROM customer JOIN nation ON n_nationkey = c_nationkey)
+    SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY n_nationkey, c_custkey) - 1 AS ord, n_name || ' (' || count(*) OVER (PARTITION BY doc, n_nationkey) || ')' AS folder, c_name || ' & co' AS name,
+           CAST(round(lon * 10000) AS BIGINT) AS lon4, CAST(round(lat * 10000) AS BIGINT) AS lat4, n_name AS nation FROM p""",
+)
+def map_packs(spark, sf_dir):
+    """An archive for each market segment, with a folder for each nation, written by many tasks and read back."""
+    rows = places(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    shaped = rows.withColumn("geom_type", F.lit("Point")).withColumn("coordinates", F.to_json(F.array("lon", "lat")))
+    fields = F.array(F.struct(F.lit("nation").alias("label"), F.col("n_name").alias("value")))
+    marks = W.placemarks(shaped, F.concat("c_name", F.lit(" & co")), fields, F.lit("s"))
+    path = f"{shared_dir(spark)}/terrasift/map-packs-{uuid.uuid4().hex}"
+    write_archives(marks.select(F.col("c_mktsegment").alias("doc"), F.col("n_name").alias("bucket"), F.col("n_nationkey").alias("place"), F.col("id").alias("ord"), "xml"), path)
+    back = files.kml(spark, path)
+    return back.select(F.regexp_extract("path", r"([^/]+)\.kmz$", 1).alias("doc"), "ord", "folder", "name", F.round(F.col("lon") * 10000).cast("long").alias("lon4"), F.round(F.col("lat") * 10000).cast("long").alias("lat4"), F.col("fields")["nation"].alias("nation"))

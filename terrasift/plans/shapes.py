@@ -38,7 +38,7 @@ def clip_shapes(spark, sf_dir):
         "CASE id % 3 WHEN 0 THEN 'Point' WHEN 1 THEN 'LineString' ELSE 'Polygon' END AS geom_type",
         "CASE id % 3 WHEN 0 THEN to_json(array(x, y)) WHEN 1 THEN to_json(array(array(x, y), array(x + 1, y + 0.5D))) ELSE to_json(array(array(array(x, y), array(x + s, y), array(x + s, y + s), array(x, y + s), array(x, y)))) END AS coordinates",
     )
-    return S.clip_shapes(made, AREA, band=0.5, cell=1.0).select("id", "geom_type")
+    return S.clip_shapes(made, AREA, cell=1.0).select("id", "geom_type")
 
 
 @query(

@@ -1,15 +1,15 @@
-"""Map packs, GeoJSON and manifests. Texts of rows and folders are made in the JVM and gathered by folder; only finished documents are zipped."""
+"""Map packs, GeoJSON and manifests. Texts of rows are made in the JVM; ``archives`` writes them without gathering them. folders, documents and write_kmz are for documents of a few thousand rows."""
 
 from __future__ import annotations
 
 import io
 import json
-import zipfile
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrasift.functions.scalar import xml_escape
+from terrasift.sinks.archives import archive, plain_member
 
 COORD = "array<array<double>>"
 
@@ -72,9 +72,7 @@ def documents(parts: DataFrame, doc: str = "doc", hidden: Column | None = None)
 def kmz(kml: str, members: dict[str, bytes] | None = None) -> bytes:
     """Doc.kml and its icons in one archive, the same bytes for the same content."""
     out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        for name, data in [("doc.kml", kml.encode()), *sorted((members or {}).items())]:
-            z.writestr(zipfile.ZipInfo(name, (2000, 1, 1, 0, 0, 0)), data, zipfile.ZIP_DEFLATED)
+    archive(out, [plain_member(name, data) for name, data in [("doc.kml", kml.encode()), *sorted((members or {}).items())]])
     return out.getvalue()
 
 

@@ -54,7 +54,7 @@ def test_polygons_against_loop(spark):
     df = spark.createDataFrame([(p, r, [{"x": x, "y": y} for x, y in pts]) for p, r, _, pts in rings], "poly_id int, ring_id int, points array<struct<x:double,y:double>>")
     edge = G.edges(df).withColumn("hole", F.col("ring_id") == 1).withColumn("poly_ord", F.col("poly_id"))
     pts = [(i, rng.uniform(-2, 4), rng.uniform(-2, 2)) for i in range(400)]
-    got = {r.id: r.poly_id for r in S.points_in_polygons(spark.createDataFrame(pts, "id int, lon double, lat double"), edge, 0.3).collect()}
+    got = {r.id: r.poly_id for r in S.points_in_polygons(spark.createDataFrame(pts, "id int, lon double, lat double"), edge).collect()}
     want = {}
     for i, x, y in pts:
         for p in range(3):

@@ -130,8 +130,8 @@ def test_clip_shapes(spark):
         (11, "MultiLineString", "[]"),
     ]
     df = spark.createDataFrame([(*r, "x") for r in rows], "id long, geom_type string, coordinates string, lon string")
-    assert sorted(r.id for r in clip_shapes(df, area, 1.0, 1.0).collect()) == [1, 3, 6, 6, 7]
-    assert clip_shapes(df.limit(0), area, 1.0, 1.0).collect() == []
+    assert sorted(r.id for r in clip_shapes(df, area, 1.0).collect()) == [1, 3, 6, 6, 7]
+    assert clip_shapes(df.limit(0), area, 1.0).collect() == []
 
 
 def test_catalog_lint_of_drivers_fields_and_alternates():
