@@ -11,11 +11,13 @@ the window, not by the text.
   is the only segmentation whose neighbours are all valid, so each place has one backpointer, and ids are the library's.
 
 Where no piece has a space after another character (checked when the model is read), a space after another
-character is always such a meeting point. Units between them recur, so each worker keeps a bounded table of their ids.
+character is always such a meeting point, and so are both sides of a newline if no longer piece has one. The stretches between them recur, so a worker keeps a bounded
+table of their ids: at a committed boundary an encoder looks the next stretch up, and goes on behind it if it is known. A stretch that is not, or that has
+no end in sight, goes through the window.
 
 Spaces become U+2581 and one is put in front; characters without a piece become their UTF-8 bytes' pieces, or the unknown id.
 Decoding streams too: pieces are joined, the first space is dropped, and bytes that are no UTF-8 become U+FFFD. A text that has U+2581
-itself comes back with a space for it. Models that normalise text or leave out the space in front are refused.
+itself comes back with a space for it. An id that the model does not have, or that is null, is decoded as the unknown one. Models that normalise text or leave out the space in front are refused.
 
 Null and empty texts have no ids. Rows stay as they come, repeated or with null ids. Columns other than id and text (or
 ids) are not read. An empty table gives an empty result.
@@ -42,7 +44,6 @@ from terrasift.llm.token_counts import slices
 #: Entries of a worker's tables of units and of pairs; longest unit kept; characters after which a meeting point is sought.
 MEMO, PAIRS, MEMO_CHARS, SEEK = 600_000, 1_000_000, 24, 256
 SPACE = "▁"
-_UNIT = re.compile(rf"(?<=[^ {SPACE}])(?=[ {SPACE}])")
 
 
 class Model:
@@ -65,6 +66,9 @@ class Model:
         self.lowest = min(s for _, s in self.pieces.values()) - 10
         self.lines = not any("\n" in p and len(p) > 1 for p in self.pieces)
         self.units = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.pieces)
+        line = "\n" if self.lines else ""
+        #: Stretches between places where all paths meet; None if a model has no such places that the text alone tells.
+        self.stretch = re.compile(f"[ {SPACE}]*[^ {SPACE}{line}]+|[ {SPACE}]+" + "|\n" * self.lines) if self.units else None
         self.texts = [bytes([int(p.piece[3:5], 16)]) if p.type == 6 else b"" if p.type == 3 else p.piece.replace(SPACE, " ").encode() for p in m.pieces]
         self.texts[self.unknown] = " ⁇ ".encode()
         self.scores = {p: score for p, (_, score) in self.pieces.items()}
@@ -107,22 +111,75 @@ class Model:
 
 
 class Encoder:
-    """One text: feed() it in parts of any size, each gives the ids that became final; finish() gives the rest.
+    """One text: feed() it in parts of any size, each gives the ids that became final; finish() gives the rest. The text begins with the space that the model puts in front.
 
-    token[i] is the last token of the best segmentation of what lies before place i, None if there is none (yet).
+    text is the window: what lies behind the last committed boundary and has been looked at. token[i] is the last token of the best segmentation of what lies before place i of it, None if there is
+    none (yet). tail is a stretch whose end has not been seen. commits counts boundaries, widest the window's characters.
     """
 
-    def __init__(self, model: Model):
-        self.m, self.text, self.token, self.best, self.place = model, "", [""], [0.0], 0
+    def __init__(self, model: Model, memo: dict[str, bytes] | None = None):
+        self.m, self.memo, self.tail = model, {} if memo is None else memo, ""
+        self.commits = self.widest = 0
+        self._open()
+
+    def _open(self) -> None:
+        """An empty window at a committed boundary."""
+        self.text, self.token, self.best, self.place = "", [""], [0.0], 0
 
     def feed(self, part: str) -> list[int]:
-        self.text += part
-        self._extend(len(self.text) - self.m.longest + 1)
-        return self._commit() if self.place > SEEK else []
+        return np.frombuffer(b"".join(self.feed_bytes(part)), np.int32).tolist()
 
     def finish(self) -> list[int]:
+        return np.frombuffer(b"".join(self.finish_bytes()), np.int32).tolist()
+
+    def feed_bytes(self, part: str) -> list[bytes]:
+        """As feed, ids as bytes of 32-bit integers."""
+        text = self.tail + part
+        *done, self.tail = (self.m.stretch.findall(text) if self.m.stretch else [text]) or [""]
+        known, end = self.memo.get, self._end
+        if done and self.text:  # the stretch in the window ends here
+            out = [end(done[0]), *(known(u) or end(u) for u in done[1:])]
+        else:
+            out = [known(u) or end(u) for u in done]
+        self.commits += len(done)
+        while len(self.tail) > SEEK:  # no end in sight
+            out.append(self._push(self.tail[:SEEK]))
+            self.tail = self.tail[SEEK:]
+        return out
+
+    def finish_bytes(self) -> list[bytes]:
+        last, self.tail = self.tail, ""
+        if not last and not self.text:
+            return []
+        self.commits += 1
+        return [(None if self.text else self.memo.get(last)) or self._end(last)]
+
+    def _push(self, part: str) -> bytes:
+        """Put part into the window, and give out what lies before the boundary where the paths meet."""
+        self.text += part.replace(" ", SPACE)
+        self.widest = max(self.widest, len(self.text))
+        self._extend(len(self.text) - self.m.longest + 1)
+        ids = self._commit() if self.place > 0 else []
+        self.commits += bool(ids)
+        return array("i", ids).tobytes()
+
+    def _end(self, part: str) -> bytes:
+        """Put the rest of a stretch into the window: all paths meet at its end."""
+        whole = not self.text
+        out = b""
+        for i in range(0, len(part) - SEEK, SEEK):
+            out += self._push(part[i : i + SEEK])
+        rest = part[max(0, -(-(len(part) - SEEK) // SEEK)) * SEEK :]
+        self.text += rest.replace(" ", SPACE)
+        self.widest = max(self.widest, len(self.text))
         self._extend(len(self.text))
-        return self._ids(len(self.text))
+        out += array("i", self._commit()).tobytes()
+        self._open()
+        if whole and len(part) <= MEMO_CHARS:
+            if len(self.memo) >= MEMO:
+                self.memo.clear()
+            self.memo[part] = out
+        return out
 
     def _extend(self, stop: int) -> None:
         """Go on from all places before stop: the tokens that begin at them have been seen whole."""
@@ -175,17 +232,6 @@ class Encoder:
         return [i for t in reversed(tokens) for i in self.m.ids(t)]
 
 
-def encode_unit(model: Model, text: str) -> list[int]:
-    """ids of a text that already has its marks for spaces."""
-    e, out = Encoder(model), []
-    if len(text) > SEEK:
-        for i in range(0, len(text), SEEK):
-            out += e.feed(text[i : i + SEEK])
-    else:
-        e.text = text
-    return out + e.finish()
-
-
 @lru_cache(maxsize=2)
 def load(path: str) -> Model:
     if "/" not in path:
@@ -196,42 +242,25 @@ def load(path: str) -> Model:
 
 
 class Codec:
-    """A model with a bounded table of its units' ids, as bytes of 32-bit integers."""
+    """A model with a bounded table of its stretches' ids, as bytes of 32-bit integers."""
 
     def __init__(self, path: str):
         self.model, self.memo = load(path), {}
 
-    def _unit(self, unit: str) -> bytes:
-        """unit: a word after a space, a line's first word after its newline, or (from a space on) text as it is."""
-        text = unit if unit[:1] in (" ", "\n", SPACE) else " " + unit
-        out = array("i", encode_unit(self.model, text.replace(" ", SPACE))).tobytes()
-        if len(unit) <= MEMO_CHARS:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            self.memo[unit] = out
-        return out
-
-    def _units(self, text: str) -> list[str]:
-        """Parts that no token joins. Without runs of spaces they are words: a newline is in no longer piece, so it ends a part as well."""
-        m = self.model
-        if not m.units:
-            return [" " + text]
-        if m.lines and SPACE not in text:
-            parts = text.replace("\n", " \n").split(" ")
-            if "" not in parts:
-                return parts
-        return _UNIT.split(" " + text)
-
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, np.int32)
-        get, make = self.memo.get, self._unit
-        return np.frombuffer(b"".join([get(u) or make(u) for u in self._units(text)]), np.int32)
+        e = Encoder(self.model, self.memo)
+        return np.frombuffer(b"".join([*e.feed_bytes(" " + text), *e.finish_bytes()]), np.int32)
 
-    def decode(self, ids: Iterable[int] | None) -> str:
-        out = b"".join(map(self.model.texts.__getitem__, ids if ids is not None else ()))
+    def _text(self, ids: Iterable[int]) -> str:
+        out = b"".join(map(self.model.texts.__getitem__, ids))
         return out[out[:1] == b" " :].decode(errors="replace")
 
+    def decode(self, ids: Iterable[int] | None) -> str:
+        n, unknown = len(self.model.texts), self.model.unknown
+        return self._text([i if i is not None and 0 <= i < n else unknown for i in (ids if ids is not None else ())])
+
 
 def encode(docs: DataFrame, model: str = "piece_bpe_32k.model", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, ids (array<int>), n_ids, n_chars and round_trip, whether decoding the ids gives the text."""
@@ -242,7 +271,7 @@ def encode(docs: DataFrame, model: str = "piece_bpe_32k.model", id_col: str = "d
             for batch in slices(whole, 1, 2 << 20):
                 texts = batch.column(1).to_pylist()
                 found = [codec.encode(t) for t in texts]
-                same = [codec.decode(x.tolist()) == (t or "") for x, t in zip(found, texts, strict=True)]
+                same = [codec._text(x.tolist()) == (t or "") for x, t in zip(found, texts, strict=True)]
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else np.empty(0, np.int32)))
                 counts = pa.array(np.diff(ends).astype(np.int64))

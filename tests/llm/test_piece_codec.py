@@ -7,8 +7,8 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from terrasift.llm import registry
-from terrasift.llm.piece_codec import SPACE, Codec, Encoder, Model, decode, encode, encode_unit
+from terrasift.llm import piece_codec, registry
+from terrasift.llm.piece_codec import SPACE, Codec, Encoder, Model, decode, encode
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 SP = sentencepiece.SentencePieceProcessor(model_file=PATH)
@@ -30,15 +30,40 @@ def test_random_text(text):
 
 
 def test_window_is_bounded_and_parts_do_not_matter():
+    """A text without any space goes through the window; spaces, runs of them and newlines may fall between parts."""
     rng = random.Random(4)
-    text = "".join(rng.choice(["the", "ing", "xyz", "é", "qqq", "1", "tion"]) for _ in range(4000))
-    e, out, most = Encoder(CODEC.model), [], 0
-    while text and (n := rng.randrange(1, 40)):
-        out += e.feed(text[:n])
-        text, most = text[n:], max(most, len(e.text))
-    assert most < 400 and len(out) > 3000
-    whole = encode_unit(CODEC.model, "".join([]))
-    assert whole == [] and e.finish()
+    for words in (["the", "ing", "xyz", "é", "qqq", "1", "tion"], ["the", " ", "  ", "\n", "ing", "▁", "é", " x", "a\n\nb"]):
+        text = "".join(rng.choice(words) for _ in range(4000))
+        e, out, rest = Encoder(CODEC.model), [], " " + text
+        while rest:
+            n = rng.randrange(1, 40)
+            out += e.feed(rest[:n])
+            rest = rest[n:]
+        assert out + e.finish() == SP.encode(text)
+        assert e.widest < 3 * piece_codec.SEEK and len(e.memo) <= len(set(text.split())) * 9
+    assert Encoder(CODEC.model).finish() == []
+
+
+def test_documents_are_committed_word_by_word(spark):
+    """Whole documents through the encoder: a commit for each word or so, a window no wider than the longest word, ids as the library's."""
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect() if r.text]
+    memo, calls, inner = {}, [], Encoder._commit
+
+    def counted(self):
+        calls.append(len(self.text))
+        return inner(self)
+
+    Encoder._commit = counted
+    try:
+        for t in texts:
+            e = Encoder(CODEC.model, memo)
+            out = e.feed(" " + t) + e.finish()
+            words = len(t.split())
+            assert out == SP.encode(t) and (words < 2 or words <= e.commits <= 2 * words + t.count("\n") + 2)
+            assert e.widest <= max(map(len, t.split()), default=0) + 2 + max((len(x) for x in __import__("re").findall(" +", t)), default=0)
+    finally:
+        Encoder._commit = inner
+    assert len(calls) >= len(memo) > 100
 
 
 def test_unigram_recurrence():
@@ -46,7 +71,12 @@ def test_unigram_recurrence():
     m = Model.__new__(Model)
     rng = np.random.default_rng(0)
     pieces = ["a", "b", "c", "ab", "bc", "abc", "ca", "aa", "bca"]
-    m.bpe, m.bytes, m.unknown, m.longest, m.lowest, m.pairs = False, {}, 99, 3, -30.0, {}
+    m.bpe, m.bytes, m.unknown, m.longest, m.lowest, m.pairs, m.stretch = False, {}, 99, 3, -30.0, {}, None
+
+    def whole(text):
+        e = Encoder(m)
+        return e.feed(text) + e.finish()
+
     m.pieces = {p: (i, float(-rng.random() * 3 - 1)) for i, p in enumerate(pieces)}
     m.prefixes = {p[:i]: False for p in pieces for i in range(1, len(p))} | dict.fromkeys(pieces, True)
 
@@ -64,10 +94,10 @@ def test_unigram_recurrence():
 
     for _ in range(60):
         text = "".join(rng.choice(list("abcd"), rng.integers(1, 11)))
-        assert encode_unit(m, text) == best(text)[1]
+        assert whole(text) == best(text)[1]
     long = "abcaab" * 200
     e = Encoder(m)
-    assert sum((e.feed(long[i : i + 7]) for i in range(0, len(long), 7)), []) + e.finish() == encode_unit(m, long)
+    assert sum((e.feed(long[i : i + 7]) for i in range(0, len(long), 7)), []) + e.finish() == whole(long) and e.commits > 1 and e.widest < 600
 
 
 def test_tables(spark):
@@ -82,6 +112,10 @@ def test_tables(spark):
     assert encode(docs.limit(0)).collect() == [] and decode(out.limit(0)).collect() == []
 
 
+def test_ids_that_no_model_has():
+    assert CODEC.decode([SP.unk_id(), 10**6, -1, None]) == CODEC.decode([SP.unk_id()] * 4)
+
+
 def test_query(spark):
     rows = {r.doc_id: r for r in registry.QUERIES["op5_piece_codec"](spark, "/root/testdata/sf0.001").collect()}
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
