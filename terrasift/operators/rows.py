@@ -50,6 +50,17 @@ def placed(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("place", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
 
 
+def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str = "place") -> DataFrame:
+    """As placed, from 0, for keys that may hold a large part of the rows: rows are dealt by ranges of key and order, so a key is many tasks, and numbered by range; what stands in the ranges before is added."""
+    ranges = df.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *(F.col(k) for k in keys), *order)
+    dealt = cut(ranges.withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = dealt.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
+    before = counts.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_range").alias("_r"), (F.sum("_n").over(W.partitionBy(*keys).orderBy("_range")) - F.col("_n")).alias("_before"))
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)), F.col("_range") == F.col("_r"))
+    own = dealt.withColumn("_own", F.row_number().over(W.partitionBy("_range", *keys).orderBy(*order)) - 1)
+    return own.join(before, same).select(*df.columns, (F.col("_own") + F.col("_before")).alias(name))
+
+
 def counts_with_zeros(df: DataFrame, classes: DataFrame, key: str, *more: Column) -> DataFrame:
     """How many rows each class has, and further aggregates; classes without rows have 0, as they were asked for, and no other value."""
     n = df.groupBy(key).agg(F.count("*").alias("n"), *more)

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from terrasift.functions.geometry import local_distance, segments_intersect
 from terrasift.operators import packs
+from terrasift.operators.components import components
 from terrasift.operators.cover import WORLD, cover, points_in_cover
+from terrasift.operators.lineage import cut, release
+from terrasift.operators.rows import numbered
 
 
 def points_in_polygons(points: DataFrame, edge: DataFrame, key: str = "id", order: str = "poly_ord", box: tuple[float, float, float, float] = WORLD) -> DataFrame:
@@ -77,51 +82,82 @@ def near_pairs(a: DataFrame, b: DataFrame, radius: float = 800.0, cell: float =
 
 
 def _serve_in_order(pairs: DataFrame) -> DataFrame:
-    """a_id, b_id, d: rows of a in order of id each take the nearest free b. One sorted stream, of which only the ids of b that are taken are kept."""
+    """part, a_id, b_id, d: in each part rows of a in order of id each take the nearest free b. One sorted stream, of which only a part's taken ids of b are kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        taken, served = set(), None
+        part, taken, served = None, set(), None
         for batch in batches:
             keep = []
-            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for p, a, b in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                if p != part:
+                    part, taken, served = p, set(), None
                 keep.append(a != served and b not in taken)
                 if keep[-1]:
                     served = a
                     taken.add(b)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    ordered = pairs.repartition(1).sortWithinPartitions("a_id", "d", "dx", "dy", "b_id").select("a_id", "b_id", "d")
+    ordered = pairs.repartition("part").sortWithinPartitions("part", "a_id", "d", "dx", "dy", "b_id").select("part", "a_id", "b_id", "d")
     return ordered.mapInArrow(run, ordered.schema)
 
 
-def greedy_match(pairs: DataFrame, most_rounds: int = 20) -> DataFrame:
+_NEAREST = ("d", "dx", "dy", "b_id")
+
+
+def _hopeful(pairs: DataFrame) -> DataFrame:
+    """Pairs without those that cannot come about where rows of a have one list of b, as at one place: the k-th of them in order of id gets none of its k - 1 nearest.
+
+    For the k - 1 before it, which are served first from the same list, would each have had to take something nearer than what it leaves free for it.
+    """
+    listed = pairs.withColumn("nth", F.row_number().over(W.partitionBy("a_id").orderBy(*_NEAREST)) - 1)
+    words = [F.sum(F.xxhash64(F.lit(k), *_NEAREST) % (1 << 40)).alias(f"list{k}") for k in range(2)]
+    lists = pairs.groupBy("a_id").agg(F.count("*").alias("list_n"), *words)
+    ranked = numbered(lists, ["list_n", "list0", "list1"], [F.col("a_id")], "kth").where("kth > 0").select("a_id", "kth")
+    return listed.join(ranked, "a_id", "left").where("kth IS NULL OR nth >= kth").drop("nth", "kth")
+
+
+def greedy_match(pairs: DataFrame, most_rounds: int = 8, most_pairs: int = 2_000_000, block: int = 1000) -> DataFrame:
     """a_id, b_id, d: rows of a in order of id each take the nearest b that is still free.
 
-    In rounds: every a without a match asks its nearest b that has not refused it; each b keeps the smallest a that
+    First in rounds: every a without a match asks its nearest b that has not refused it; each b keeps the smallest a that
     asks, and refuses the others. That ends where serving a in order would, as every b prefers smaller ids.
-    Where many rows of a share a place a round may settle only one of them; so what most_rounds leave open is served in order, without the rows
-    that are settled: no smaller a has their b in reach any more.
-    Each round is an aggregate and two joins; lineage is cut by a checkpoint every few rounds.
+    A row may wait for the one before it, and that for the next: such chains would take a round a link. So what ``most_rounds`` leave open, without the rows
+    that are settled (no smaller a has their b in reach any more), falls into connected components, which do not touch each other: each is served
+    in order, many at a time. Of a component of more than ``most_pairs`` the first ``block`` rows of a are served, each with its ``block`` nearest, which are all it
+    can need; without what they took the rest falls apart anew. So no task has more than the larger of most_pairs and block * block pairs.
     """
-    from terrasift.operators.lineage import cut
-
-    pairs = cut(pairs.select("a_id", "b_id", "d", "dx", "dy"))
-    left, held = pairs, None
+    found, left, held = [], cut(_hopeful(cut(pairs.select("a_id", "b_id", "d", "dx", "dy").distinct(), "pairs")), "left"), None
+    n = left.count()
     for _ in range(most_rounds):
-        asked = left.groupBy("a_id").agg(F.min_by(F.struct("b_id", "d"), F.struct("d", "dx", "dy", "b_id")).alias("r")).select("a_id", "r.*")
-        new = cut(asked.groupBy("b_id").agg(F.min_by(F.struct("a_id", "d"), "a_id").alias("r")).select("r.a_id", "b_id", "r.d"))
+        asked = left.groupBy("a_id").agg(F.min_by(F.struct("b_id", "d"), F.struct(*_NEAREST)).alias("r")).select("a_id", "r.*")
+        new = cut(asked.groupBy("b_id").agg(F.min_by(F.struct("a_id", "d"), "a_id").alias("r")).select("r.a_id", "b_id", "r.d"), "held")
         # A b that has an a refuses all larger ones for good.
-        rest = left.join(new.select("b_id", F.col("a_id").alias("has")), "b_id", "left").where(F.col("has").isNull() | (F.col("a_id") <= F.col("has"))).drop("has")
-        rest = cut(rest)
-        done = rest.count() == left.count()
-        left, held = rest, new
-        if done:
+        rest = cut(left.join(new.select("b_id", F.col("a_id").alias("has")), "b_id", "left").where(F.col("has").isNull() | (F.col("a_id") <= F.col("has"))).drop("has"), "left")
+        release(left)
+        left, held, before, n = rest, new, n, rest.count()
+        if n == before:
             return held
-    if held is None:
-        return _serve_in_order(left)
-    least = left.groupBy("b_id").agg(F.min("a_id").alias("least"))
-    settled = cut(held.join(least, "b_id").where("a_id = least").select("a_id", "b_id", "d"))
-    return settled.unionByName(_serve_in_order(left.join(settled.select("a_id"), "a_id", "left_anti")))
+    if held is not None:
+        least = left.groupBy("b_id").agg(F.min("a_id").alias("least"))
+        settled = cut(held.join(least, "b_id").where("a_id = least").select("a_id", "b_id", "d"), "settled")
+        found.append(settled)
+        left = cut(left.join(settled.select("a_id"), "a_id", "left_anti"), "left")
+    while left.limit(1).count():
+        stars = left.groupBy("b_id").agg(F.min("a_id").alias("v"))
+        of = components(left.join(stars, "b_id").select(F.col("a_id").alias("u"), "v"))
+        parts = cut(left.join(of, F.col("a_id") == F.col("node")).drop("node").withColumnRenamed("component", "part"), "parts")
+        sizes = parts.groupBy("part").agg(F.count("*").alias("n"))
+        large = cut(sizes.where(F.col("n") > most_pairs).select("part"), "large")
+        found.append(cut(_serve_in_order(parts.join(large, "part", "left_anti")).drop("part"), "served"))
+        if not large.limit(1).count():
+            break
+        open_ = parts.join(large, "part", "left_semi")
+        first = numbered(open_.select("part", "a_id").distinct(), ["part"], [F.col("a_id")], "kth").where(F.col("kth") < block).select("a_id")
+        near = open_.join(first, "a_id", "left_semi").withColumn("nth", F.row_number().over(W.partitionBy("a_id").orderBy(*_NEAREST))).where(F.col("nth") <= block)
+        got = cut(_serve_in_order(near.drop("nth")).drop("part"), "served")
+        found.append(got)
+        left = cut(open_.join(first, "a_id", "left_anti").join(got.select("b_id"), "b_id", "left_anti").drop("part"), "left")
+    return reduce(DataFrame.unionByName, found) if found else left.select("a_id", "b_id", "d")
 
 
 def tile_of(lon: Column, lat: Column, box: tuple[float, float, float, float], step: float) -> Column:
