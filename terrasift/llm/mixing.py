@@ -8,7 +8,8 @@ tokens, so both totals stay exact while all but two probabilities of a block rea
 
 Blocks have about ``block`` rows, dealt by a hash of id, size and, among equal rows, their number, so a hot source or id is as many blocks as it needs. What is left
 fractional of them is dealt into blocks again, until one block holds a source's rest; there the last two are landed on the choice
-that keeps tokens nearest. Passes are few: each keeps two rows of a block.
+that keeps tokens nearest. Passes are few: each keeps two rows of a block. What the landing missed is repaired by exchanges: of a source's distinct sizes a taken one and
+one that is not are found whose difference makes up what is missing (either may be none), and one unit of each changes places, up to REPAIRS times.
 
 The random steps are seeded by source, block and pass, and rows are ordered by id within a block, so reruns agree. Size: number of
 ``[^\\x20\\x09-\\x0D]+`` in the text, 0 for null; sizes of 0 are sampled by documents' total like all others. A null source is a
@@ -29,6 +30,8 @@ from terrasift.llm.decl import query
 
 WEIGHTS, SHARE, CAP, BLOCK, CHUNK = (5, 2, 1), 1.5, 2.0, 2048, 1_000_000
 EPS = 1e-9
+#: Exchanges a source may get after landing, and the unit in which tokens are summed, so that sums do not hang on their order.
+REPAIRS, UNIT = 3, 1 << 20
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
@@ -90,6 +93,46 @@ def land(p: list[float], sizes: list[int]) -> list[float]:
     return p
 
 
+def exchange(taken: np.ndarray, free: np.ndarray, over: int) -> tuple[int, int] | None:
+    """A taken size to give up and a free one to take, 0 for none, that bring ``over``, in UNIT tokens, nearest to 0; the least sizes of equals. None if nothing comes nearer."""
+    a, b = np.unique(np.append(taken, 0)), np.unique(np.append(free, 0))
+    want = a - over / UNIT
+    at = np.searchsorted(b, want)
+    best = None
+    for k in (at - 1, at):
+        k = np.clip(k, 0, len(b) - 1)
+        left = np.abs(over - (a - b[k]) * UNIT)
+        i = int(left.argmin())
+        if best is None or left[i] < best[0]:
+            best = (int(left[i]), int(a[i]), int(b[k[i]]))
+    return None if best[0] >= abs(over) else best[1:]
+
+
+def repaired(units: DataFrame, wanted: DataFrame) -> DataFrame:
+    """units (source, size, p of 0 or 1, ...; no two equal) after one exchange in each source whose tokens are off. wanted: w_source, wanted (UNIT tokens).
+
+    Rows are counted by source, size and p first; a source's group has a row for each distinct size.
+    """
+    own = units.columns
+    mark = F.struct(F.xxhash64(*own), F.xxhash64(F.lit(1), *own))
+    groups = units.groupBy("source", "size", "p").agg(F.count("*").alias("n"), F.min(mark).alias("first"))
+    groups = cut(groups, "sizes")
+    taken = groups.groupBy(F.col("source").alias("t_source")).agg(F.sum(F.col("p").cast("long") * F.col("size") * F.col("n")).alias("taken"))
+    off = taken.join(wanted, F.col("t_source").eqNullSafe(F.col("w_source"))).select("t_source", (F.col("taken") * UNIT - F.col("wanted")).alias("over")).where("over <> 0")
+    sizes = groups.join(off, F.col("source").eqNullSafe(F.col("t_source"))).select("source", "size", "p", "over", "first")
+
+    def choose(t: pa.Table) -> pa.Table:
+        size, p = t.column("size").to_numpy(), t.column("p").to_numpy()
+        found = exchange(size[p == 1], size[p == 0], t.column("over")[0].as_py())
+        keep = np.zeros(len(t), bool) if found is None else ((p == 1) & (size == found[0]) | (p == 0) & (size == found[1])) & (size > 0)
+        return t.filter(pa.array(keep)).select(["first"])
+
+    kind = units.sparkSession.createDataFrame([], "first struct<col1:long,col2:long>").schema
+    chosen = sizes.groupBy("source").applyInArrow(choose, kind).select(F.col("first.col1").alias("m1"), F.col("first.col2").alias("m2"), F.lit(True).alias("flip"))
+    marked = units.withColumns({"m1": F.xxhash64(*own), "m2": F.xxhash64(F.lit(1), *own)}).join(chosen, ["m1", "m2"], "left")
+    return marked.withColumn("p", F.when(F.col("flip"), 1 - F.col("p")).otherwise(F.col("p"))).select(*own)
+
+
 def cube_sample(units: DataFrame, block: int = BLOCK) -> DataFrame:
     """units: source, id, size and p in (0, 1), other columns are kept; p comes back as 0 or 1."""
     names = units.columns
@@ -98,6 +141,7 @@ def cube_sample(units: DataFrame, block: int = BLOCK) -> DataFrame:
     chunks = counted.withColumn("_chunk", F.explode(F.expr(f"sequence(0, (_n - 1) div {CHUNK})")))
     units = cut(chunks.select(*names, F.explode(F.expr(f"sequence(_chunk * {CHUNK}, least((_chunk + 1) * {CHUNK}, _n) - 1)")).alias("_same")), "units")
     own = [*names, "_same"]
+    wanted = cut(units.groupBy(F.col("source").alias("w_source")).agg(F.sum(F.round(F.col("p") * F.col("size") * UNIT).cast("long")).alias("wanted")), "wanted")
 
     def settle(t: pa.Table) -> pa.Table:
         if not len(t):
@@ -124,6 +168,8 @@ def cube_sample(units: DataFrame, block: int = BLOCK) -> DataFrame:
     whole = done[0]
     for d in done[1:]:
         whole = whole.unionByName(d)
+    for _ in range(REPAIRS):
+        whole = cut(repaired(whole.select(*own), wanted), "repaired")
     return whole.select(*names)
 
 

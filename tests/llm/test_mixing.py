@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from terrasift.llm import registry
-from terrasift.llm.mixing import flight, land, mix
+from terrasift.llm.mixing import UNIT, exchange, flight, land, mix, repaired
 
 SF = "/root/testdata/sf0.01"
 
@@ -26,8 +26,8 @@ def brute_targets(size_of):
     return target
 
 
-def held(docs, rows):
-    """docs: (id, text, source)."""
+def held(docs, rows, near=None):
+    """docs: (id, text, source). near: how far a source's tokens may be from its target."""
     size, source = {}, {}
     for i, t, s in docs:
         size[i], source[i] = len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), s
@@ -43,13 +43,13 @@ def held(docs, rows):
         taken[s] += r.taken
         most[s] = max(most[s], r.size)
     for s in of:
-        assert abs(taken[s] - target[s]) <= most[s], (s, taken[s], target[s])
+        assert abs(taken[s] - target[s]) <= (most[s] if near is None else near(s, target[s])), (s, taken[s], target[s])
 
 
 def test_query(spark):
     docs = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     rows = registry.QUERIES["op4_mixing"](spark, SF).collect()
-    held(docs, rows)
+    held(docs, rows, lambda s, t: max(1, 0.001 * t))
     assert sorted(rows) == sorted(registry.QUERIES["op4_mixing"](spark, SF).collect())
 
 
@@ -77,3 +77,23 @@ def test_flight_keeps_totals():
         assert set(land(q, sizes)) <= {0.0, 1.0}
     hits = sum(flight([0.3] * 9, list(range(9)), np.random.default_rng(s))[4] for s in range(2000)) / 2000
     assert abs(hits - 0.3) < 0.04  # inclusion probabilities are kept on average
+
+
+def test_exchange_is_the_best_one():
+    """Against all pairs of sizes; a size of 0 stands for none."""
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        a, b = rng.integers(0, 60, rng.integers(0, 8)), rng.integers(0, 60, rng.integers(0, 8))
+        over = int(rng.integers(-70, 70)) * UNIT + int(rng.integers(-UNIT // 2, UNIT // 2))
+        left = {abs(over - (x - y) * UNIT) for x in [*a, 0] for y in [*b, 0]}
+        got = exchange(a, b, over)
+        assert min(left) >= abs(over) if got is None else abs(over - (got[0] - got[1]) * UNIT) == min(left) < abs(over)
+
+
+def test_repair_flips_one_unit_of_each_size(spark):
+    rows = [("s", i, z, p) for i, (z, p) in enumerate([(10, 1.0), (10, 1.0), (7, 0.0), (7, 0.0), (0, 0.0)])] + [(None, 9, 5, 0.0), ("t", 8, 4, 1.0)]
+    units = spark.createDataFrame(rows, "source string, id long, size long, p double")
+    wanted = spark.createDataFrame([("s", 17 * UNIT), (None, 4 * UNIT), ("t", 4 * UNIT)], "w_source string, wanted long")
+    got = repaired(units, wanted).collect()
+    assert sorted(r.size * r.p for r in got if r.source == "s") == [0.0, 0.0, 0.0, 7.0, 10.0] and len(got) == 7
+    assert [r.p for r in got if r.source is None] == [1.0] and [r.p for r in got if r.source == "t"] == [1.0]
