@@ -7,7 +7,7 @@ are not shuffled; the two that compare or sample documents join their decisions
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrasift.llm.common import cut, table
@@ -16,6 +16,7 @@ from terrasift.llm.near_dedup import near_groups
 from terrasift.llm.piece_codec import encode
 from terrasift.llm.quality_classifier import classify
 from terrasift.llm.quality_rules import quality_rules
+from terrasift.operators.lineage import drop_scratch, scratch_tables
 
 
 def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -40,23 +41,28 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _once(rows: DataFrame, decided: DataFrame, of: dict[str, str]) -> DataFrame:
-    """Rows whose key is decided, those of equal id and text once. Both are brought together by key, so a row is shuffled once."""
+    """Rows whose key is decided, those of equal id and text once; of their other columns those whose JSON is least. Both are brought together by key, so a row is shuffled once."""
     found = rows.join(decided, "key")
-    first = [F.first(c).alias(c) for c in found.columns if c not in ("key", of["doc_id"], of["text"])]
-    return found.groupBy("key", of["doc_id"], of["text"]).agg(*first, F.lit(1).alias("once"))
+    rest = F.struct(*(F.col(c) for c in found.columns if c not in ("key", of["doc_id"], of["text"])))
+    return found.groupBy("key", of["doc_id"], of["text"]).agg(F.min_by(rest, F.to_json(rest)).alias("rest")).select("key", of["doc_id"], of["text"], "rest.*")
+
+
+def _key(doc_id: Column, text_hash: Column) -> Column:
+    """The id as it is, and the text's hash: only texts of one id can be mistaken for each other."""
+    return F.concat(F.coalesce(F.concat(F.lit("v"), doc_id.cast("string")), F.lit("n")), F.lit(":"), text_hash.cast("string"))
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
-    """As _plain, with key, a hash of id and text."""
+    """As _plain, with key, of id and text."""
     rows, of = _plain(docs)
-    return rows.withColumn("key", F.xxhash64(of["doc_id"], F.xxhash64(of["text"]))), of
+    return rows.withColumn("key", _key(F.col(of["doc_id"]), F.xxhash64(of["text"]))), of
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one with the smallest id, once."""
     rows, of = _keyed(docs)
     found = near_groups(rows, shingle=5, percent=80, id_col=of["doc_id"], text_col=of["text"]).where("first")
-    kept = found.select(F.xxhash64(of["doc_id"], "text_hash").alias("key")).distinct()
+    kept = found.select(_key(F.col(of["doc_id"]), F.col("text_hash")).alias("key")).distinct()
     return _once(rows, kept, of).select(*of.values()).toDF(*of)
 
 
@@ -85,7 +91,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), scratch_tables()
     for name, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir), name)
+        drop_scratch(before, last=1)  # a stage's own tables, and its input, once its result is written
     return STAGES[-1][1](spark, docs, sf_dir)
