@@ -123,39 +123,6 @@ def test_scope():
         overpass.scope(Aoi("country", "XX"), Mirrors(["a"], lambda u, q, s: {}), 1.0, 9, {})
 
 
-def test_tiles_in_quarters():
-    def ask(box):
-        if box[2] - box[0] > 1:
-            raise TimeoutError
-        if box == (0.0, 0.0, 1.0, 1.0):
-            raise Refused(429, "u")
-        return [{"type": "node", "id": int(box[0] * 10 + box[1])}]
-
-    got = overpass.fetch_tile((0.0, 0.0, 2.0, 2.0), ask)
-    assert len(got.elements) == 3 and got.requests == 5 and got.lost == [(0.0, 0.0, 1.0, 1.0)]
-    assert overpass.fetch_tile((0.0, 0.0, 9.0, 9.0), ask, 1).lost and overpass.fetch_tile((0.0, 0.0, 9.0, 9.0), lambda b: (_ for _ in ()).throw(OutOfTime())).requests == 0
-
-
-def test_tile_reader(spark):
-    def ask(url, query, seconds):
-        west = float(query.split("](")[-1].split(",")[1])
-        both = {"type": "node", "id": 7, "lat": 1.0, "lon": 2.0, "tags": {"v": "5"}}
-        return {"elements": [both, {"type": "way", "id": 9, "center": {"lat": 1.0, "lon": west}, "tags": {"v": "1"}}, {"type": "way", "id": 10 + int(west), "geometry": [{"lat": 0, "lon": 0}, None]}]}
-
-    overpass.ASKS["test"] = ask
-    o = {"selectors": '["v>=2"]', "tiles": "[[0,0,1,1],[1,0,2,1]]", "mirrors": '["a","b"]', "ask": "test"}
-    reader = overpass.TileReader(o)
-    rows = [r for p in reader.partitions() for r in reader.read(p)]
-    assert [(r[0], r[1], r[-1]) for r in rows] == [("node", 7, 0), ("way", 9, 0), ("way", 10, 0), ("node", 7, 1), ("way", 9, 1), ("way", 11, 1)]
-    from terrasift.sources.osm import ELEMENT, union_tiles
-
-    df = union_tiles(spark.createDataFrame([(r[0], r[1], r[2] and float(r[2]), r[3] and float(r[3]), r[4], None, None, r[-1]) for r in rows], f"{ELEMENT}, ord long"))
-    assert [(r.type, r.id, r.lon) for r in df.collect()] == [("node", 7, 2.0), ("way", 9, 1.0), ("way", 10, None), ("way", 11, None)]
-    overpass.ASKS["slow"] = lambda u, q, s: (_ for _ in ()).throw(TimeoutError())
-    with pytest.raises(overpass.Incomplete):
-        list(overpass.TileReader(o | {"ask": "slow"}).read(reader.partitions()[0]))
-
-
 def test_towers(spark, tmp_path):
     def line(n, **at):
         row = [""] * n
