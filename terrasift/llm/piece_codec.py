@@ -10,10 +10,10 @@ the window, not by the text.
   token may follow another if the model's merges of the two together leave them as they are. A text's encoding
   is the only segmentation whose neighbours are all valid, so each place has one backpointer, and ids are the library's.
 
-Where no piece has a space after another character (checked when the model is read), a space after another
-character is always such a meeting point, and so are both sides of a newline if no longer piece has one. The stretches between them recur, so a worker keeps a bounded
-table of their ids: at a committed boundary an encoder looks the next stretch up, and goes on behind it if it is known. A stretch that is not, or that has
-no end in sight, goes through the window.
+Between two characters that no piece has next to each other all paths meet, whatever stands around them. Where no piece has a space after another character (checked when
+the model is read) that is so before each run of spaces, and around a newline if no longer piece has one; within such a stretch it is often so before punctuation. The
+stretches recur, so a worker keeps a bounded table of their ids: at a committed boundary an encoder looks the next stretch up, and goes on behind it if it is known. One that is not is looked
+up by its parts; a part that is not known, or a stretch without an end in sight, goes through the window.
 
 Spaces become U+2581 and one is put in front; characters without a piece become their UTF-8 bytes' pieces, or the unknown id.
 Decoding streams too: pieces are joined, the first space is dropped, and bytes that are no UTF-8 become U+FFFD. A text that has U+2581
@@ -41,8 +41,8 @@ from terrasift.llm.common import table
 from terrasift.llm.decl import query
 from terrasift.llm.token_counts import slices
 
-#: Entries of a worker's tables of units and of pairs; longest unit kept; characters after which a meeting point is sought.
-MEMO, PAIRS, MEMO_CHARS, SEEK = 600_000, 1_000_000, 24, 256
+#: Entries of each of two generations of a worker's table of stretches, and of its table of pairs; longest stretch kept; characters after which a meeting point is sought.
+MEMO, PAIRS, MEMO_CHARS, SEEK = 700_000, 1_000_000, 24, 256
 SPACE = "▁"
 
 
@@ -69,6 +69,7 @@ class Model:
         line = "\n" if self.lines else ""
         #: Stretches between places where all paths meet; None if a model has no such places that the text alone tells.
         self.stretch = re.compile(f"[ {SPACE}]*[^ {SPACE}{line}]+|[ {SPACE}]+" + "|\n" * self.lines) if self.units else None
+        self.beside = {p[i : i + 2] for p in self.pieces for i in range(len(p) - 1)}
         self.texts = [bytes([int(p.piece[3:5], 16)]) if p.type == 6 else b"" if p.type == 3 else p.piece.replace(SPACE, " ").encode() for p in m.pieces]
         self.texts[self.unknown] = " ⁇ ".encode()
         self.scores = {p: score for p, (_, score) in self.pieces.items()}
@@ -77,6 +78,12 @@ class Model:
         self.prefixes = {p[:i]: False for p in self.pieces for i in range(1, len(p))}
         self.prefixes |= {p: not self.bpe or self.merged(p) == [p] for p in self.pieces}
 
+    def parts(self, stretch: str) -> list[str]:
+        """A stretch's parts between characters that no piece has next to each other."""
+        text, beside = stretch.replace(" ", SPACE), self.beside
+        cuts = [i for i, pair in enumerate(map(add, text, text[1:]), 1) if pair not in beside]
+        return [stretch[a:b] for a, b in zip([0, *cuts], [*cuts, len(stretch)], strict=True)] if cuts else [stretch]
+
     def ids(self, token: str) -> Iterable[int]:
         found = self.pieces.get(token)
         if found:
@@ -110,6 +117,36 @@ class Model:
         return got
 
 
+class Memo:
+    """Stretches' ids as bytes of 32-bit integers. When the younger generation is full the older one goes; what is still asked for stays. ``near`` has the latest few, which a processor's cache holds."""
+
+    def __init__(self, most: int = MEMO, near: int = 8_192):
+        self.most, self.most_near, self.young, self.old, self.near = most, near, {}, {}, {}
+
+    def __len__(self) -> int:
+        return len(self.young) + len(self.old)
+
+    def put(self, stretch: str, ids: bytes) -> bytes:
+        if len(stretch) <= MEMO_CHARS:
+            if len(self.young) >= self.most:
+                self.young, self.old = {}, self.young
+            self.young[stretch] = ids
+        return ids
+
+    def again(self, stretch: str) -> bytes | None:
+        """The ids of one that is not near."""
+        found = self.young.get(stretch)
+        if found is None:
+            found = self.old.get(stretch)
+            if found is None:
+                return None
+            self.put(stretch, found)
+        if len(self.near) >= self.most_near:
+            self.near.clear()
+        self.near[stretch] = found
+        return found
+
+
 class Encoder:
     """One text: feed() it in parts of any size, each gives the ids that became final; finish() gives the rest. The text begins with the space that the model puts in front.
 
@@ -117,8 +154,8 @@ class Encoder:
     none (yet). tail is a stretch whose end has not been seen. commits counts boundaries, widest the window's characters.
     """
 
-    def __init__(self, model: Model, memo: dict[str, bytes] | None = None):
-        self.m, self.memo, self.tail = model, {} if memo is None else memo, ""
+    def __init__(self, model: Model, memo: Memo | None = None):
+        self.m, self.memo, self.tail = model, Memo() if memo is None else memo, ""
         self.commits = self.widest = 0
         self._open()
 
@@ -136,11 +173,11 @@ class Encoder:
         """As feed, ids as bytes of 32-bit integers."""
         text = self.tail + part
         *done, self.tail = (self.m.stretch.findall(text) if self.m.stretch else [text]) or [""]
-        known, end = self.memo.get, self._end
+        known, find = self.memo.near.get, self._find
         if done and self.text:  # the stretch in the window ends here
-            out = [end(done[0]), *(known(u) or end(u) for u in done[1:])]
+            out = [self._end(done[0]), *(known(u) or find(u) for u in done[1:])]
         else:
-            out = [known(u) or end(u) for u in done]
+            out = [known(u) or find(u) for u in done]
         self.commits += len(done)
         while len(self.tail) > SEEK:  # no end in sight
             out.append(self._push(self.tail[:SEEK]))
@@ -152,7 +189,18 @@ class Encoder:
         if not last and not self.text:
             return []
         self.commits += 1
-        return [(None if self.text else self.memo.get(last)) or self._end(last)]
+        return [self._end(last) if self.text else self._find(last)]
+
+    def _find(self, stretch: str) -> bytes:
+        """A whole stretch: as it is known, or by its parts."""
+        known = self.memo.again(stretch)
+        if known:
+            return known
+        parts = self.m.parts(stretch) if self.m.stretch else [stretch]
+        if len(parts) == 1:
+            return self._end(stretch)
+        self.commits += len(parts) - 1
+        return self.memo.put(stretch, b"".join([self.memo.again(p) or self._end(p) for p in parts]))
 
     def _push(self, part: str) -> bytes:
         """Put part into the window, and give out what lies before the boundary where the paths meet."""
@@ -164,7 +212,7 @@ class Encoder:
         return array("i", ids).tobytes()
 
     def _end(self, part: str) -> bytes:
-        """Put the rest of a stretch into the window: all paths meet at its end."""
+        """Put a stretch, or the rest of the one in the window, into the window: all paths meet at its end."""
         whole = not self.text
         out = b""
         for i in range(0, len(part) - SEEK, SEEK):
@@ -175,11 +223,7 @@ class Encoder:
         self._extend(len(self.text))
         out += array("i", self._commit()).tobytes()
         self._open()
-        if whole and len(part) <= MEMO_CHARS:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            self.memo[part] = out
-        return out
+        return self.memo.put(part, out) if whole else out
 
     def _extend(self, stop: int) -> None:
         """Go on from all places before stop: the tokens that begin at them have been seen whole."""
@@ -245,7 +289,7 @@ class Codec:
     """A model with a bounded table of its stretches' ids, as bytes of 32-bit integers."""
 
     def __init__(self, path: str):
-        self.model, self.memo = load(path), {}
+        self.model, self.memo = load(path), Memo()
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
@@ -262,11 +306,17 @@ class Codec:
         return self._text([i if i is not None and 0 <= i < n else unknown for i in (ids if ids is not None else ())])
 
 
+@lru_cache(maxsize=2)
+def _codec(path: str) -> Codec:
+    """A worker's codec: its table of stretches serves all tasks of the worker."""
+    return Codec(path)
+
+
 def encode(docs: DataFrame, model: str = "piece_bpe_32k.model", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, ids (array<int>), n_ids, n_chars and round_trip, whether decoding the ids gives the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model)
+        codec = _codec(model)
         for whole in batches:
             for batch in slices(whole, 1, 2 << 20):
                 texts = batch.column(1).to_pylist()
@@ -287,7 +337,7 @@ def decode(encoded: DataFrame, model: str = "piece_bpe_32k.model", id_col: str =
     """Per row: id and text. Null ids give an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model)
+        codec = _codec(model)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([codec.decode(x) for x in batch.column(1).to_pylist()], pa.string())], ["id", "text"])
 
