@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from terrasift.functions.scalar import dms, valid_lonlat
@@ -39,51 +40,82 @@ def sniff(name: str, head: bytes) -> str:
     return "geojson" if start[:1] in (b"{", b"[") else "csv"
 
 
-def _after_lines(spark: SparkSession, path: str, sep: str, skip_lines: int, names: list[str], header: bool) -> DataFrame:
-    """Records of files whose first lines are no table: read by file, as a line's place in its file counts."""
-    skip = skip_lines + header
+def _in_quotes(line: Column, sep: str) -> Column:
+    """Whether a line that begins outside quotes ends inside: a field opens with a quote that nothing closes. Quotes within other fields mean nothing."""
+    opens = f"(^|\\Q{sep}\\E)\""
+    left = F.regexp_replace(line, f'{opens}(?:[^"]|"")*+"', "$1")
+    return F.when(F.contains(line, F.lit('"')), left.rlike(opens)).otherwise(False)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            for data in frame["content"]:
-                text = io.TextIOWrapper(io.BytesIO(bytes(data)), "utf-8-sig", newline="")
-                for _ in range(skip_lines):
-                    text.readline()
-                records = csv.reader(text, delimiter=sep)
-                if header:
-                    next(records, None)
-                part = []
-                for r in records:
-                    part.append((r + [""] * len(names))[: len(names)])
-                    if len(part) == 5000:
-                        yield pd.DataFrame(part, columns=names, dtype=object)
-                        part = []
-                yield pd.DataFrame(part, columns=names, dtype=object)
 
-    if not skip:
-        raise ValueError("no lines to skip")
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, ", ".join(f"`{c}` string" for c in names))
+def quoted_records(spark: SparkSession, path: str, sep: str = ",", skip_lines: int = 0) -> DataFrame:
+    """File, ord (its place), first (whether it is its file's first) and text of each record of delimited files, whose quoted fields may hold line breaks. Large files are split.
+
+    A line tells, for both cases, whether it ends inside quotes if it begins inside or outside; so it keeps, turns or fixes the state. The parts of a file that Spark splits it into are told
+    by how they change it, one row each, and put in order; so each part knows how it begins, and each line too. Lines that are records by themselves, nearly all, stay where they are; those of longer
+    records are brought together, also across parts. skip_lines: lines at a file's beginning that are no table.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("row"))
+    inside = _in_quotes(F.concat(F.lit('"'), "value"), sep)
+    within, over = W.partitionBy("file", "part").orderBy("row"), W.partitionBy("file").orderBy("part")
+    known = lines.withColumn("out_in", _in_quotes(F.col("value"), sep)).withColumn("in_in", inside)
+    if skip_lines:
+        sizes = lines.groupBy("file", "part").agg(F.count("*").alias("n"))
+        sizes = sizes.select(F.col("file").alias("s_file"), F.col("part").alias("s_part"), (F.sum("n").over(over) - F.col("n")).alias("before")).where(F.col("before") < skip_lines)
+        known = known.withColumn("nth", F.row_number().over(within)).join(sizes, (F.col("file") == F.col("s_file")) & (F.col("part") == F.col("s_part")), "left")
+        known = known.where(F.col("before").isNull() | (F.col("before") + F.col("nth") > skip_lines)).drop("nth", "s_file", "s_part", "before")
+
+    def running(df: DataFrame, window) -> DataFrame:
+        """turns: how often the state was turned before a row; fixed: what the last row that fixed it left, turned back to the beginning (null: none did)."""
+        before, turn = window.rowsBetween(W.unboundedPreceding, -1), F.col("out_in") & ~F.col("in_in")
+        df = df.withColumn("turns", F.coalesce(F.sum(turn.cast("int")).over(before), F.lit(0)))
+        fix = F.when(F.col("out_in") == F.col("in_in"), (F.col("out_in").cast("int") + F.col("turns")) % 2)
+        return df.withColumn("fix", fix).withColumn("fixed", F.last("fix", ignorenulls=True).over(before))
+
+    state = lambda begin: (F.coalesce("fixed", begin) + F.col("turns")) % 2 == 1
+    own = running(known, within)
+    last = F.struct("out_in", "in_in", "turns", "fix", "fixed")
+    parts = own.groupBy("file", "part").agg(F.max_by(last, "row").alias("z"), F.min("row").alias("top")).select("file", "part", "top", "z.*")
+    total = (F.col("turns") + (F.col("out_in") & ~F.col("in_in")).cast("int")) % 2
+    end = lambda begin: (F.coalesce("fix", "fixed", F.lit(begin)) + total) % 2 == 1
+    parts = parts.select("file", "part", F.min(F.struct("part", F.col("top").alias("row"))).over(W.partitionBy("file")).alias("first_at"), end(0).alias("out_in"), end(1).alias("in_in"))
+    parts = running(parts, over).select(F.col("file").alias("p_file"), F.col("part").alias("p_part"), "first_at", state(F.lit(0)).cast("int").alias("begins"))
+    each = own.join(parts, (F.col("file") == F.col("p_file")) & (F.col("part") == F.col("p_part"))).withColumn("open", state(F.col("begins")))
+    each = each.withColumn("starts", ~F.col("open")).withColumn("ends", F.when(F.col("open"), ~F.col("in_in")).otherwise(~F.col("out_in")))
+    first = F.struct("part", "row") == F.col("first_at")
+    each = each.select("file", "part", "row", "value", "starts", "ends", first.alias("first"), F.sum(F.col("starts").cast("int")).over(within).alias("nth"))
+    alone = each.where("starts AND ends").select("file", F.struct("part", "row").alias("ord"), "first", F.col("value").alias("text"))
+    rest = each.where("NOT (starts AND ends)")
+    # Lines before a part's first record go on with the last record of the nearest part before that begins one.
+    begun = each.groupBy("file", "part").agg(F.max("nth").alias("n")).withColumn("own", F.when(F.col("n") > 0, F.struct("part", "n")))
+    begun = begun.withColumn("from", F.last("own", ignorenulls=True).over(over.rowsBetween(W.unboundedPreceding, -1))).select(F.col("file").alias("b_file"), F.col("part").alias("b_part"), "from")
+    tied = rest.join(begun, (F.col("file") == F.col("b_file")) & (F.col("part") == F.col("b_part"))).withColumn("of", F.when(F.col("nth") > 0, F.struct("part", F.col("nth").alias("n"))).otherwise(F.col("from")))
+    long = tied.groupBy("file", "of").agg(F.array_sort(F.collect_list(F.struct("part", "row", "value"))).alias("l"), F.bool_or("first").alias("first"))
+    long = long.select("file", F.struct(F.get("l", F.lit(0)).part.alias("part"), F.get("l", F.lit(0)).row.alias("row")).alias("ord"), "first", F.array_join("l.value", "\n").alias("text"))
+    return alone.unionByName(long).withColumn("text", F.regexp_replace(F.when(F.col("first"), F.ltrim("text", F.lit("\ufeff"))).otherwise(F.col("text")), "\r$", ""))
 
 
 def delimited(spark: SparkSession, path: str, sep: str = ",", skip_lines: int = 0, header: list[str] | None = None, lat: str | None = None, lon: str | None = None, dms_fields: tuple[str, ...] | None = None, keep: Column | None = None, split_files: bool = False) -> DataFrame:
     """All columns as text, with lon and lat; rows without usable places go (F23). Short rows are filled with empty texts, blank ones skipped.
 
     lat, lon: decimal columns; dms_fields: eight columns, degrees to hemisphere of latitude and longitude. Quoted fields may hold
-    line breaks, so a file is read by one task; split_files, for files that are known to have none, lets Spark split them. All files
+    line breaks, and files are split all the same (quoted_records); split_files, for files that are known to have none, spares finding out. All files
     of a path must have the same header.
     """
-    csv_of = spark.read.option("sep", sep).option("escape", '"').option("multiLine", not split_files).option("quote", '"')
-    if skip_lines:
-        names = header
-        if names is None:
-            top = [r.value for r in spark.read.text(path).limit(skip_lines + 1).collect()][-1]
-            names = next(csv.reader([top.lstrip("\ufeff")], delimiter=sep))
-        rows = _after_lines(spark, path, sep, skip_lines, [n.strip() for n in names], header is None)
-    else:
+    if split_files and not skip_lines:
+        csv_of = spark.read.option("sep", sep).option("escape", '"').option("quote", '"')
         names = header or csv_of.option("header", True).csv(path).columns
-        schema = ", ".join(f"`{n}` string" for n in names)
-        rows = csv_of.option("header", header is None).option("enforceSchema", header is not None).csv(path, schema=schema)
+        rows = csv_of.option("header", header is None).option("enforceSchema", header is not None).csv(path, schema=", ".join(f"`{n}` string" for n in names))
         rows = rows.toDF(*(n.strip().lstrip("\ufeff") for n in names))
+    else:
+        records = quoted_records(spark, path, sep, skip_lines)
+        names = header
+        if names is None:
+            top = spark.read.text(path).limit(skip_lines + 1000).select("value").collect()
+            names = next(csv.reader([r.value + "\n" for r in top[skip_lines:]], delimiter=sep), [])
+            names = [n.strip().lstrip("\ufeff").rstrip("\r") for n in names]
+            records = records.where(~F.col("first"))
+        fields = F.from_csv("text", ", ".join(f"`{n}` string" for n in names), {"sep": sep, "escape": '"', "quote": '"', "mode": "PERMISSIVE"})
+        rows = records.where(F.trim("text") != "").select(fields.alias("r")).select(*(F.col(f"r.`{n}`") for n in names))
     filled = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns]
     rows = rows.select(*filled).where(F.trim(F.concat(*(F.col(f"`{c}`") for c in rows.columns))) != "")
     if keep is not None:

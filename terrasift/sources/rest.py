@@ -6,22 +6,27 @@ The transport is a function of the query's parameters, so tests and other client
 from __future__ import annotations
 
 import json
-import urllib.parse
-import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from terrasift.sources.fetch import Client
 from terrasift.sources.files import esri_geometry
 
 Transport = Callable[[str, dict], dict]
 
 
+@lru_cache(maxsize=1)
+def _client() -> Client:
+    """The client of a process: retries, pauses and the number of requests at once hold for all of its pages."""
+    return Client(gap=0.2)
+
+
 def http_transport(url: str, params: dict) -> dict:
-    with urllib.request.urlopen(f"{url}?{urllib.parse.urlencode(params)}", timeout=120) as r:  # noqa: S310
-        return json.load(r)
+    return _client().json(url, params, cached=False)
 
 
 TRANSPORTS: dict[str, Transport] = {"http": http_transport}
