@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("flagship", "attributes", "geo", "packs", "provenance", "shapes", "statepacks", "tables")
+MODULES = ("flagship", "attributes", "geo", "packs", "profiles", "provenance", "shapes", "statepacks", "tables")
 
 
 def load() -> None:
