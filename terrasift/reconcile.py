@@ -1,16 +1,24 @@
-"""Cross-matching of layers of one entity, and builds over several sources."""
+"""Cross-matching of layers of one entity, and builds over several sources to their files."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyarrow.fs import FileSelector
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from terrasift.catalog import Aoi, Catalog, fetch_first
+from terrasift.operators.lineage import cut, release
+from terrasift.operators.packs import observed
 from terrasift.operators.rows import first_by_key
 from terrasift.operators.spatial import compare_numbers, greedy_match, near_pairs
+from terrasift.sinks import packs
+from terrasift.sinks.archives import write_archives
+from terrasift.sinks.store import store
 
 KEYS = ("capacity_mw", "voltage_kv", "max_voltage_kv", "height_ft", "beds")
 
@@ -67,23 +75,81 @@ def report(rows: DataFrame, most: int = 200) -> str:
 
 
 def build(catalog: Catalog, aoi: Aoi, fetch: Callable[[dict], DataFrame], clip: Callable[[DataFrame], DataFrame] | None = None, **choice) -> tuple[dict[str, DataFrame], list[dict]]:
-    """Each selected source fetched (or an alternate), deduplicated (D01) and clipped; results and a manifest row a source, in the catalog's order.
+    """Each selected source fetched (or an alternate), deduplicated (D01) and clipped; results and a manifest row a source, in the catalog's order.
 
-    A source that fails is a row with its error. Without its boundary an area of that kind is refused rather than left unclipped.
+    A row tells how many features came in, how many were merged, how many lay outside and how many are left: counted by the passes that do the work and no others. A layer is written to the shared folder
+    once deduplicated and once clipped, so neither fetching nor clipping is done again by whatever reads it. A source that fails is a row with its error, and no numbers. Without its boundary an area of that
+    kind is refused rather than left unclipped.
     """
     layers, rows, names = {}, [], {}
     for spec in catalog.select(aoi, **choice):
         n = names[spec["layer"]] = names.get(spec["layer"], 0) + 1
         key = spec["layer"] if n == 1 else f"{spec['layer']}__{spec.get('provider', n)}"
         key = key if key not in layers else f"{key}_{n}"
+        told = {"layer": key, "source": spec["id"], "license": spec.get("license"), "recovered_from": None, "error": None}
         try:
             df, used = fetch_first(spec, fetch)
             keys = [F.col("osm_type"), F.col("osm_id"), F.coalesce("shape", F.lit(""))] if "osm_id" in df.columns else [F.col("source_id"), F.substring("coordinates", 1, 200)]
-            df = first_by_key(df, keys, [F.col("ord")])
-            layers[key] = clip(df) if clip and spec["layer"] != "boundary" else df
-            rows.append({"layer": key, "source": used["id"], "license": used.get("license"), "recovered_from": used.get("recovered_from"), "error": None})
+            df, came = observed(df, f"in-{uuid.uuid4().hex}")
+            df, merged = observed(first_by_key(df, keys, [F.col("ord")]), f"merged-{uuid.uuid4().hex}")
+            df = cut(df, "layer")
+            counts = {"rows_in": came.get["features"], "merged": came.get["features"] - merged.get["features"], "outside": 0, "features": merged.get["features"]}
+            if clip and spec["layer"] != "boundary":
+                inside, left = observed(clip(df), f"left-{uuid.uuid4().hex}")
+                inside = cut(inside, "layer")
+                release(df)
+                counts |= {"outside": counts["features"] - left.get["features"], "features": left.get["features"]}
+                df = inside
+            layers[key] = df
+            rows.append({**told, "source": used["id"], "license": used.get("license"), "recovered_from": used.get("recovered_from"), **counts})
         except Exception as e:  # noqa: BLE001  a failed source is a row of the manifest
-            rows.append({"layer": key, "source": spec["id"], "license": spec.get("license"), "recovered_from": None, "error": f"{type(e).__name__}: {e}"})
+            rows.append({**told, "error": f"{type(e).__name__}: {e}"})
             if spec["layer"] == "boundary" and clip:
                 raise RuntimeError("no boundary, so nothing can be clipped") from e
     return layers, rows
+
+
+def as_table(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    """A build's rows as a DataFrame; numbers of a failed source are null."""
+    names = {"layer": "string", "source": "string", "license": "string", "recovered_from": "string", "error": "string", "rows_in": "long", "merged": "long", "outside": "long", "features": "long"}
+    return spark.createDataFrame([tuple(r.get(k) for k in names) for r in rows], ", ".join(f"{k} {t}" for k, t in names.items()))
+
+
+def publish(spark: SparkSession, layers: dict[str, DataFrame], rows: list[dict], specs: list[dict], out: str, bucket: str | None = None, box: tuple[float, ...] | None = None, radius: float = 800.0) -> list[str]:
+    """A build's files below ``out``: an archive for each layer, GeoJSON lines, the licences, what cross-matching finds, and the manifest last, so that a folder with one is whole.
+
+    layers: ord, name, geom_type, coordinates and properties (a map of strings), and for cross-matching id, lon, lat, shape and numbers. Archives and lines are written by tasks; the driver writes texts of
+    a few lines a source. bucket: the property by which a layer's folders are made.
+    """
+    where, root = store(out)
+    where.create_dir(root, recursive=True)
+    files = []
+    marks = []
+    for key, df in layers.items():
+        label = F.coalesce(F.nullif(F.trim(F.col("properties")[bucket]), F.lit("")), F.lit("(not recorded)")) if bucket else F.lit("(all)")
+        fields = F.transform(F.array_sort(F.map_entries("properties")), lambda e: F.struct(e.key.alias("label"), e.value.alias("value")))
+        drawn = packs.placemarks(df.withColumn("bucket", label), F.coalesce("name", F.lit("")), fields, F.lit("base"))
+        marks.append(drawn.select(F.lit(key).alias("doc"), "bucket", F.lit(0).alias("place"), "ord", "xml"))
+        packs.geojson_lines(df, F.col("properties")).write.text(f"{out}/geojson/{key}")
+        files.append(f"geojson/{key}")
+    if marks:
+        every = reduce(DataFrame.unionByName, marks)
+        folder = F.dense_rank().over(W.partitionBy("doc").orderBy("bucket"))
+        places = every.select("doc", "bucket").distinct().withColumn("place", folder)
+        same = (F.col("doc") == F.col("p_doc")) & (F.col("bucket") == F.col("p_bucket"))
+        placed = every.drop("place").join(places.select(F.col("doc").alias("p_doc"), F.col("bucket").alias("p_bucket"), "place"), same).select("doc", "bucket", "place", "ord", "xml")
+        write_archives(placed, f"{out}/packs")
+        files += [f"packs/{f.base_name}" for f in where.get_file_info(FileSelector(f"{root}/packs")) if f.base_name.endswith(".kmz")]
+
+    def put(name: str, text: str) -> None:
+        with where.open_output_stream(f"{root}/{name}") as f:
+            f.write(text.encode())
+        files.append(name)
+
+    licences = packs.attribution(as_table(spark, [r for r in rows if not r["error"]]).select("layer", "license"))
+    put("ATTRIBUTION.txt", "\n".join(f"{r.license}: {', '.join(r.layers)}{' (open database notice)' if r.odbl else ''}" for r in licences.collect()) + "\n")
+    by_layer = {r["layer"]: s | {"layer": r["layer"]} for r, s in ((r, s) for r in rows for s in specs if not r["error"] and s["id"] in (r["source"], r["recovered_from"]))}
+    for a, b, found in cross_match(list(by_layer.values()), layers, radius):
+        put(f"reconcile-{a['layer']}-{b['layer']}.md", report(cut(found, "matched")))
+    put("manifest.json", packs.manifest(rows, files, box))
+    return sorted(files)
