@@ -97,21 +97,26 @@ def key_histogram(df: DataFrame, tags: str, top: int = 40) -> DataFrame:
 def contained_sets(df: DataFrame, owner: str, item: str) -> DataFrame:
     """Owners whose items are a strict subset of another owner's, with the first such one.
 
-    Owners of equal sets are one set, named by the smallest of them. A superset has a set's rarest item, so sets meet on that one only, and pairs
-    are dropped in the join unless sizes and four words of hashed items allow a subset; items themselves are compared for what is left.
+    Owners of equal sets are one set, named by the smallest of them. A superset has a set's two rarest items, so sets meet on those two alone, and pairs
+    are dropped in the join unless sizes and four words of hashed items allow a subset; items themselves are compared for what is left. Of a superset only such pairs of items
+    are made as are the two rarest of some set, so a large set does not become all its pairs.
     """
     items = df.select(F.col(owner).alias("o"), F.col(item).alias("i")).where(F.col("i").isNotNull()).distinct()
     sets = items.groupBy("o").agg(F.array_sort(F.collect_list("i")).alias("s"))
     named = cut(sets.groupBy("s").agg(F.min("o").alias("id"), F.collect_list("o").alias("owners")))
     word = lambda k: f"aggregate(s, 0L, (a, i) -> IF(xxhash64(i) & 3 = {k}, a | shiftleft(1L, CAST(pmod(shiftright(xxhash64(i), 2), 64) AS INT)), a)) AS w{k}"
-    marked = named.selectExpr("id", "s", "size(s) AS n", *(word(k) for k in range(4)))
-    each = marked.select(F.explode("s").alias("i"), "id", "n", "w0", "w1", "w2", "w3")
+    marked = cut(named.selectExpr("id", "s", "size(s) AS n", *(word(k) for k in range(4))), "sets")
     often = items.groupBy("i").agg(F.count("*").alias("often"))
-    rare = each.join(often, "i").groupBy("id").agg(F.min_by("i", F.struct("often", "i")).alias("i"))
+    each = marked.select("id", F.explode("s").alias("i"))
+    ranked = each.join(often, "i").groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct("often", "i"))), 1, 2).alias("r"))
+    rare = cut(ranked.select("id", F.get("r", F.lit(0)).i.alias("i"), F.get("r", F.size("r") - 1).i.alias("j")), "rare")
     inner = marked.drop("s").join(rare, "id")
-    inner = inner.withColumnsRenamed({c: f"in_{c}" for c in inner.columns if c != "i"})
+    inner = inner.withColumnsRenamed({c: f"in_{c}" for c in inner.columns if c not in ("i", "j")})
+    asked = rare.select("i", "j").distinct().groupBy("i").agg(F.collect_set("j").alias("js"))
+    outer = marked.select("id", "n", "s", "w0", "w1", "w2", "w3", F.explode("s").alias("i")).join(asked, "i")
+    outer = outer.select("id", "n", "w0", "w1", "w2", "w3", "i", F.explode(F.array_intersect("s", "js")).alias("j"))
     may = F.expr("in_n < n AND " + " AND ".join(f"in_w{k} & ~w{k} = 0" for k in range(4)))
-    pairs = inner.join(each, "i").where(may).select("in_id", "id")
+    pairs = inner.join(outer, ["i", "j"]).where(may).select("in_id", "id")
     pairs = pairs.join(named.select(F.col("id").alias("in_id"), F.col("s").alias("in_s")), "in_id").join(named.select("id", "s"), "id")
     first = pairs.where("size(array_except(in_s, s)) = 0").groupBy("in_id").agg(F.min("id").alias("outer"))
     return named.select(F.col("id").alias("in_id"), F.explode("owners").alias("inner")).join(first, "in_id").select("inner", "outer")

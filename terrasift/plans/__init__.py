@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("flagship", "attributes", "builds", "geo", "packs", "profiles", "provenance", "shapes", "statepacks", "tables")
+MODULES = ("flagship", "attributes", "builds", "geo", "packs", "profiles", "provenance", "readers", "shapes", "statepacks", "tables")
 
 
 def load() -> None:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import os
 import re
 from collections.abc import Callable, Iterator
+from urllib.parse import unquote, urlsplit
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -179,9 +181,16 @@ def services(listing: DataFrame, pattern: str) -> DataFrame:
 
 
 def pack_files(spark: SparkSession, folder: str, part: str = "") -> DataFrame:
-    """KML and KMZ files below a folder, each real file once, filtered by name before any is opened: path, name, size, mtime."""
+    """KML and KMZ files below a folder, each real file once (links that lead to one file are one, by the first path), filtered by name before any is opened: path, name, size, mtime."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[kK][mM][lzLZ]").load(folder).select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
-    return rows.where(F.contains(F.lower("name"), F.lit(part.lower()))).dropDuplicates(["path"])
+    wanted = rows.where(F.contains(F.lower("name"), F.lit(part.lower())))
+
+    def real(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield f.assign(real=[os.path.realpath(unquote(urlsplit(p).path)) if p.startswith("file:") else p for p in f["path"]])
+
+    found = wanted.mapInPandas(real, "path string, name string, size long, mtime timestamp, real string")
+    return found.groupBy("real").agg(*(F.min_by(c, "path").alias(c) for c in ("path", "name", "size", "mtime"))).drop("real")
 
 
 def pack_contents(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""File sources as DataFrames. Text formats are Spark's own readers; containers (zip, xlsx, gpkg, kmz) are read whole, one file a row, on the executors."""
+"""File sources as DataFrames. Text formats are Spark's own readers; containers (zip, xlsx, gpkg, kmz) are read whole, one file a row, on the executors; rows of GeoPackages and shapefiles are decoded by many tasks."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -251,8 +252,11 @@ def read_gpkg_blob(blob: bytes | None) -> dict | None:
     return read_wkb(blob, 8 + envelope)[0]
 
 
-def gpkg_rows(data: bytes, layer: str | None = None) -> Iterator[dict]:
-    """Rows of the named feature table, or of the first. Only geographic coordinates (4326, 4269) are taken: no others are guessed at."""
+def gpkg_raw(data: bytes, layer: str | None = None, columns: list[str] | None = None, box: tuple[float, float, float, float] | None = None) -> Iterator[tuple[int, bytes | None, dict]]:
+    """Place, geometry as it is stored, and attributes of rows of the named feature table, or of the first. Only geographic coordinates (4326, 4269) are taken: no others are guessed at.
+
+    The database reads the columns that are wanted and, with a box, the rows that its spatial index finds; without an index all rows come.
+    """
     con = sqlite3.connect(":memory:")
     con.deserialize(data)
     con.row_factory = sqlite3.Row
@@ -262,18 +266,72 @@ def gpkg_rows(data: bytes, layer: str | None = None) -> Iterator[dict]:
         raise NotData(f"no layer {layer!r}")
     if pick["srs_id"] not in (4326, 4269, 0, -1):
         raise NotData(f"coordinates of EPSG:{pick['srs_id']} are not geographic")
-    name = pick["table_name"].replace('"', '""')
-    for i, row in enumerate(con.execute(f'SELECT * FROM "{name}"')):
-        g = read_gpkg_blob(row[pick["column_name"]])
-        yield {"ord": i, "geom_type": g and g["type"], "coordinates": g and json.dumps(g.get("coordinates", g.get("geometries"))), "properties": {k: None if row[k] is None else str(row[k]) for k in row.keys() if k != pick["column_name"]}}
+    quoted = lambda name: '"' + name.replace('"', '""') + '"'
+    table, geom = pick["table_name"], pick["column_name"]
+    names = [r["name"] for r in con.execute(f"PRAGMA table_info({quoted(table)})") if r["name"] != geom and (columns is None or r["name"] in columns)]
+    index = f"rtree_{table}_{geom}"
+    indexed = box and con.execute("SELECT count(*) FROM sqlite_master WHERE name = ?", (index,)).fetchone()[0]
+    where = f" WHERE rowid IN (SELECT id FROM {quoted(index)} WHERE minx <= ? AND maxx >= ? AND miny <= ? AND maxy >= ?)" if indexed else ""
+    rows = con.execute(f"SELECT rowid, {', '.join(map(quoted, [geom, *names]))} FROM {quoted(table)}{where} ORDER BY rowid", (box[2], box[0], box[3], box[1]) if indexed else ())
+    for i, (_, shape, *values) in enumerate(rows):
+        yield i, shape, {k: None if v is None else str(v) for k, v in zip(names, values, strict=True)}
     con.close()
 
 
 FEATURE = "path string, ord long, geom_type string, coordinates string, properties map<string,string>"
+_RAW = "path string, ord long, shape binary, record binary, head string"
+
+
+def _opened(contents: DataFrame, rows: Callable[[str, bytes], Iterator[tuple]]) -> DataFrame:
+    """Rows of containers (path, content) as they are stored, dealt to many tasks. Opening a container is one task's, which only cuts it into rows; what costs, decoding, comes after."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.string())
+        names = [c.split()[0] for c in _RAW.split(", ")]
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                part, held = [], 0
+                for row in rows(path, content.as_buffer().to_pybytes()):
+                    part.append((path, *row))
+                    held += len(row[1] or b"") + len(row[2] or b"")
+                    if len(part) == 5000 or held > 8 << 20:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part, strict=True), kinds, strict=True)], names)
+                        part, held = [], 0
+                if part:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part, strict=True), kinds, strict=True)], names)
+
+    return contents.select("path", "content").mapInArrow(run, _RAW).repartition(int(contents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _decoded(raw: DataFrame, one: Callable[[bytes | None, bytes, str], tuple | None]) -> DataFrame:
+    """Features of raw rows; ``one`` gives kind, coordinates and attributes, or None for a row that is not wanted."""
 
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for path, i, shape, record, head in f.itertuples(index=False):
+                got = one(shape, record, head)
+                if got is not None:
+                    out.append((path, i, got[0], None if got[1] is None else json.dumps(got[1]), got[2]))
+            yield pd.DataFrame(out, columns=["path", "ord", "geom_type", "coordinates", "properties"], dtype=object)
+
+    return raw.mapInPandas(run, FEATURE)
+
+
+def contents(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("path", "content")
 
-def gpkg(spark: SparkSession, path: str, layer: str | None = None) -> DataFrame:
-    return _per_file(spark, path, FEATURE, lambda p, b: ({"path": p, **r} for r in gpkg_rows(b, layer)))
+
+def gpkg(spark: SparkSession, path: str | DataFrame, layer: str | None = None, columns: list[str] | None = None, box: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """Features of GeoPackages at a path (or of a DataFrame of path and content): of the wanted columns, in the box of the index if one is given. Geometries are decoded by many tasks, also those of one file."""
+    of = path if isinstance(path, DataFrame) else contents(spark, path)
+    raw = _opened(of, lambda p, b: ((i, shape, json.dumps(values).encode(), "") for i, shape, values in gpkg_raw(b, layer, columns, box)))
+
+    def one(shape: bytes | None, record: bytes, head: str) -> tuple:
+        g = read_gpkg_blob(shape)
+        return (None, None, json.loads(record)) if g is None else (g["type"], g.get("coordinates", g.get("geometries")), json.loads(record))
+
+    return _decoded(raw, one)
 
 
 def prj_is_geographic(text: str | None) -> bool:
@@ -281,45 +339,67 @@ def prj_is_geographic(text: str | None) -> bool:
     return not text or not text.lstrip().upper().startswith("PROJCS")
 
 
-def shp_rows(data: bytes, keep: Callable[[dict], bool] | None = None) -> Iterator[dict]:
-    """A zipped shapefile; attributes are tested before the geometry is decoded."""
+def shp_raw(data: bytes) -> Iterator[tuple[int, bytes, bytes, str]]:
+    """Place, geometry's record, attributes' record and the attributes' layout of a zipped shapefile's rows, but for deleted ones. Both members are inflated as they are read."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         by = {n.rsplit(".", 1)[-1].lower(): n for n in z.namelist() if not n.startswith("__MACOSX")}
         if "shp" not in by or "dbf" not in by:
             raise NotData("no .shp and .dbf in the archive")
         if not prj_is_geographic(z.read(by["prj"]).decode("latin-1") if "prj" in by else None):
             raise NotData("projected coordinates are not read")
-        shp, dbf = z.read(by["shp"]), z.read(by["dbf"])
-    n, head, size = struct.unpack_from("<IHH", dbf, 4)
-    fields = [(dbf[o : o + 11].split(b"\0")[0].decode("latin-1"), dbf[o + 16]) for o in range(32, head - 1, 32) if dbf[o] != 13]
-    at = 100
-    for i in range(n):
-        row, o = {}, head + i * size + 1
-        for name, width in fields:
-            row[name] = dbf[o : o + width].decode("utf-8", "replace").strip()
-            o += width
-        (length,) = struct.unpack_from(">I", shp, at + 4)
-        body, at = at + 8, at + 8 + 2 * length
-        if dbf[head + i * size : head + i * size + 1] == b"*" or keep and not keep(row):
-            continue
-        (kind,) = struct.unpack_from("<I", shp, body)
-        g: tuple[str | None, object] = (None, None)
-        if kind in (1, 11, 21):
-            g = ("Point", list(struct.unpack_from("<2d", shp, body + 4)))
-        elif kind in (8, 18, 28):
-            (m,) = struct.unpack_from("<I", shp, body + 36)
-            g = ("MultiPoint", [list(struct.unpack_from("<2d", shp, body + 40 + 16 * k)) for k in range(m)])
-        elif kind in (3, 5, 13, 15, 23, 25):
-            parts, m = struct.unpack_from("<2I", shp, body + 36)
-            starts = [*struct.unpack_from(f"<{parts}I", shp, body + 44), m]
-            flat = struct.unpack_from(f"<{2 * m}d", shp, body + 44 + 4 * parts)
-            rings = [[list(flat[2 * k : 2 * k + 2]) for k in range(a, b)] for a, b in zip(starts, starts[1:], strict=False)]
-            g = rings_to_polygons(rings) if kind in (5, 15, 25) else ("LineString", rings[0]) if len(rings) == 1 else ("MultiLineString", rings)
-        yield {"ord": i, "geom_type": g[0], "coordinates": g[1] and json.dumps(g[1]), "properties": row}
-
-
-def shp(spark: SparkSession, path: str, keep: Callable[[dict], bool] | None = None) -> DataFrame:
-    return _per_file(spark, path, FEATURE, lambda p, b: ({"path": p, **r} for r in shp_rows(b, keep)))
+        with z.open(by["shp"]) as shp, z.open(by["dbf"]) as dbf:
+            start = dbf.read(32)
+            n, head, size = struct.unpack_from("<IHH", start, 4)
+            described = start + dbf.read(head - 32)
+            layout = json.dumps([(described[o : o + 11].split(b"\0")[0].decode("latin-1"), described[o + 16]) for o in range(32, head - 1, 32) if described[o] != 13])
+            shp.read(100)
+            for i in range(n):
+                record = dbf.read(size)
+                (length,) = struct.unpack_from(">I", shp.read(8), 4)
+                shape = shp.read(2 * length)
+                if record[:1] != b"*":
+                    yield i, shape, record, layout
+
+
+def dbf_row(record: bytes, layout: list[tuple[str, int]], names: frozenset[str] | None = None) -> dict[str, str]:
+    """The attributes of a record, or those of some names."""
+    row, o = {}, 1
+    for name, width in layout:
+        if names is None or name in names:
+            row[name] = record[o : o + width].decode("utf-8", "replace").strip()
+        o += width
+    return row
+
+
+def shp_geometry(shape: bytes) -> tuple[str | None, object]:
+    """A record's geometry as GeoJSON's type and coordinates."""
+    (kind,) = struct.unpack_from("<I", shape, 0)
+    if kind in (1, 11, 21):
+        return "Point", list(struct.unpack_from("<2d", shape, 4))
+    if kind in (8, 18, 28):
+        (m,) = struct.unpack_from("<I", shape, 36)
+        return "MultiPoint", [list(struct.unpack_from("<2d", shape, 40 + 16 * k)) for k in range(m)]
+    if kind in (3, 5, 13, 15, 23, 25):
+        parts, m = struct.unpack_from("<2I", shape, 36)
+        starts = [*struct.unpack_from(f"<{parts}I", shape, 44), m]
+        flat = struct.unpack_from(f"<{2 * m}d", shape, 44 + 4 * parts)
+        rings = [[list(flat[2 * k : 2 * k + 2]) for k in range(a, b)] for a, b in zip(starts, starts[1:], strict=False)]
+        return rings_to_polygons(rings) if kind in (5, 15, 25) else ("LineString", rings[0]) if len(rings) == 1 else ("MultiLineString", rings)
+    return None, None
+
+
+def shp(spark: SparkSession, path: str | DataFrame, keep: Callable[[dict], bool] | None = None, keep_by: tuple[str, ...] | None = None) -> DataFrame:
+    """Features of zipped shapefiles at a path (or of a DataFrame of path and content). keep is asked with the attributes of keep_by (all if none are named) before anything else of a row is decoded. Rows are decoded by many tasks, also those of one file."""
+    of = path if isinstance(path, DataFrame) else contents(spark, path)
+    first = None if keep_by is None else frozenset(keep_by)
+
+    def one(shape: bytes, record: bytes, head: str) -> tuple | None:
+        layout = json.loads(head)
+        if keep is not None and not keep(dbf_row(record, layout, first)):
+            return None
+        return (*shp_geometry(shape), dbf_row(record, layout))
+
+    return _decoded(_opened(of, lambda p, b: shp_raw(b)), one)
 
 
 def rings_to_polygons(rings: list[list]) -> tuple[str | None, object]:

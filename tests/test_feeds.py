@@ -42,6 +42,8 @@ def test_client_retries_and_cache(tmp_path):
     c, calls = client([Answer(503), Answer(429, headers={"retry-after": "7"}), OSError("down"), Answer(200, b"data")], clock, cache=str(tmp_path))
     assert c.get("http://h/a") == b"data" and clock.slept == [2.0, 7.0, 8.0] and len(calls) == 4
     assert c.get("http://h/a") == b"data" and len(calls) == 4
+    stale, again = client([Answer(200, b"newer")], clock, cache=str(tmp_path), fresh=0.0)
+    assert stale.get("http://h/a") == b"newer" and len(again) == 1 and c.get("http://h/a") == b"newer"
     c, calls = client([Answer(404)], clock)
     with pytest.raises(Refused):
         c.get("http://h/b")
@@ -163,6 +165,7 @@ def test_tables_and_packs(spark, tmp_path):
         z.writestr("x/doc.kml", kml)
     got = {r.path.rsplit("/", 1)[-1]: r for r in feeds.pack_contents(spark, str(tmp_path / "packs")).collect()}
     assert got["a.kml"].n_placemarks == 3 and got["a.kml"].names == ["aitkin"] == got["b.KMZ"].names and got["a.kml"].folders == ["F"] and got["a.kml"].provenance == ["source"] and got["bad.kmz"].error
+    (d / "link-a.kml").symlink_to(d / "a.kml")
     assert {r.name for r in feeds.pack_files(spark, str(tmp_path / "packs"), "A").collect()} == {"a.kml", "bad.kmz"}
     with pytest.raises(files.NotData):
         feeds.to_lonlat(F.lit(1.0), F.lit(2.0), "EPSG:26915")
