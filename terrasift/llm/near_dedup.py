@@ -3,7 +3,7 @@
 A text's set is that of its distinct word shingles (64-bit hashes of their words' hashes). Its signature is CHUNKS x WIDTH
 minhashes cut to SYMBOL bits. Two signatures within MOST differing places have, by the pigeonhole principle, a chunk with one
 error at most, so each signature is indexed once for each chunk and each place left out of it: all pairs under that
-distance share a key. At similarity 0.85 (0.8) a pair is beyond the distance with probability 2e-5 (1e-3).
+distance share a key. At similarity 0.85 (0.8) a pair is beyond the distance with probability 2e-5 (1e-3); near_groups(exact=True) finds those too.
 
 No group is expanded into its pairs:
 
@@ -263,10 +263,11 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", exact: bool = False) -> DataFrame:
     """Per row: id, n_shingles, component_id, kept; text_hash and first. Texts are linked if 100 * intersection >= percent * union.
 
     first: rows that stand for their component. They share one id and text, also where no row of a component has an id; those without words all stay.
+    exact: the prefix filter goes over all classes, not only those that share a key with another component, so that pairs beyond the signatures' distance are found too. All texts' shingles are shuffled for it.
     """
     rows, names = told_apart(cut(sketch(docs, shingle, id_col, text_col), "sketch"))
     near = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
@@ -294,7 +295,8 @@ def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: st
     labels = components(links)
     known = members.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
     mixed = known.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key")
-    known = cut(known.join(mixed, "key", "left_semi").select("node", "comp").distinct(), "mixed")
+    known = classes.join(labels, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")) if exact else known.join(mixed, "key", "left_semi").select("node", "comp").distinct()
+    known = cut(known, "mixed")
     sets = sets_of(known)
     early = cut(early_shingles(sets, percent), "early")
     for pairs_of in (centre_pairs, prefix_pairs):
@@ -314,9 +316,9 @@ def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: st
     return out.select(F.col("id").alias(id_col), "n_shingles", comp.alias("component_id"), F.col("id").eqNullSafe(comp).alias("kept"), "text_hash", is_first.alias("first"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", exact: bool = False) -> DataFrame:
     """Per row: id, n_shingles, component_id, kept."""
-    return near_groups(docs, shingle, percent, id_col, text_col).drop("text_hash", "first")
+    return near_groups(docs, shingle, percent, id_col, text_col, exact).drop("text_hash", "first")
 
 
 ORACLE = """

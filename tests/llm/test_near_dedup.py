@@ -52,6 +52,21 @@ def test_brute_force(spark):
         assert sorted(got, key=repr) == sorted(brute(rows, shingle, percent), key=repr)
 
 
+def test_exact_beyond_the_index(spark):
+    """Links far under the signatures' distance: the index alone loses some, the exact way none."""
+    rng = random.Random(11)
+    rows = [(i, " ".join(f"w{rng.randrange(5000)}" for _ in range(40))) for i in range(25)]
+    for i in range(25, 60):
+        w = rng.choice(rows[:25])[1].split()
+        for _ in range(5):
+            w[rng.randrange(len(w))] = f"x{i}y{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(brute(rows, 3, 35))
+    assert sorted(tuple(r) for r in near_duplicates(df, 3, 35, exact=True).collect()) == want
+    assert sorted(tuple(r) for r in near_duplicates(df, 3, 35).collect()) != want
+
+
 def test_against_sql(spark):
     got, want = frames(spark, registry.QUERIES["op3_near_dedup"], registry.ORACLE["op3_near_dedup"])
     assert got == want
