@@ -147,7 +147,7 @@ def test_osm(spark):
     one = O.union_tiles(e)
     assert {(r.type, r.id): (r.lat, r.place) for r in one.collect()}[("node", 1)] == (46.0, 0)
     f = O.features(one, "both").collect()
-    assert [(r.osm_type, r.shape, r.geom_type) for r in f if r.osm_id != 1] == [("relation", "marker", "Point"), ("relation", "shape", "Polygon"), ("way", "marker", "Point"), ("way", "shape", "Polygon")]
+    assert sorted((r.osm_type, r.shape, r.geom_type) for r in f if r.osm_id != 1) == [("relation", "marker", "Point"), ("relation", "shape", "Polygon"), ("way", "marker", "Point"), ("way", "shape", "Polygon")]
     p = {r.osm_id: (r.name, r.phone) for r in O.row_projection(O.features(one)).collect()}
     assert p == {1: ("later", None), 2: ("(unnamed)", "1"), 3: ("(unnamed)", None)}
 
