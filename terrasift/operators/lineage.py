@@ -36,6 +36,13 @@ def cut(df: DataFrame, name: str = "part") -> DataFrame:
     return out
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder for files that are not tables; it is removed as the tables of cut() are."""
+    path = f"{shared_dir(spark)}/terrasift/{name}-{uuid.uuid4().hex}"
+    _scratch.append((spark, path))
+    return path
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

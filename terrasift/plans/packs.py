@@ -1,12 +1,10 @@
 """Queries over packs' and counties' records (inventory and label operators)."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from terrasift.functions import labels as L
 from terrasift.operators import inventory as I
-from terrasift.operators.lineage import shared_dir
+from terrasift.operators.lineage import scratch_folder
 from terrasift.plans.geo import SQL_LAT, SQL_LON, places
 from terrasift.plans.registry import query, table
 from terrasift.sinks import packs as W
@@ -85,7 +83,7 @@ def map_packs(spark, sf_dir):
     shaped = rows.withColumn("geom_type", F.lit("Point")).withColumn("coordinates", F.to_json(F.array("lon", "lat")))
     fields = F.array(F.struct(F.lit("nation").alias("label"), F.col("n_name").alias("value")))
     marks = W.placemarks(shaped, F.concat("c_name", F.lit(" & co")), fields, F.lit("s"))
-    path = f"{shared_dir(spark)}/terrasift/map-packs-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "map-packs")
     write_archives(marks.select(F.col("c_mktsegment").alias("doc"), F.col("n_name").alias("bucket"), F.col("n_nationkey").alias("place"), F.col("id").alias("ord"), "xml"), path)
     back = files.kml(spark, path)
     return back.select(F.regexp_extract("path", r"([^/]+)\.kmz$", 1).alias("doc"), "ord", "folder", "name", F.round(F.col("lon") * 10000).cast("long").alias("lon4"), F.round(F.col("lat") * 10000).cast("long").alias("lat4"), F.col("fields")["nation"].alias("nation"))

@@ -3,13 +3,12 @@
 import io
 import sqlite3
 import struct
-import uuid
 import zipfile
 
 import pandas as pd
 from pyspark.sql import functions as F
 
-from terrasift.operators.lineage import shared_dir
+from terrasift.operators.lineage import scratch_folder
 from terrasift.plans.geo import SQL_LAT, SQL_LON, places
 from terrasift.plans.registry import query, table
 from terrasift.sources import files
@@ -19,7 +18,7 @@ from terrasift.sources import files
 def quoted_files(spark, sf_dir):
     """Whole documents, whose texts have line breaks, quotes and separators, as quoted files that are split within them."""
     d = table(spark, sf_dir, "documents").where("doc_id IS NOT NULL")
-    path = f"{shared_dir(spark)}/terrasift/quoted-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "quoted")
     text = F.regexp_replace(F.coalesce("text", F.lit("")), "\r\n?", "\n")
     rows = d.select("doc_id", F.concat(text, F.lit('",'), F.coalesce("lang", F.lit(""))).alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
     rows.write.option("header", True).option("quoteAll", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
