@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasift.llm.common import SPACES, cut, table
+from terrasift.llm.common import SPACES, cut, release, table
 from terrasift.llm.decl import query
 
 #: States of the weighted automaton, costs of edits, and rows in a block.
@@ -153,7 +153,9 @@ def _kinds(rows: DataFrame) -> DataFrame:
     initial = F.substring("role", 1, 1)
     number = F.when(initial == "s", 1).when(initial == "u", 2).when(initial == "a", 3).otherwise(0)
     joined = counted.join(first, same).withColumn("seen", seen)
-    return cut(joined.select("conv", "turn", "role", "h", "n", "blank", "seen", (fate * 4 + number).cast("int").alias("kind")), "kinds")
+    out = cut(joined.select("conv", "turn", "role", "h", "n", "blank", "seen", (fate * 4 + number).cast("int").alias("kind")), "kinds")
+    release(counted)
+    return out
 
 
 def _blocks(rows: DataFrame, partitions: int, block: int) -> DataFrame:
@@ -204,7 +206,6 @@ def _blocks(rows: DataFrame, partitions: int, block: int) -> DataFrame:
 
 def _ends(blocks: DataFrame) -> DataFrame:
     """For each block of a conversation in several: the deterministic state at its right end, the state its trace begins in, whether it is first or last, and whether its first row's role may not follow the block before."""
-    conv = blocks.schema["conv"].dataType.simpleString()
     schema = "piece int, part long, right_state int, q int, is_first boolean, is_last boolean, clash boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,7 +237,6 @@ def _ends(blocks: DataFrame) -> DataFrame:
     tail = F.conv(F.hex(F.substring("kinds", -1, 1)), 16, 10).cast("int") % 4
     head = F.conv(F.hex(F.substring("kinds", 1, 1)), 16, 10).cast("int") % 4
     cut_up = blocks.where(~F.col("whole")).select("conv", "piece", "part", "lefts", "ends", head.alias("head"), tail.alias("tail"))
-    del conv
     order = [F.col("conv").asc_nulls_first(), "piece", "part"]
     return cut_up.repartition("conv").sortWithinPartitions(*order).mapInArrow(run, schema)
 
@@ -275,7 +275,9 @@ def _edits(blocks: DataFrame) -> DataFrame:
     ends = _ends(blocks)
     found = blocks.join(ends, ["piece", "part"], "left")
     filled = [F.coalesce(c, F.lit(v)) for c, v in (("right_state", END), ("q", START), ("is_first", True), ("is_last", True), ("clash", False))]
-    return cut(found.select("conv", "piece", "part", "kinds", "counts", "turns", "roles", "hashes", *filled).mapInArrow(run, schema), "edits")
+    out = cut(found.select("conv", "piece", "part", "kinds", "counts", "turns", "roles", "hashes", *filled).mapInArrow(run, schema), "edits")
+    release(blocks)
+    return out
 
 
 def repair(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", block: int = BLOCK) -> tuple[DataFrame, DataFrame]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasift.operators.lineage import cut, drop_scratch, release, shared_dir  # noqa: F401
+from terrasift.operators.lineage import cut, drop_scratch, release, scratch_folder, shared_dir  # noqa: F401
 
 #: Characters that separate words in every contract of this package: space and tab to carriage return.
 SPACES = " \t\n\x0b\f\r"

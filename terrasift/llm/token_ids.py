@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasift.llm.common import cut, shared_dir, table
+from terrasift.llm.common import cut, release, scratch_folder, table
 from terrasift.llm.decl import query
 from terrasift.llm.token_counts import _drops_space, slices
 
@@ -311,6 +311,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json",
     keys = [F.col("id").asc_nulls_first(), "n", "crc", "row"]
     dealt = frames.repartitionByRange(int(n), *keys).sortWithinPartitions(*keys).select("id", "n", "frame")
     _files(dealt, path, width, digest).write.parquet(f"{path}/manifest")
+    release(frames)
     return manifest(spark, path)
 
 
@@ -426,6 +427,6 @@ def fetch_ids(spark: SparkSession, path: str, wanted: DataFrame, id_col: str = "
 
 @query("op11_token_ids")
 def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/terrasift/ids-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "ids")
     write_ids(table(spark, sf_dir, "documents"), path)
     return read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
