@@ -1,7 +1,8 @@
 """Elements of OpenStreetMap extracts in the PBF format.
 
 A file is a row of blobs. The driver reads their headers only; each task decodes blobs, a few megabytes each, from their places in the file. Places of ways and
-of relations' members are joined to them afterwards, as nodes may stand in any blob.
+of relations' members are joined to them afterwards, as nodes may stand in any blob. ``extract`` first asks each blob what it holds (kinds, ranges of ids, whether nodes have tags), which builds no rows, and
+then decodes ways and relations, and of the nodes' blobs those alone that a wanted id falls into or whose nodes have tags.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrasift.operators.lineage import cut
+
 RAW = "type string, id long, lat double, lon double, tags map<string,string>, refs array<long>, members array<struct<type:string,ref:long,role:string>>"
 _ARROW = pa.schema(
     [("type", pa.string()), ("id", pa.int64()), ("lat", pa.float64()), ("lon", pa.float64()), ("tags", pa.map_(pa.string(), pa.string())), ("refs", pa.list_(pa.int64()))]
@@ -131,12 +134,74 @@ def block_rows(data: bytes) -> Iterator[tuple]:
                 yield "relation", whole(m[1]), None, None, tags(m), None, members
 
 
-def raw_elements(spark: SparkSession, path: str) -> DataFrame:
-    """RAW's columns, a row an element, in no order. Its path must be readable by every worker."""
+def block_holds(data: bytes) -> Iterator[tuple[str, int, int, int, int]]:
+    """What a block has of each kind: kind, how many, least and greatest id, how many have tags (for ways and relations all count)."""
+    seen: dict[str, list[np.ndarray]] = {}
+    tagged = dict.fromkeys(KINDS, 0)
+    for k, group in fields(data):
+        for kind, body in fields(group) if k == 2 else ():
+            if kind == 2:
+                m = dict(fields(body))
+                ids = np.cumsum(signed(varints(m.get(1, b""))))
+                # Tags of dense nodes are pairs of numbers with a 0 after each node's: what there is besides the zeros are pairs.
+                tagged["node"] += int((varints(m.get(10, b"")) > 0).any())
+                seen.setdefault("node", []).append(ids)
+            elif kind in (1, 3, 4):
+                m = dict(fields(body))
+                own = int(signed(np.array([m.get(1, 0)], np.uint64))[0]) if kind == 1 else m[1] - (1 << 64) if m[1] >> 63 else m[1]
+                name = "node" if kind == 1 else KINDS[kind - 2]
+                tagged[name] += kind > 1 or 2 in m
+                seen.setdefault(name, []).append(np.array([own]))
+    for name, ids in seen.items():
+        every = np.concatenate(ids)
+        if len(every):
+            yield name, len(every), int(every.min()), int(every.max()), tagged[name]
+
+
+def _opened(path: str):
+    where, name = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
+    return where.open_input_file(name)
+
+
+def statistics(spark: SparkSession, path: str) -> DataFrame:
+    """at, size, kind, n, least, most, tagged: what each blob holds of each kind. Blobs are unpacked for it, but no element is built."""
+    schema = "at long, size long, kind string, n long, least long, most long, tagged long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with _opened(path) as f:
+            for batch in batches:
+                for at, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    f.seek(at)
+                    rows = [(at, size, *held) for held in block_holds(unpacked(f.read(size)))]
+                    if rows:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if i == 2 else pa.int64()) for i, c in enumerate(zip(*rows, strict=True))], [c.split()[0] for c in schema.split(", ")])
+
+    found = blobs(path)
+    return spark.createDataFrame(found, "at long, size long").repartition(max(1, min(len(found), 10_000)), "at").mapInArrow(run, schema)
+
+
+def wanted_blobs(nodes: list[tuple[int, int, int, int]], refs: DataFrame) -> list[tuple[int, int]]:
+    """at and size of the nodes' blobs (at, size, least, most) that an id of refs falls into. Ranges that overlap, as in files that are not in order, are told apart by nothing, so all of them count; refs are told by
+    the intervals between the ranges' ends, of which there are as many as blobs."""
+    ends = np.unique(np.array([x for _, _, lo, hi in nodes for x in (lo, hi + 1)], np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where, name = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
-        with where.open_input_file(name) as f:
+        hit: set[int] = set()
+        for batch in batches:
+            hit.update(np.unique(np.searchsorted(ends, batch.column(0).to_numpy(), "right")).tolist())
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(hit), pa.int64())], ["slot"])
+
+    slots = np.array(sorted(r.slot for r in refs.select("ref").where("ref IS NOT NULL").mapInArrow(run, "slot long").distinct().collect()), np.int64)
+    first, last = (np.searchsorted(ends, [v[k] for v in nodes], "right") for k in (2, 3))
+    some = np.searchsorted(slots, first, "left") < np.searchsorted(slots, last, "right")
+    return [(at, size) for (at, size, _, _), yes in zip(nodes, some, strict=True) if yes]
+
+
+def raw_elements(spark: SparkSession, path: str, places: list[tuple[int, int]] | None = None) -> DataFrame:
+    """RAW's columns, a row an element, in no order, of all blobs or those at some places (at, size). Its path must be readable by every worker."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with _opened(path) as f:
             for batch in batches:
                 for at, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     f.seek(at)
@@ -144,9 +209,35 @@ def raw_elements(spark: SparkSession, path: str) -> DataFrame:
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _ARROW.types, strict=True)], schema=_ARROW)
 
-    found = blobs(path)
-    places = spark.createDataFrame(found, "at long, size long").repartition(max(1, min(len(found), 10_000)), "at")
-    return places.mapInArrow(run, RAW)
+    found = blobs(path) if places is None else places
+    rows = spark.createDataFrame(found, "at long, size long").repartition(max(1, min(len(found), 10_000)), "at")
+    return rows.mapInArrow(run, RAW)
+
+
+def extract(spark: SparkSession, path: str, wanted: Column, nodes_too: bool = True, box: tuple[float, float, float, float] | None = None) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """The elements whose tags are wanted, and the places of the blobs that were decoded for them. nodes_too: nodes with tags are asked for as well. box: only elements with a place in it.
+
+    Nodes without tags are no elements of their own, whatever wanted says.
+    """
+    held = cut(statistics(spark, path), "blobs").collect()
+    rest = sorted({(r.at, r.size) for r in held if r.kind != "node"})
+    ways = cut(raw_elements(spark, path, rest).where("type <> 'node'"), "ways")
+    chosen = ways.where(wanted)
+    members = chosen.where("type = 'relation'").select(F.explode("members").alias("m")).where("m.type = 'way'").select(F.col("m.ref").alias("id")).distinct()
+    used = ways.where("type = 'way'").join(members, "id", "left_semi").select("refs").unionByName(chosen.where("type = 'way'").select("refs"))
+    refs = cut(used.select(F.explode("refs").alias("ref")).distinct(), "refs")
+    nodes = [(r.at, r.size, r.least, r.most) for r in held if r.kind == "node"]
+    places = set(wanted_blobs(nodes, refs)) | {(r.at, r.size) for r in held if r.kind == "node" and r.tagged and nodes_too}
+    node = raw_elements(spark, path, sorted(places)).where("type = 'node'")
+    node = cut(node.join(refs.withColumnRenamed("ref", "id").withColumn("used", F.lit(True)), "id", "left").where(F.col("used") | (F.size(F.map_keys("tags")) > 0)).drop("used"), "nodes")
+    own = wanted & ((F.col("type") != "node") | (F.lit(nodes_too) & (F.size(F.map_keys("tags")) > 0)))
+    found = elements(ways.unionByName(node.select(ways.columns)), own)
+    if box is not None:
+        within = lambda p: p.lon.between(box[0], box[2]) & p.lat.between(box[1], box[3])
+        some = lambda c: F.coalesce(F.exists(c, lambda p: F.coalesce(within(p), F.lit(False))), F.lit(False))
+        here = F.col("lon").between(box[0], box[2]) & F.col("lat").between(box[1], box[3])
+        found = found.where(F.coalesce(here, F.lit(False)) | some(F.col("geometry")) | F.coalesce(F.exists("members", lambda m: some(m.geometry)), F.lit(False)))
+    return found, sorted({*rest, *places})
 
 
 def elements(raw: DataFrame, wanted: Column) -> DataFrame:

@@ -73,6 +73,31 @@ def test_extract(spark, extract):
     assert osm.features(pbf.elements(raw, F.lit(False))).collect() == []
 
 
+def test_blobs_that_are_not_needed_are_not_decoded(spark, tmp_path):
+    """Ten blobs of nodes, of which ways use two and one has a tag; the result is that of reading everything."""
+    texts = [b"", b"name", b"x", b"highway", b"track"]
+    data = blob(b"OSMHeader", b"")
+    for k in range(10):
+        ids = range(100 * k, 100 * k + 50)
+        tags = [v for i in ids for v in ((1, 2, 0) if i == 707 else (0,))]
+        dense = field(1, deltas(list(ids))) + field(8, deltas([int((45 + i / 1000) * 1e7) for i in ids])) + field(9, deltas([int((-93 + i / 1000) * 1e7) for i in ids])) + field(10, packed(tags))
+        data += blob(b"OSMData", block(texts, field(2, dense)))
+    ways = b"".join(field(3, field(1, i) + field(2, packed([3])) + field(3, packed([4])) + field(8, deltas(r))) for i, r in ((1, [201, 202, 249]), (2, [405, 249]), (3, [460, 470])))
+    data += blob(b"OSMData", block(texts, ways))
+    path = tmp_path / "n.osm.pbf"
+    path.write_bytes(data)
+    places = pbf.blobs(str(path))
+    wanted = F.size(F.map_keys("tags")) > 0
+    found, read = pbf.extract(spark, str(path), wanted)
+    assert read == [places[2], places[4], places[7], places[10]]
+    key = lambda df: sorted((r.type, r.id, r.lat, r.lon, r.geometry) for r in df.collect())
+    assert key(found) == key(pbf.elements(pbf.raw_elements(spark, str(path)), wanted)) and found.count() == 4
+    ways, read = pbf.extract(spark, str(path), wanted, nodes_too=False, box=(-92.6, 45.4, -92.5, 45.5))
+    assert [(r.type, r.id) for r in ways.collect()] == [("way", 2)] and places[7] not in read
+    held = {(r.kind, r.least, r.most): (r.n, r.tagged) for r in pbf.statistics(spark, str(path)).collect()}
+    assert held["way", 1, 3] == (3, 3) and held["node", 700, 749] == (50, 1) and held["node", 0, 49] == (50, 0)
+
+
 def test_unknown_packing(tmp_path):
     with pytest.raises(ValueError):
         pbf.unpacked(blob(b"OSMData", b"x", "lzma")[4 + len(field(1, b"OSMData") + field(3, len(field(2, 1) + field(4, zlib.compress(b"x"))))) :])
