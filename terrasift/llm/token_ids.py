@@ -25,6 +25,7 @@ import functools
 import hashlib
 import itertools
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -44,7 +45,7 @@ from terrasift.llm.token_counts import _drops_space, slices
 MAGIC = b"TSIDS\x00\x01\n"
 HEAD, FOOT = "<8sB23x32s", "<QQQII8s"
 #: Bytes of text in a task's hands at once, units in a worker's memo, bytes of ids returned in a batch.
-SLICE_BYTES, MEMO, BATCH_BYTES = 4 << 20, 400_000, 8 << 20
+SLICE_BYTES, MEMO, BATCH_BYTES = 4 << 20, 500_000, 8 << 20
 #: The dictionary's size, how many texts it is trained on, and their greatest length in code points.
 DICTIONARY, SAMPLE, SAMPLE_CHARS = 64 << 10, 2000, 8192
 #: Bytes of frames in a file, and in the smallest file that is made so that all cores have work.
@@ -52,6 +53,8 @@ FILE_BYTES, LEAST_FILE = 256 << 20, 4 << 20
 LEVEL = 3
 #: Punctuation that a pre-tokenizer parts from the letters before it, and that composes with nothing.
 _TAIL = ".,!?;:"
+#: What a pre-tokenizer of words makes of ASCII words in lower case: letters together, each digit, marks together.
+_RUNS = re.compile("[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 def _store(path: str):
@@ -117,7 +120,7 @@ class Encoder:
     """Serialised ids of whole texts, the end id after each, as one array with the places where texts begin.
 
     A tokenizer that drops white space gives a text the ids of its words one after another. So a slice's distinct words are encoded, each once, and the ids
-    are gathered by word. Punctuation after letters is a unit of its own. Units of letters alone are encoded together, told apart by the model's mark of a word's
+    are gathered by word. Punctuation after letters is a unit of its own, and ASCII words of letters, digits and marks are taken apart. Units of letters alone are encoded together, told apart by the model's mark of a word's
     end; if there are not as many marks as units (some letters turn into others and marks), each unit is encoded by itself. Other tokenizers encode whole texts.
     """
 
@@ -171,8 +174,19 @@ class Encoder:
         plain = pc.string_is_ascii(core)
         # After NFC and in lower case the core must still be letters, else a mark at its end would stay with the tail.
         letters = pc.and_(pc.utf8_is_alpha(core), pc.or_(plain, pc.utf8_is_alpha(pc.utf8_lower(pc.utf8_normalize(core, "NFC")))))
-        head = pc.if_else(letters, pc.if_else(plain, pc.ascii_lower(core), core), words).dictionary_encode()
-        heads = self.memo.numbers(head.dictionary.to_pylist(), self._units)
+        # ASCII words of letters, digits and marks are what runs of each give, but for contractions and special tokens.
+        odd = pc.or_(pc.match_substring(words, "'"), pc.match_substring(words, "<|"))
+        runs = np.flatnonzero(pc.and_not(pc.and_not(pc.string_is_ascii(words), letters), odd).to_numpy(zero_copy_only=False))
+        pieces = [_RUNS.findall(w.lower()) for w in words.take(pa.array(runs)).to_pylist()]
+        whole = pc.if_else(letters, pc.if_else(plain, pc.ascii_lower(core), core), words)
+        if len(runs):
+            whole = pc.replace_with_mask(whole, pa.array(np.isin(np.arange(len(words)), runs)), pa.scalar("", whole.type))
+        head = whole.dictionary_encode()
+        units = head.dictionary.to_pylist()
+        known = set(units)
+        units += [x for x in dict.fromkeys(itertools.chain.from_iterable(pieces)) if x not in known]
+        numbers = self.memo.numbers(units, self._units)
+        heads = numbers[: len(head.dictionary)]
         # Units: what the memo has, then the slice's tails, nothing, and the end id.
         tailed = np.flatnonzero(pc.and_(letters, pc.not_equal(pc.binary_length(core), pc.binary_length(words))).to_numpy(zero_copy_only=False))
         ends = [w[len(w.rstrip(_TAIL)) :] for w in words.take(pa.array(tailed)).to_pylist()]
@@ -183,12 +197,21 @@ class Encoder:
         first = np.concatenate([self.memo.first, m + np.cumsum(size) - size, [0, m + len(more)]])
         sizes = np.concatenate([self.memo.size, size, [0, 1]])
         place = {x: n + i for i, x in enumerate(distinct)}
-        pair = np.full((len(words) + 1, 2), n + len(distinct), np.int64)
-        pair[:-1, 0] = heads[head.indices.to_numpy()]
-        pair[tailed, 1] = [place[x] for x in ends]
-        pair[-1, 0] = n + len(distinct) + 1
-        flat, bounds = _gather(flat, first, sizes, pair.ravel())
-        bounds = bounds[::2]
+        count = np.ones(len(words) + 1, np.int64)
+        count[tailed], count[runs] = 2, [len(p) for p in pieces]
+        begin = np.concatenate([[0], np.cumsum(count)])
+        order = np.empty(begin[-1], np.int64)
+        own = np.ones(len(words), bool)
+        own[runs] = False
+        order[begin[:-2][own]] = heads[head.indices.to_numpy()[own]]
+        order[begin[tailed] + 1] = [place[x] for x in ends]
+        if len(runs):
+            of = dict(zip(units, numbers.tolist(), strict=True))
+            sizes_of = count[runs]
+            order[np.repeat(begin[runs] - (np.cumsum(sizes_of) - sizes_of), sizes_of) + np.arange(sizes_of.sum())] = [of[x] for p in pieces for x in p]
+        order[begin[-2]] = n + len(distinct) + 1
+        flat, bounds = _gather(flat, first, sizes, order)
+        bounds = bounds[begin]
         closed = at[1:] - at[0]
         which = np.insert(coded.indices.to_numpy(), closed, len(words))
         out, starts = _gather(flat, bounds[:-1], np.diff(bounds), which)

@@ -5,6 +5,8 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Row
 from test_token_counts import TEXTS
 from tokenizers import Tokenizer
@@ -14,6 +16,7 @@ from terrasift.llm.registry import QUERIES
 from terrasift.llm.token_ids import Encoder, Reader, fetch_ids, manifest, read_ids, write_ids
 
 SF = "/root/testdata/sf0.001"
+ENCODER = Encoder("word_bpe_49k.json", 1)
 ODD = [*TEXTS, "İstanbul İ. word", "J̌ ǰ K Å", "it's. It'S x;:. ...", "<|ENDOFTEXT|> <|endoftext|>. a<|startoftext|>,", "Hello, HELLO! hello", "日本語 テスト。 ßß ﬁ"]
 
 
@@ -99,6 +102,16 @@ def test_files_that_the_manifest_does_not_name_are_ignored(spark, tmp_path):
     assert read_ids(spark, str(tmp_path)).count() == 2
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("abAB09.,-'<|>_@#é\u0301İ \n\x1c"), max_size=30), max_size=6))
+def test_random_texts(texts):
+    import pyarrow as pa
+
+    ids, at = ENCODER.serial(pa.array(texts, pa.string()))
+    want = [[*library("word_bpe_49k.json", t), 1] for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == want
+
+
 def test_empty_table_and_memo(spark, tmp_path, monkeypatch):
     write_ids(spark.createDataFrame([], "doc_id long, text string"), str(tmp_path))
     assert read_ids(spark, str(tmp_path)).collect() == []
