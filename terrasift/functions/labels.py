@@ -1,4 +1,4 @@
-"""Names, popups and labels of features and counties."""
+"""Names, popups and labels of features and counties."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Feeds as DataFrames: files by their format, census shapes and tables, plants, contacts, seats, packs."""
+"""Feeds as DataFrames: files by their format, census shapes and tables, plants, contacts, seats, packs."""
 
 from __future__ import annotations
 
