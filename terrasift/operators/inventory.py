@@ -62,17 +62,25 @@ def legacy_of(files: DataFrame, families: DataFrame, least: int = 3) -> DataFram
 
 
 def widening(records: DataFrame, hints: DataFrame, group: str = "geoid", name: str = "name") -> DataFrame:
-    """For each hint, in how many groups some record's name has it as words, of whatever length: names meet hints on the hints' first words by equality, then the whole hint is looked for. Hints without a word are in none."""
+    """For each hint, in how many groups some record's name has it as words, of whatever length. Hints without a word are in none.
+
+    Hints of up to HEAD_WORDS words are runs of a name's words, met by equality, each run once a group. Longer ones meet names on the hints' first words, then the whole hint is looked for.
+    Neither side is broadcast: names grow into all their runs, which Spark's estimate of their size does not know.
+    """
     from terrasift.operators.rows import _grams
 
     cut = lambda c: F.filter(F.split(F.lower(c), "[^a-z0-9']+"), lambda w: w != "")
-    runs = F.array_distinct(F.concat(*(_grams(F.col("words"), n) for n in range(1, HEAD_WORDS + 1))))
-    each = records.select(group, cut(F.col(name)).alias("words")).distinct()
-    each = each.select(group, F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")).alias("whole"), F.explode(runs).alias("head"))
-    asked = hints.select("hint").distinct().withColumn("own", F.array_join(cut(F.col("hint")), " "))
-    asked = asked.withColumn("head", F.substring_index("own", " ", HEAD_WORDS))
-    found = asked.where("own <> ''").join(each, "head").where(F.contains("whole", F.concat(F.lit(" "), F.col("own"), F.lit(" "))))
-    return hints.select("hint").distinct().join(found.groupBy("hint").agg(F.count_distinct(group).alias("groups")), "hint", "left").select("hint", F.coalesce("groups", F.lit(0)).alias("groups"))
+    spaced = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
+    each = records.select(group, cut(F.col(name)).alias("words")).where("size(words) > 0").distinct()
+    runs = each.select(group, F.explode(F.concat(*(_grams(F.col("words"), n) for n in range(1, HEAD_WORDS + 1)))).alias("run")).distinct()
+    heads = each.where(F.size("words") > HEAD_WORDS).select(group, spaced(F.array_join("words", " ")).alias("whole"), F.explode(F.array_distinct(_grams(F.col("words"), HEAD_WORDS))).alias("run"))
+    asked = hints.select("hint").distinct().withColumn("own", cut(F.col("hint"))).where("size(own) > 0")
+    asked = asked.select("hint", F.size("own").alias("n"), F.array_join("own", " ").alias("own"), F.array_join(F.slice("own", 1, HEAD_WORDS), " ").alias("run"))
+    short = asked.where(F.col("n") <= HEAD_WORDS).join(runs.hint("merge"), "run")
+    long = asked.where(F.col("n") > HEAD_WORDS).join(heads.hint("merge"), "run").where(F.contains("whole", spaced(F.col("own"))))
+    found = short.select("hint", group).unionByName(long.select("hint", group))
+    none = hints.select("hint", F.lit(None).cast(records.schema[group].dataType).alias(group))
+    return none.unionByName(found).groupBy("hint").agg(F.count_distinct(group).alias("groups"))
 
 
 def two_way_missing(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
