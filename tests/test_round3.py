@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import functions as F
+
 from terrasift.operators import inventory as I
+from terrasift.operators import spatial as S
 
 
 def test_names_and_hints_meet_without_broadcast(spark, tmp_path):
@@ -18,3 +21,17 @@ def test_names_and_hints_meet_without_broadcast(spark, tmp_path):
     assert {r.hint: r.groups for r in got.collect()} == want
     assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
     assert got.count() == len(hints)
+
+
+def test_segments_of_one_cell_are_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(S, "CHUNK", 16)
+    monkeypatch.setattr(S, "TASK_PAIRS", 400)
+    n = 120
+    a = spark.range(n).select("id", *(F.expr(e).alias(c) for c, e in (("x1", "0.1D"), ("y1", "0.1D + id / 1000"), ("x2", "0.9D"), ("y2", "0.1D + id / 1000"))))
+    b = spark.range(n).select((F.col("id") + 500).alias("id"), *(F.expr(e).alias(c) for c, e in (("x1", "0.2D + id / 1000"), ("y1", "0.0D"), ("x2", "0.2D + id / 1000"), ("y2", "0.5D"))))
+    b = b.unionByName(b.where("id = 503")).unionByName(spark.createDataFrame([(900, -0.5, 0.1, 2.5, 0.1), (901, 0.5, 3.0, 0.5, 4.0)], b.schema))
+    got = S.crossing_segments(a, b, 1.0).withColumn("task", F.spark_partition_id())
+    assert max(r["count"] for r in got.groupBy("task").count().collect()) < n * n / 8
+    rows = sorted((r.a_id, r.b_id) for r in got.collect())
+    # A row that stands twice is met twice, a segment over many cells once.
+    assert rows == sorted([(i, j) for i in range(n) for j in [*range(500, 500 + n), 503]] + [(0, 900)])
