@@ -11,6 +11,7 @@ import struct
 import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Callable, Iterator
+from typing import IO
 
 import pandas as pd
 import pyarrow as pa
@@ -433,44 +434,105 @@ def esri_geometry(g: dict | None) -> tuple[str | None, object]:
     return rings_to_polygons(g.get("rings") or [])
 
 
-def kml_text(data: bytes) -> bytes:
-    """The document of a KML file, or of an archive: its doc.kml, else its first one."""
+def kml_stream(data: bytes) -> IO[bytes]:
+    """The document of a KML file, or of an archive: its doc.kml, else its first one; inflated as it is read."""
     if data[:2] != b"PK":
-        return data
-    with zipfile.ZipFile(io.BytesIO(data)) as z:
-        found = sorted((n for n in z.namelist() if n.lower().endswith(".kml")), key=lambda n: (n.lower().rpartition("/")[2] != "doc.kml", n.count("/"), n))
-        if not found:
-            raise LookupError("no document in the archive")
-        return z.read(found[0])
+        return io.BytesIO(data)
+    z = zipfile.ZipFile(io.BytesIO(data))
+    found = sorted((n for n in z.namelist() if n.lower().endswith(".kml")), key=lambda n: (n.lower().rpartition("/")[2] != "doc.kml", n.count("/"), n))
+    if not found:
+        raise LookupError("no document in the archive")
+    return z.open(found[0])
+
+
+def kml_text(data: bytes) -> bytes:
+    """That document, whole."""
+    with kml_stream(data) as f:
+        return f.read()
+
+
+def _local(tag: str) -> str:
+    return tag.rpartition("}")[2]
+
+
+class _Folders:
+    """Names of a document's folders in the order of their beginnings, null for those without; what is in placemarks is passed over. No element is kept."""
+
+    def __init__(self) -> None:
+        self.names: list[str | None] = []
+        self.stack: list[int | None] = []
+        self.within, self.reading = 0, None
+
+    def start(self, tag: str, attrib: dict) -> None:
+        self.reading, kind = None, _local(tag)
+        if self.within or kind == "Placemark":
+            self.within += 1
+            return
+        above = self.stack[-1] if self.stack else None
+        if kind == "Folder":
+            self.names.append(None)
+        elif kind == "name" and above is not None and self.names[above] is None:
+            self.names[above], self.reading = "", above
+        self.stack.append(len(self.names) - 1 if kind == "Folder" else None)
+
+    def data(self, text: str) -> None:
+        if self.reading is not None:
+            self.names[self.reading] += text
+
+    def end(self, tag: str) -> None:
+        self.reading = None
+        if self.within:
+            self.within -= 1
+        else:
+            self.stack.pop()
+
+    def close(self) -> list[str | None]:
+        return [None if n is None else n.strip() for n in self.names]
 
 
 def kml_rows(path: str, data: bytes) -> Iterator[dict]:
-    """Placemarks with name, first coordinates, all data fields and folder; a bad file is one row with its error."""
+    """Placemarks with name, first coordinates, all data fields and folder; a bad file is one row with its error.
+
+    The document is read twice, a block at a time: first whether it is whole and what its folders are called, then its placemarks, of which one is held at once.
+    """
     try:
-        root = ET.fromstring(kml_text(data))
+        check = ET.XMLParser(target=_Folders())
+        with kml_stream(data) as f:
+            while block := f.read(1 << 16):
+                check.feed(block)
+        names = iter(check.close())
     except (ET.ParseError, zipfile.BadZipFile, LookupError, OSError, RuntimeError) as e:
         yield {"path": path, "ord": 0, "error": str(e) or type(e).__name__}
         return
-    local = lambda e: e.tag.rpartition("}")[2]
-    text = lambda e, tag: next(((x.text or "").strip() for x in e if local(x) == tag), None)
-    found, stack = 0, [(root, None)]
-    while stack:
-        e, folder = stack.pop()
-        if local(e) == "Folder":
-            folder = text(e, "name")
-        if local(e) != "Placemark":
-            stack += [(x, folder) for x in reversed(list(e))]
-            continue
-        fields = {}
-        for x in e.iter():
-            if local(x) == "Data":
-                fields[x.get("name", "")] = text(x, "value") or ""
-            elif local(x) == "SimpleData":
-                fields[x.get("name", "")] = (x.text or "").strip()
-        where = next((x.text.split() for x in e.iter() if local(x) == "coordinates" and x.text and x.text.strip()), None)
-        lon, lat = (float(v) for v in where[0].split(",")[:2]) if where else (None, None)
-        yield {"path": path, "ord": found, "name": text(e, "name"), "folder": folder, "lon": lon, "lat": lat, "fields": fields}
-        found += 1
+    text = lambda e, tag: next(((x.text or "").strip() for x in e if _local(x.tag) == tag), None)
+    found, within, above = 0, 0, []
+    with kml_stream(data) as f:
+        for event, e in ET.iterparse(f, ("start", "end")):
+            kind = _local(e.tag)
+            if event == "start":
+                if within or kind == "Placemark":
+                    within += 1
+                if within < 2:
+                    above.append((e, next(names) if kind == "Folder" else above[-1][1] if above else None))
+                continue
+            if within > 1:
+                within -= 1
+                continue
+            _, folder = above.pop()
+            if within:
+                within = 0
+                fields = {}
+                for x in e.iter():
+                    if _local(x.tag) == "Data":
+                        fields[x.get("name", "")] = text(x, "value") or ""
+                    elif _local(x.tag) == "SimpleData":
+                        fields[x.get("name", "")] = (x.text or "").strip()
+                where = next((x.text.split() for x in e.iter() if _local(x.tag) == "coordinates" and x.text and x.text.strip()), None)
+                lon, lat = (float(v) for v in where[0].split(",")[:2]) if where else (None, None)
+                yield {"path": path, "ord": found, "name": text(e, "name"), "folder": folder, "lon": lon, "lat": lat, "fields": fields}
+                found += 1
+            if above:
+                above[-1][0].remove(e)
 
 
 def kml(spark: SparkSession, path: str) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+import tracemalloc
 
 from pyspark.sql import functions as F
 
 from terrasift.operators import inventory as I
 from terrasift.operators import spatial as S
+from terrasift.sources import files
 
 
 def test_names_and_hints_meet_without_broadcast(spark, tmp_path):
@@ -59,3 +61,18 @@ def test_matching_sorts_a_bounded_number_of_rows(spark, monkeypatch):
     twice = pairs.unionByName(pairs.where("b_id % 3 = 0"))
     assert {r.a_id: r.b_id for r in S.greedy_match(twice, most_rounds=2).collect()} == want
     assert S._dealt(pairs, 3600, "a_id").rdd.getNumPartitions() == 36
+
+
+def test_a_large_map_document_is_read_without_holding_it():
+    mark = "<Placemark><name> m{0} </name><Folder><name>no</name></Folder><ExtendedData><Data name='k'><value>{0}</value></Data></ExtendedData><Point><coordinates>1.5,{0} 7,7</coordinates></Point></Placemark>"
+    many = "".join(mark.format(i) for i in range(8000))
+    text = f"<kml xmlns='u'><Document><name>d</name>{mark.format(-1)}<Folder>{many}<name> late<!-- c --> r <b/>x</name><name>2</name><Folder>{mark.format(-2)}</Folder></Folder><Folder><name>b</name><Document>{mark.format(-3)}</Document></Folder></Document></kml>"
+    data = text.encode()
+    tracemalloc.start()
+    rows = [(r["ord"], r["name"], r["folder"], r["lat"], r["fields"]["k"]) for r in files.kml_rows("p", data) if not 2 < r["ord"] < 7999]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [r[2] for r in rows] == [None, "late r", "late r", "late r", "late r", None, "b"][: len(rows)]
+    assert rows[0] == (0, "m-1", None, -1.0, "-1") and rows[-1] == (8002, "m-3", "b", -3.0, "-3") and len(rows) == 7
+    assert most < 2 << 20
+    assert [r["error"] for r in files.kml_rows("p", data[:-10])] and len(list(files.kml_rows("p", data[:-10]))) == 1
