@@ -42,6 +42,10 @@ def sniff(name: str, head: bytes) -> str:
     return "geojson" if start[:1] in (b"{", b"[") else "csv"
 
 
+#: A part of a delimited file has at most two to the power of this many lines.
+PART_BITS = 14
+
+
 def _in_quotes(line: Column, sep: str) -> Column:
     """Whether a line that begins outside quotes ends inside: a field opens with a quote that nothing closes. Quotes within other fields mean nothing."""
     opens = f"(^|\\Q{sep}\\E)\""
@@ -52,11 +56,13 @@ def _in_quotes(line: Column, sep: str) -> Column:
 def quoted_records(spark: SparkSession, path: str, sep: str = ",", skip_lines: int = 0) -> DataFrame:
     """File, ord (its place), first (whether it is its file's first) and text of each record of delimited files, whose quoted fields may hold line breaks. Large files are split.
 
-    A line tells, for both cases, whether it ends inside quotes if it begins inside or outside; so it keeps, turns or fixes the state. The parts of a file that Spark splits it into are told
+    A line tells, for both cases, whether it ends inside quotes if it begins inside or outside; so it keeps, turns or fixes the state. The parts of a file that Spark splits it into, cut into some thousand lines each, are told
     by how they change it, one row each, and put in order; so each part knows how it begins, and each line too. Lines that are records by themselves, nearly all, stay where they are; those of longer
     records are brought together, also across parts. skip_lines: lines at a file's beginning that are no table.
     """
-    lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("row"))
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    # Spark's parts of a file are cut further, so that a window, which one task has whole, holds 2 ** PART_BITS lines at most.
+    lines = lines.select("value", "file", F.struct("start", F.shiftright("row", PART_BITS).alias("nth")).alias("part"), "row")
     inside = _in_quotes(F.concat(F.lit('"'), "value"), sep)
     within, over = W.partitionBy("file", "part").orderBy("row"), W.partitionBy("file").orderBy("part")
     known = lines.withColumn("out_in", _in_quotes(F.col("value"), sep)).withColumn("in_in", inside)

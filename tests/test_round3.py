@@ -76,3 +76,13 @@ def test_a_large_map_document_is_read_without_holding_it():
     assert rows[0] == (0, "m-1", None, -1.0, "-1") and rows[-1] == (8002, "m-3", "b", -3.0, "-3") and len(rows) == 7
     assert most < 2 << 20
     assert [r["error"] for r in files.kml_rows("p", data[:-10])] and len(list(files.kml_rows("p", data[:-10]))) == 1
+
+
+def test_quoted_files_are_cut_into_parts_of_few_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "PART_BITS", 2)
+    rows = [(str(i), "\n".join(f'l{k} "q", {i}' for k in range(i % 12))) for i in range(60)]
+    (tmp_path / "a.csv").write_text("id,text\n" + "".join('"{}","{}"\n'.format(i, t.replace('"', '""')) for i, t in rows))
+    got = files.quoted_records(spark, str(tmp_path))
+    assert got.select("ord.part").distinct().count() > 30
+    read = files.delimited(spark, str(tmp_path))
+    assert sorted((r.id, r.text) for r in read.collect()) == sorted(rows)
